@@ -16,8 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthwise.session import ensure_checkpoint_dir
-
 
 def _list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
@@ -48,7 +46,7 @@ def label_order(total: str, label: str, descending: bool = True) -> list[Column]
 
 def _rank_top(top: DataFrame, order: list[Column], rank_col: str) -> DataFrame:
     # The input holds at most n rows, so a global window is a bounded, single-task step.
-    return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
+    return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
 def top_n_by_total(df: DataFrame, label: str = "SVA_SMS", qty: str = "Q", n: int = 10,
@@ -67,25 +65,27 @@ def top_n_by_mean(df: DataFrame, label: str = "SVA_SMS", value: str = "ARPU", n:
     return _rank_top(means.orderBy(*order).limit(n), order, rank_col)
 
 
-def rank_labels(df: DataFrame, order: Sequence, rank_col: str = "rn") -> DataFrame:
+def rank_labels(df: DataFrame, order: Sequence, rank_col: str = "rn",
+                partitions: int | None = None) -> DataFrame:
     """Global 1..k row number over ``order`` without a single-partition window.
 
-    The rows are sorted with a range-partitioned ``orderBy``; each row gets its
-    position inside its partition (``monotonically_increasing_id`` after the sort),
-    and a per-partition offset from a table of partition counts (one row per
-    partition, so broadcasting it is bounded).  The sorted rows are checkpointed
-    to the shared checkpoint folder first, so both uses see one materialisation
-    and a lost executor cannot renumber them.  ``order`` should be unique per row.
+    Rows are range-partitioned on ``order`` into a fixed number of partitions
+    (``REPARTITION_BY_NUM``: AQE never coalesces them, so partition ids are
+    stable) and sorted inside each partition.  A row's number is its position
+    in its partition (``monotonically_increasing_id`` right after the sort)
+    plus the sizes of all earlier partitions, taken from a one-row-per-partition
+    count table (so its broadcast is bounded by the partition count).  Both
+    branches read one shuffle (``ReusedExchange``); a recomputed map task sends
+    every row to the same range again, so numbers do not change on retries.
+    ``order`` should be unique per row.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     order = [F.col(o) if isinstance(o, str) else o for o in _list(order)]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     mask = (1 << 33) - 1
-    sorted_ids = (df.orderBy(*order)
-                  .withColumn("_mid", F.monotonically_increasing_id())
-                  .checkpoint(eager=True))
-    with_pos = sorted_ids.select("*", F.shiftright("_mid", 33).alias("_pid"),
-                                 (F.col("_mid").bitwiseAND(F.lit(mask))).alias("_pos"))
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    mid = ranged.withColumn("_mid", F.monotonically_increasing_id())
+    with_pos = mid.select("*", F.shiftright("_mid", 33).alias("_pid"),
+                          F.col("_mid").bitwiseAND(F.lit(mask)).alias("_pos"))
     counts = with_pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))

@@ -19,7 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.formatting import bar_height, group_digits, kilo_label, zebra
+from monthwise.functions.formatting import (bar_height, group_digits, group_digits_sql, kilo_label,
+                                           sql_str, zebra, zebra_sql)
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,8 @@ def tree_concat(df: DataFrame, pos: str, piece: str, keys=(), out: str = "html",
 
     Level k groups pieces by ``pos div fanout^k``; each group holds at most
     ``fanout`` pieces; with two levels of 1024 the last step joins at most 1024
-    chunks while covering 2^30 pieces per key.
+    chunks while covering 2^30 pieces per key.  ``levels=0`` is a single ordered
+    aggregate, for inputs known to be small (a top-n table).
     """
     keys = list(keys)
     cur = df.select(*keys, F.col(pos).cast("bigint").alias("_pos"), F.col(piece).alias("_p"))
@@ -218,3 +220,107 @@ def register_template_function(spark, name: str = "mail_template") -> None:
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(title STRING, d STRING, body STRING, "
         "button STRING) RETURNS STRING RETURN concat('<html><body><h2>', title, '</h2><p>', d, "
         "'</p>', body, button, '</body></html>')")
+
+
+# -- tables from a pivot on a known period list ------------------------------------
+
+MAX_LITERAL_PERIODS = 1200   # 100 years of months
+
+
+def period_values(df: DataFrame, period: str = "PERIODO",
+                  limit: int = MAX_LITERAL_PERIODS) -> list | None:
+    """Sorted distinct periods, fetched to the driver.
+
+    A period is a month, so the list is bounded by the months in the data (8
+    for the report window); this is the same small fetch Spark's ``pivot``
+    makes to learn its columns.  Returns None beyond ``limit`` values, and the
+    callers then keep the period list inside the plan instead.
+    """
+    vals = [r[0] for r in df.select(period).distinct().limit(limit + 1).collect()]
+    if len(vals) > limit:
+        return None
+    return sorted(v for v in vals if v is not None)
+
+
+def header_html(periods: list, first: tuple[str, ...], total: bool,
+                theme: Theme = DEFAULT_THEME) -> str:
+    ths = "".join(f"{theme.th}{t}{theme.th_end}" for t in (*first, *map(str, periods)))
+    tail = f"{theme.th}Total{theme.th_end}" if total else ""
+    return f"{theme.header_open}{ths}{tail}{theme.tr_end}"
+
+
+def pivot_periods(df: DataFrame, keys, period: str, value: str, periods: list,
+                  how: str = "max", prefix: str = "_c") -> DataFrame:
+    """One row per key, one column per listed period (NULL where absent).
+
+    A single hash aggregation (partial before the shuffle); ``how`` is ``max``
+    for one value per cell or ``sum`` for additive cells.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    fn = "max" if how == "max" else "sum"
+    cols = [F.expr(f"{fn}(CASE WHEN `{period}` = {int(p)} THEN `{value}` END)").alias(f"{prefix}{i}")
+            for i, p in enumerate(periods)]
+    if not cols:
+        cols = [F.lit(None).alias(f"{prefix}none")]
+    return df.groupBy(*keys).agg(*cols) if keys else df.agg(*cols)
+
+
+def _td_sql(text_sql: str, theme: Theme, label: bool = False) -> str:
+    return f"concat({sql_str(theme.td_label if label else theme.td)}, {text_sql}, {sql_str(theme.td_end)})"
+
+
+def _cell_sql(col: str, money: bool) -> str:
+    return group_digits_sql(f"coalesce(`{col}`, 0)", ".", "$ " if money else "")
+
+
+def table_section(cells: DataFrame, labels: DataFrame, totals: DataFrame, periods: list,
+                  title: str, first: tuple[str, ...], show_rank: bool, money: bool,
+                  caption: str, row_total: str | None, grand: bool, label: str = "SVA_SMS",
+                  period: str = "PERIODO", value: str = "Q", total_value: str = "total",
+                  totals_how: str = "max", bounded_rows: bool = False,
+                  theme: Theme = DEFAULT_THEME) -> DataFrame:
+    """One report table as a one-row ``html`` frame.
+
+    cells:  one row per (label, period) with ``value``
+    labels: the labels to show with ``rn`` (and the ``row_total`` column when
+            given; ``row_total="cells"`` sums the label's shown cells instead)
+    totals: rows with ``period`` and ``total_value``, reduced per period with
+            ``totals_how`` (``sum`` of fact rows or ``max`` of one row per period)
+    A NULL label matches no cells (``=`` join) and its row renders NULL, which
+    the row concatenation skips.  Each row and the totals line are single SQL
+    expressions (one parse each), evaluated in whole-stage codegen.
+    """
+    n = len(periods)
+    wide = pivot_periods(cells, label, period, value, periods)
+    rows = labels.join(wide, on=label, how="left")
+    parts = [sql_str('<tr style="background:'), zebra_sql("rn", theme.even, theme.odd), sql_str(';">')]
+    if show_rank:
+        parts.append(_td_sql("CAST(rn AS STRING)", theme, label=True))
+    parts.append(_td_sql(f"`{label}`", theme, label=True))
+    parts += [_td_sql(_cell_sql(f"_c{i}", money), theme) for i in range(n)]
+    if row_total == "cells":
+        total = " + ".join([f"coalesce(_c{i}, 0)" for i in range(n)] or ["0"])
+        parts.append(_td_sql(group_digits_sql(f"({total})"), theme))
+    elif row_total is not None:
+        parts.append(_td_sql(group_digits_sql(f"`{row_total}`"), theme))
+    parts.append(sql_str(theme.tr_end))
+    row_html = rows.select(F.col("rn").cast("bigint").alias("pos"),
+                           F.expr(f"concat({', '.join(parts)})").alias("h"))
+
+    tot = pivot_periods(totals, [], period, total_value, periods, how=totals_how, prefix="_t")
+    span = ' colspan="2"' if show_rank else ""
+    tparts = [sql_str(f"{theme.total_open}<td{span}>{caption}{theme.td_end}")]
+    tparts += [_td_sql(_cell_sql(f"_t{i}", money), theme) for i in range(n)]
+    if grand:
+        g = " + ".join([f"coalesce(_t{i}, 0)" for i in range(n)] or ["0"])
+        tparts.append(_td_sql(group_digits_sql(f"({g})"), theme))
+    tparts.append(sql_str(theme.tr_end))
+    tot_html = tot.select(F.lit(1 << 62).cast("bigint").alias("pos"),
+                          F.expr(f"concat({', '.join(tparts)})").alias("h"))
+
+    body = tree_concat(row_html.unionByName(tot_html), "pos", "h", out="_b",
+                       levels=0 if bounded_rows else 2)
+    head = f"{theme.title_open}{title}{theme.title_end}{theme.table_open}" + \
+        header_html(periods, first, row_total is not None, theme)
+    return body.select(F.concat(F.lit(head), F.coalesce(F.col("_b"), F.lit("")),
+                                F.lit(theme.table_end)).alias("html"))

@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from monthwise.functions.periods import as_date, dd_mm_yyyy, yyyymmdd
 from monthwise.operators import crosstab as X
 from monthwise.operators import measures as M
+from monthwise.operators import ranking as RK
 from monthwise.operators import render as R
 from monthwise.operators.window import trailing_months
-from monthwise.session import ensure_checkpoint_dir
+from monthwise.session import materialize
 from monthwise.sources import tables as T
 
 # Section titles, totals captions and subject of the report.
@@ -64,8 +65,7 @@ class ReportBase:
 
     @staticmethod
     def materialize(df: DataFrame) -> DataFrame:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        return materialize(df)
 
     @classmethod
     def from_rows(cls, subscribers: DataFrame, transactions: DataFrame, cfg: ReportConfig,
@@ -92,6 +92,19 @@ class ReportBase:
             parts = cls.materialize(parts)
         return cls(parts.select("PERIODO", "TIPO", "SVA_SMS", "Q"), parts, cfg)
 
+    def periods(self, which: str, type_value: str) -> list:
+        """Sorted periods of one type in the subscriber or transaction parts
+        (a bounded list: months in the window), fetched once per base."""
+        cache = self.__dict__.setdefault("_periods", {})
+        if which not in cache:
+            df = self.subs if which == "subs" else self.trx
+            rows = df.select("TIPO", "PERIODO").distinct().collect()
+            got: dict = {}
+            for t, p in rows:
+                got.setdefault(t, set()).add(p)
+            cache[which] = {t: sorted(v for v in ps if v is not None) for t, ps in got.items()}
+        return cache[which].get(type_value, [])
+
     # -- measures over the parts ------------------------------------------------
     def by_type(self) -> DataFrame:
         return M.sum_by_type(self.subs, qty="Q")
@@ -130,6 +143,7 @@ class ReportBase:
 
 def render_crosstab(ct: X.Crosstab, title: str, first: tuple[str, ...], show_rank: bool,
                     money: bool, totals_caption: str, theme: R.Theme) -> DataFrame:
+    """Render a long-form crosstab (grid + totals) with in-plan period lists."""
     periods = ct.grid.select(ct.period).distinct()
     header = R.header_row(periods, ct.period, first, total=ct.row_totals is not None, theme=theme)
     cells = R.cells_row(ct.grid, [ct.label, "rn"], ct.period, ct.value, money, theme)
@@ -143,21 +157,56 @@ def render_crosstab(ct: X.Crosstab, title: str, first: tuple[str, ...], show_ran
     return R.section(title, header, rows, totals, theme)
 
 
+def _alpha(cells: DataFrame) -> DataFrame:
+    return RK.rank_labels(cells.select("SVA_SMS").distinct(), [F.col("SVA_SMS").asc_nulls_first()])
+
+
+def _top(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    # labels holds at most top_n rows: a bounded broadcast.
+    return cells.join(F.broadcast(labels.select("SVA_SMS")), "SVA_SMS", "left_semi")
+
+
+def report_tables(base: ReportBase) -> list[tuple[str, DataFrame]]:
+    """The four tables as one-row html frames, rendered from pivots on the
+    collected period lists (no grid explode, no subqueries)."""
+    cfg, th, n = base.cfg, base.cfg.theme, base.cfg.top_n
+    sva, smsp = cfg.sva, cfg.smsp
+    out = []
+
+    cells = base.qty_by_label(sva)
+    per = base.periods("subs", sva)
+    out.append(("sva_qty", R.table_section(
+        cells, _alpha(cells), cells, per, TITLE_SVA_QTY, (sva,), False, False, CAPTION_TOTAL,
+        "cells", True, value="Q", total_value="Q", totals_how="sum", theme=th)))
+
+    cells = base.qty_by_label(smsp)
+    top = RK.top_n_by_total(cells, n=n)
+    kept = _top(cells, top)
+    out.append(("smsp_qty", R.table_section(
+        kept, top, kept, base.periods("subs", smsp), TITLE_SMSP_QTY, ("#", smsp), True, False,
+        CAPTION_TOTAL_TOP, "total_general", True, value="Q", total_value="Q", totals_how="sum",
+        bounded_rows=True, theme=th)))
+
+    cells = base.mean_by_label(sva, "error")
+    out.append(("sva_mean", R.table_section(
+        cells, _alpha(cells), base.mean_by_period(sva, "error"), base.periods("trx", sva),
+        TITLE_SVA_MEAN, (sva,), False, True, CAPTION_MEAN, None, False, value="ARPU",
+        total_value="ARPU", theme=th)))
+
+    cells = base.mean_by_label(smsp, "null")
+    top = RK.top_n_by_mean(cells, n=n)
+    out.append(("smsp_mean", R.table_section(
+        _top(cells, top), top, base.mean_by_period(smsp, "null"), base.periods("trx", smsp),
+        TITLE_SMSP_MEAN, ("#", smsp), True, True, CAPTION_MEAN, None, False, value="ARPU",
+        total_value="ARPU", bounded_rows=True, theme=th)))
+    return out
+
+
 def report_sections(base: ReportBase) -> DataFrame:
     """One row per section: ``ord`` (0 = chart, 1-4 = tables), ``name``, ``html``."""
-    cfg, th = base.cfg, base.cfg.theme
+    cfg = base.cfg
     chart = R.chart_html(R.stacked_bar_geometry(base.by_type()), title=cfg.chart_title)
-    secs = [
-        ("chart", chart),
-        ("sva_qty", render_crosstab(base.sva_qty(), TITLE_SVA_QTY, (cfg.sva,), False, False,
-                                    CAPTION_TOTAL, th)),
-        ("smsp_qty", render_crosstab(base.smsp_qty(), TITLE_SMSP_QTY, ("#", cfg.smsp), True, False,
-                                     CAPTION_TOTAL_TOP, th)),
-        ("sva_mean", render_crosstab(base.sva_mean(), TITLE_SVA_MEAN, (cfg.sva,), False, True,
-                                     CAPTION_MEAN, th)),
-        ("smsp_mean", render_crosstab(base.smsp_mean(), TITLE_SMSP_MEAN, ("#", cfg.smsp), True,
-                                      True, CAPTION_MEAN, th)),
-    ]
+    secs = [("chart", chart)] + report_tables(base)
     out = None
     for i, (name, df) in enumerate(secs):
         df = df.select(F.lit(i).alias("ord"), F.lit(name).alias("name"), "html")

@@ -12,7 +12,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library assumes: one clock (UTC), ANSI arithmetic
 # (division by zero raises), adaptive execution with skew-join splitting.
@@ -23,6 +24,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -70,5 +72,20 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return f"{base}/monthwise/{leaf}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint that computes ``df`` once.
+
+    ``checkpoint()`` alone runs the plan twice (one job to compute, one to
+    write the files) unless the data is persisted; persisting first makes the
+    write read the cached blocks.  The result reads from the shared checkpoint
+    folder, so its lineage no longer reaches back to the scans.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
+
+
 def is_local_path(path: str) -> bool:
     return path.startswith("file:") or path.startswith("/") or os.path.isabs(path)
