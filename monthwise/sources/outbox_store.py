@@ -23,20 +23,39 @@ class OutboxStore:
         self.path = path.rstrip("/")
         self.partition_col = partition_col
 
-    def exists(self) -> bool:
+    def _fs_path(self, path: str):
         jvm = self.spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+    def exists(self) -> bool:
+        fs, jpath = self._fs_path(self.path)
         return fs.exists(jpath)
 
+    def _drop_partitions(self, values) -> None:
+        for v in values:
+            text = "__HIVE_DEFAULT_PARTITION__" if v is None else \
+                (v.isoformat() if hasattr(v, "isoformat") else str(v))
+            fs, jpath = self._fs_path(f"{self.path}/{self.partition_col}={text}")
+            if fs.exists(jpath):
+                fs.delete(jpath, True)
+
     def read(self) -> DataFrame:
         df = self.spark.read.parquet(self.path)
         return df.select(*O.OUTBOX_COLUMNS)
 
-    def _write_touched(self, new_rows: DataFrame) -> None:
+    def _write_touched(self, new_rows: DataFrame, touched: DataFrame | None = None) -> None:
+        """Overwrite the partitions present in ``new_rows``; touched partitions
+        left without rows (every row deleted) are removed afterwards.  The list
+        of touched partitions is one value per day, fetched to the driver."""
         stage = shared_path(self.spark, "outbox-stage")
         new_rows.write.mode("overwrite").partitionBy(self.partition_col).parquet(stage)
         staged = self.spark.read.parquet(stage)
+        emptied = []
+        if touched is not None:
+            present = staged.select(self.partition_col).distinct()
+            gone = touched.join(present, self.partition_col, "left_anti")
+            emptied = [r[0] for r in gone.collect()]
         prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
@@ -44,6 +63,7 @@ class OutboxStore:
                 .partitionBy(self.partition_col).parquet(self.path)
         finally:
             self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        self._drop_partitions(emptied)
 
     def write_all(self, df: DataFrame) -> None:
         df.select(*O.OUTBOX_COLUMNS).write.mode("overwrite").partitionBy(self.partition_col) \
@@ -60,7 +80,7 @@ class OutboxStore:
             .unionByName(incoming.select(self.partition_col)).distinct()
         scope = current.join(touched_dates, self.partition_col, "left_semi")
         new_rows = O.replace_by_key(scope, incoming.select(*O.OUTBOX_COLUMNS), key, keep_sent)
-        self._write_touched(new_rows)
+        self._write_touched(new_rows, touched_dates)
 
     def mark_processed(self, sent: DataFrame, key: str = "SUBJECT") -> None:
         """Flip pending rows of the sent keys; only partitions with such rows are rewritten."""
