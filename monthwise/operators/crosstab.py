@@ -21,6 +21,13 @@ def period_list(df: DataFrame, period: str = "PERIODO") -> Column:
     return df.select(F.array_sort(F.collect_set(period)).alias("periods")).scalar()
 
 
+def as_period_array(periods) -> Column | None:
+    """A Python list of periods becomes an array literal (no subquery job)."""
+    if periods is None or isinstance(periods, Column):
+        return periods
+    return F.array(*[F.lit(int(p)) for p in periods]).cast("array<int>")
+
+
 def dense_grid(facts: DataFrame, label: str = "SVA_SMS", period: str = "PERIODO",
                value: str = "Q", fill=0, periods: Column | None = None,
                labels: DataFrame | None = None, null_label_matches: bool = False) -> DataFrame:
@@ -31,7 +38,7 @@ def dense_grid(facts: DataFrame, label: str = "SVA_SMS", period: str = "PERIODO"
     As with an ``=`` join, a NULL label matches no fact, so its cells are filled
     unless ``null_label_matches``.  Output adds ``is_missing``.
     """
-    periods = period_list(facts, period) if periods is None else periods
+    periods = period_list(facts, period) if periods is None else as_period_array(periods)
     cells = facts.groupBy(label).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(period), F.col(value)))).alias("_cells"))
     # Label-level join (one row per label on each side); AQE picks broadcast or
@@ -97,16 +104,17 @@ class Crosstab:
 
 
 def quantity_crosstab(facts: DataFrame, label: str = "SVA_SMS", period: str = "PERIODO",
-                      value: str = "Q", top_n: int | None = None) -> Crosstab:
+                      value: str = "Q", top_n: int | None = None, periods=None) -> Crosstab:
     """Quantity table.
 
     ``top_n=None``: every label, ranked alphabetically (NULL first); row totals
     over the grid; column totals over every fact row (a NULL label counts there
     but has no matching cells).  ``top_n=k``: the k labels with the largest sums
     (label order breaks ties), ranked by sum; row totals are those sums and the
-    column totals cover only those k labels.
+    column totals cover only those k labels.  ``periods``: the table's period
+    list if already known (else a subquery finds it).
     """
-    periods = period_list(facts, period)
+    periods = period_list(facts, period) if periods is None else as_period_array(periods)
     if top_n is None:
         labels = rank_labels(facts.select(label).distinct(), [F.col(label).asc_nulls_first()])
         grid = dense_grid(facts, label, period, value, labels=labels, periods=periods)
@@ -131,7 +139,7 @@ def quantity_crosstab(facts: DataFrame, label: str = "SVA_SMS", period: str = "P
 
 def mean_crosstab(cells: DataFrame, period_means: DataFrame, label: str = "SVA_SMS",
                   period: str = "PERIODO", value: str = "ARPU", top_n: int | None = None,
-                  period_value: str = "ARPU") -> Crosstab:
+                  period_value: str = "ARPU", periods=None) -> Crosstab:
     """Mean table: label cells plus a per-period mean row.
 
     ``cells``: one mean per (label, period); ``period_means``: the weighted mean
@@ -139,7 +147,7 @@ def mean_crosstab(cells: DataFrame, period_means: DataFrame, label: str = "SVA_S
     shown).  ``top_n=k`` ranks labels by the rounded average of their monthly
     means.  The totals row sits on the table's period grid, 0-filled.
     """
-    periods = period_list(cells, period)
+    periods = period_list(cells, period) if periods is None else as_period_array(periods)
     if top_n is None:
         labels = rank_labels(cells.select(label).distinct(), [F.col(label).asc_nulls_first()])
         grid = dense_grid(cells, label, period, value, labels=labels, periods=periods)

@@ -115,9 +115,16 @@ def weighted_mean_rows(spark, d):
 
 @query
 def first_per_key(spark, d):
-    rows = trailing_months(T.transaction_rows(spark, d), "PERIODO", AS_OF, N_BACK, "l_shipdate")
-    best = RK.first_per_key(rows, ["SVA_SMS", "PERIODO"],
-                            ["MONTO_NETO", "l_orderkey", "l_linenumber"], descending=True)
+    """Largest transaction per (label, period).  The pick is associative, so it
+    runs first per label *key* (no join, reduced map-side), and only those
+    winners are labelled and reduced again."""
+    facts = T.windowed_facts(spark, d, AS_OF, N_BACK).select(
+        "label_key", "PERIODO", "TIPO", F.col("Q").alias("Q_TRANSACCIONES"), "MONTO_NETO",
+        "l_orderkey", "l_linenumber")
+    order = ["MONTO_NETO", "l_orderkey", "l_linenumber"]
+    per_key = RK.first_per_key(facts, ["label_key", "PERIODO"], order, descending=True)
+    labelled = per_key.join(T.label_dim(spark, d), "label_key", "left").drop("label_key")
+    best = RK.first_per_key(labelled, ["SVA_SMS", "PERIODO"], order, descending=True)
     return best.select("SVA_SMS", "PERIODO", "TIPO", "Q_TRANSACCIONES", "l_orderkey",
                        "l_linenumber")
 
@@ -254,7 +261,8 @@ def template_hook(spark, d):
 
 @query
 def has_recent_data(spark, d):
-    rows = T.subscriber_rows(spark, d)
+    # Counting rows needs no label: the keyed facts (no dimension join) suffice.
+    rows = T.keyed_facts(spark, d)
     return G.recent_row_count(rows, "PERIODO", AS_OF, N_BACK, date_col="l_shipdate")
 
 
@@ -304,6 +312,22 @@ def mark_processed(spark, d):
     return O.mark_processed(ob, sent)
 
 
+@query
+def outbox_drain(spark, d):
+    """Queue the outbox rows, drain them with the streaming job (deliver = the
+    click subjects), and return the outbox table afterwards."""
+    from monthwise.sources.outbox_store import OutboxStore
+    from monthwise.streaming.drain import OutboxQueue, drain_once
+    ob = T.outbox(spark, d)
+    store = OutboxStore(spark, shared_path(spark, "drain", "outbox"))
+    queue = OutboxQueue(spark, shared_path(spark, "drain", "queue"))
+    store.write_all(ob)
+    queue.append(ob)
+    drain_once(spark, queue, store,
+               lambda todo: todo.where(F.col("SUBJECT").startswith("click ")).select("SUBJECT"))
+    return store.read()
+
+
 # -- step 11: exports -------------------------------------------------------------------------
 
 @query

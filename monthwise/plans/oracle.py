@@ -341,6 +341,7 @@ def oracle_sql() -> dict[str, str]:
                            f"PROCESADO = 'N' AND starts_with(SUBJECT, 'click ')) SELECT FECHA, PARA, "
                            f"CC, SUBJECT, BODY, CASE WHEN PROCESADO = 'N' AND SUBJECT IN (SELECT "
                            f"SUBJECT FROM sent) THEN 'S' ELSE PROCESADO END AS PROCESADO FROM ob")
+    q["outbox_drain"] = q["mark_processed"]
     q["export_csv_roundtrip"] = "SELECT * FROM orders"
     q["export_tables_counts"] = " UNION ALL ".join(
         f"SELECT '{n.upper()}' AS sheet, '{n}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows "

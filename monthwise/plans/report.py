@@ -124,19 +124,23 @@ class ReportBase:
 
     # -- the four tables ------------------------------------------------------------
     def sva_qty(self) -> X.Crosstab:
-        return X.quantity_crosstab(self.qty_by_label(self.cfg.sva))
+        return X.quantity_crosstab(self.qty_by_label(self.cfg.sva),
+                                   periods=self.periods("subs", self.cfg.sva))
 
     def smsp_qty(self) -> X.Crosstab:
-        return X.quantity_crosstab(self.qty_by_label(self.cfg.smsp), top_n=self.cfg.top_n)
+        return X.quantity_crosstab(self.qty_by_label(self.cfg.smsp), top_n=self.cfg.top_n,
+                                   periods=self.periods("subs", self.cfg.smsp))
 
     def sva_mean(self) -> X.Crosstab:
         # The original divides the SVA means unguarded and the SMSP ones with NULLIF.
         return X.mean_crosstab(self.mean_by_label(self.cfg.sva, "error"),
-                               self.mean_by_period(self.cfg.sva, "error"))
+                               self.mean_by_period(self.cfg.sva, "error"),
+                               periods=self.periods("trx", self.cfg.sva))
 
     def smsp_mean(self) -> X.Crosstab:
         return X.mean_crosstab(self.mean_by_label(self.cfg.smsp, "null"),
-                               self.mean_by_period(self.cfg.smsp, "null"), top_n=self.cfg.top_n)
+                               self.mean_by_period(self.cfg.smsp, "null"), top_n=self.cfg.top_n,
+                               periods=self.periods("trx", self.cfg.smsp))
 
 
 # -- rendering -------------------------------------------------------------------
