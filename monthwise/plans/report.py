@@ -98,7 +98,11 @@ class ReportBase:
         cache = self.__dict__.setdefault("_periods", {})
         if which not in cache:
             df = self.subs if which == "subs" else self.trx
-            rows = df.select("TIPO", "PERIODO").distinct().collect()
+            cap = R.MAX_LITERAL_PERIODS * 16
+            rows = df.select("TIPO", "PERIODO").distinct().limit(cap + 1).collect()
+            if len(rows) > cap:
+                raise ValueError("the window holds more distinct (type, month) pairs than a "
+                                 "report can show; set as_of/n_back or filter the types")
             got: dict = {}
             for t, p in rows:
                 got.setdefault(t, set()).add(p)
