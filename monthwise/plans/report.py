@@ -11,8 +11,10 @@ these label-sized parts.  The original ran four scans of each fact table.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,51 +176,83 @@ def _top(cells: DataFrame, labels: DataFrame) -> DataFrame:
     return cells.join(F.broadcast(labels.select("SVA_SMS")), "SVA_SMS", "left_semi")
 
 
-def report_tables(base: ReportBase) -> list[tuple[str, DataFrame]]:
-    """The four tables as one-row html frames, rendered from pivots on the
-    collected period lists (no grid explode, no subqueries)."""
+def _table_builders(base: ReportBase) -> list[tuple[str, object]]:
+    """The four tables as (name, builder) pairs; each builder returns a one-row
+    html frame rendered from a pivot on the collected period list."""
     cfg, th, n = base.cfg, base.cfg.theme, base.cfg.top_n
     sva, smsp = cfg.sva, cfg.smsp
-    out = []
-
-    cells = base.qty_by_label(sva)
-    per = base.periods("subs", sva)
-    out.append(("sva_qty", R.table_section(
-        cells, _alpha(cells), cells, per, TITLE_SVA_QTY, (sva,), False, False, CAPTION_TOTAL,
-        "cells", True, value="Q", total_value="Q", totals_how="sum", theme=th)))
-
-    cells = base.qty_by_label(smsp)
-    top = RK.top_n_by_total(cells, n=n)
-    kept = _top(cells, top)
-    out.append(("smsp_qty", R.table_section(
-        kept, top, kept, base.periods("subs", smsp), TITLE_SMSP_QTY, ("#", smsp), True, False,
-        CAPTION_TOTAL_TOP, "total_general", True, value="Q", total_value="Q", totals_how="sum",
-        bounded_rows=True, theme=th)))
-
-    cells = base.mean_by_label(sva, "error")
-    out.append(("sva_mean", R.table_section(
-        cells, _alpha(cells), base.mean_by_period(sva, "error"), base.periods("trx", sva),
-        TITLE_SVA_MEAN, (sva,), False, True, CAPTION_MEAN, None, False, value="ARPU",
-        total_value="ARPU", theme=th)))
-
-    cells = base.mean_by_label(smsp, "null")
-    top = RK.top_n_by_mean(cells, n=n)
-    out.append(("smsp_mean", R.table_section(
-        _top(cells, top), top, base.mean_by_period(smsp, "null"), base.periods("trx", smsp),
-        TITLE_SMSP_MEAN, ("#", smsp), True, True, CAPTION_MEAN, None, False, value="ARPU",
-        total_value="ARPU", bounded_rows=True, theme=th)))
-    return out
 
+    def sva_qty():
+        cells = base.qty_by_label(sva)
+        return R.table_section(
+            cells, _alpha(cells), cells, base.periods("subs", sva), TITLE_SVA_QTY, (sva,), False,
+            False, CAPTION_TOTAL, "cells", True, value="Q", total_value="Q", totals_how="sum",
+            theme=th)
+
+    def smsp_qty():
+        cells = base.qty_by_label(smsp)
+        top = RK.top_n_by_total(cells, n=n)
+        kept = _top(cells, top)
+        return R.table_section(
+            kept, top, kept, base.periods("subs", smsp), TITLE_SMSP_QTY, ("#", smsp), True, False,
+            CAPTION_TOTAL_TOP, "total_general", True, value="Q", total_value="Q",
+            totals_how="sum", bounded_rows=True, theme=th)
+
+    def sva_mean():
+        cells = base.mean_by_label(sva, "error")
+        return R.table_section(
+            cells, _alpha(cells), base.mean_by_period(sva, "error"), base.periods("trx", sva),
+            TITLE_SVA_MEAN, (sva,), False, True, CAPTION_MEAN, None, False, value="ARPU",
+            total_value="ARPU", theme=th)
+
+    def smsp_mean():
+        cells = base.mean_by_label(smsp, "null")
+        top = RK.top_n_by_mean(cells, n=n)
+        return R.table_section(
+            _top(cells, top), top, base.mean_by_period(smsp, "null"), base.periods("trx", smsp),
+            TITLE_SMSP_MEAN, ("#", smsp), True, True, CAPTION_MEAN, None, False, value="ARPU",
+            total_value="ARPU", bounded_rows=True, theme=th)
+
+    def chart():
+        return R.chart_html(R.stacked_bar_geometry(base.by_type()), title=cfg.chart_title)
+
+    return [("chart", chart), ("sva_qty", sva_qty), ("smsp_qty", smsp_qty),
+            ("sva_mean", sva_mean), ("smsp_mean", smsp_mean)]
 
-def report_sections(base: ReportBase) -> DataFrame:
-    """One row per section: ``ord`` (0 = chart, 1-4 = tables), ``name``, ``html``."""
-    cfg = base.cfg
-    chart = R.chart_html(R.stacked_bar_geometry(base.by_type()), title=cfg.chart_title)
-    secs = [("chart", chart)] + report_tables(base)
-    out = None
-    for i, (name, df) in enumerate(secs):
-        df = df.select(F.lit(i).alias("ord"), F.lit(name).alias("name"), "html")
-        out = df if out is None else out.unionByName(df)
+
+def report_tables(base: ReportBase) -> list[tuple[str, DataFrame]]:
+    """The four tables as one-row html frames (lazy)."""
+    return [(name, build()) for name, build in _table_builders(base)[1:]]
+
+
+def report_sections(base: ReportBase, concurrent: bool = True) -> DataFrame:
+    """One row per section: ``ord`` (0 = chart, 1-4 = tables), ``name``, ``html``.
+
+    With ``concurrent`` the five independent sections are planned and run as
+    parallel jobs from driver threads and each one-row result is cached (its
+    lineage starts at the checkpointed base, so a lost block recomputes from
+    label-sized data); the returned frame only unions those rows.
+    """
+    base.periods("subs", base.cfg.sva)     # fetch the period lists once, before the threads
+    base.periods("trx", base.cfg.sva)
+    builders = _table_builders(base)
+
+    def one(item):
+        i, (name, build) = item
+        df = build().select(F.lit(i).alias("ord"), F.lit(name).alias("name"), "html")
+        if concurrent:
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            df.count()
+        return df
+
+    if concurrent:
+        with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+            parts = list(pool.map(one, enumerate(builders)))
+    else:
+        parts = [one(x) for x in enumerate(builders)]
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df)
     return out
 
 
