@@ -279,15 +279,24 @@ def gate_schedule(spark, d):
 
 # -- step 10: outbox ----------------------------------------------------------------------
 
+def _last_day(outbox: DataFrame):
+    return outbox.select(F.max("FECHA")).scalar()
+
+
 def _incoming(outbox: DataFrame) -> DataFrame:
-    """Re-queued mail: one fresh pending row per purchase subject (a re-run)."""
-    purchase = outbox.where(F.col("SUBJECT").startswith("purchase "))
-    return purchase.groupBy("SUBJECT").agg(F.max("FECHA").alias("FECHA")).select(
+    """A re-run of the last day's trigger: one fresh pending row per subject of that day."""
+    last = outbox.where(F.col("FECHA") == _last_day(outbox))
+    return last.groupBy("SUBJECT").agg(F.max("FECHA").alias("FECHA")).select(
         "FECHA", F.lit(OUTBOX_TO).alias("PARA"), F.lit(None).cast("string").alias("CC"),
         "SUBJECT", F.concat(F.lit("resend "), F.col("SUBJECT")).alias("BODY"),
         F.lit("N").alias("PROCESADO"))
 
 
+def _delivered(pending_rows: DataFrame, outbox: DataFrame) -> DataFrame:
+    """Subjects delivered by an earlier drain: everything pending before the last day."""
+    return pending_rows.where(F.col("FECHA") < _last_day(outbox)).select("SUBJECT")
+
+
 @query
 def outbox_row(spark, d):
     mail = report_mail(base(spark, d, True))
@@ -308,14 +317,13 @@ def pending(spark, d):
 @query
 def mark_processed(spark, d):
     ob = T.outbox(spark, d)
-    sent = O.pending(ob).where(F.col("SUBJECT").startswith("click ")).select("SUBJECT")
-    return O.mark_processed(ob, sent)
+    return O.mark_processed(ob, _delivered(O.pending(ob), ob))
 
 
 @query
 def outbox_drain(spark, d):
-    """Queue the outbox rows, drain them with the streaming job (deliver = the
-    click subjects), and return the outbox table afterwards."""
+    """Queue the outbox rows, drain them with the streaming job (delivering what
+    was pending before the last day), and return the outbox table afterwards."""
     from monthwise.sources.outbox_store import OutboxStore
     from monthwise.streaming.drain import OutboxQueue, drain_once
     ob = T.outbox(spark, d)
@@ -323,8 +331,7 @@ def outbox_drain(spark, d):
     queue = OutboxQueue(spark, shared_path(spark, "drain", "queue"))
     store.write_all(ob)
     queue.append(ob)
-    drain_once(spark, queue, store,
-               lambda todo: todo.where(F.col("SUBJECT").startswith("click ")).select("SUBJECT"))
+    drain_once(spark, queue, store, lambda todo: _delivered(todo, ob))
     return store.read()
 
 

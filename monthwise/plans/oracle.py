@@ -332,13 +332,13 @@ def oracle_sql() -> dict[str, str]:
                        f" AS CC, SUBJECT, BODY, 'N' AS PROCESADO FROM ({mail_sql()})")
     inc = (f"inc AS (SELECT MAX(FECHA) AS FECHA, {sq(OUTBOX_TO)} AS PARA, CAST(NULL AS VARCHAR) AS CC,"
            f" SUBJECT, 'resend ' || SUBJECT AS BODY, 'N' AS PROCESADO FROM ob WHERE "
-           f"starts_with(SUBJECT, 'purchase ') GROUP BY SUBJECT)")
+           f"FECHA = (SELECT MAX(FECHA) FROM ob) GROUP BY SUBJECT)")
     q["replace_by_key"] = (f"WITH {OUTBOX_CTE}, {inc} SELECT * FROM ob WHERE NOT EXISTS (SELECT 1 "
                            f"FROM inc WHERE inc.SUBJECT = ob.SUBJECT) UNION ALL SELECT FECHA, PARA, "
                            f"CC, SUBJECT, BODY, PROCESADO FROM inc")
     q["pending"] = f"WITH {OUTBOX_CTE} SELECT * FROM ob WHERE PROCESADO = 'N'"
     q["mark_processed"] = (f"WITH {OUTBOX_CTE}, sent AS (SELECT DISTINCT SUBJECT FROM ob WHERE "
-                           f"PROCESADO = 'N' AND starts_with(SUBJECT, 'click ')) SELECT FECHA, PARA, "
+                           f"PROCESADO = 'N' AND FECHA < (SELECT MAX(FECHA) FROM ob)) SELECT FECHA, PARA, "
                            f"CC, SUBJECT, BODY, CASE WHEN PROCESADO = 'N' AND SUBJECT IN (SELECT "
                            f"SUBJECT FROM sent) THEN 'S' ELSE PROCESADO END AS PROCESADO FROM ob")
     q["outbox_drain"] = q["mark_processed"]
