@@ -40,9 +40,10 @@ def calendar_gate(calendar: DataFrame, as_of=None, days: Sequence[str] = DEFAULT
     closed gate (``gate_open`` false); two rows for the day raise an error.
     """
     name = calendar.where(F.col(date_col) == as_of_col(as_of)).select(name_col).scalar()
-    one = calendar.sparkSession.range(1)
-    return one.select(as_of_col(as_of).alias("as_of"), name.alias(name_col),
-                      F.coalesce(name.isin(list(days)), F.lit(False)).alias("gate_open"))
+    one = calendar.sparkSession.range(1).select(as_of_col(as_of).alias("as_of"),
+                                                name.alias(name_col))
+    return one.select("as_of", name_col,
+                      F.coalesce(F.col(name_col).isin(list(days)), F.lit(False)).alias("gate_open"))
 
 
 def gate_schedule(calendar: DataFrame, facts: DataFrame, period: str = "PERIODO",
@@ -56,8 +57,9 @@ def gate_schedule(calendar: DataFrame, facts: DataFrame, period: str = "PERIODO"
     """
     max_period = facts.select(F.max(period)).scalar()
     bound = period_key(F.add_months(F.col(date_col), -n_back))
-    has_data = F.coalesce(max_period >= bound, F.lit(False))
-    return calendar.select(
+    with_max = calendar.select(date_col, name_col, max_period.alias("_max"))
+    has_data = F.coalesce(F.col("_max") >= bound, F.lit(False))
+    return with_max.select(
         date_col, name_col, has_data.alias("has_data"),
         (has_data & F.coalesce(F.col(name_col).isin(list(days)), F.lit(False))).alias("gate_open"))
 
