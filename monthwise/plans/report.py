@@ -3,7 +3,7 @@
 ``ReportBase`` holds the only two aggregations that touch the fact tables:
 subscribers summed per (period, type, label) and transactions reduced to the
 additive parts ``SUM(q)`` and ``SUM(q*m)`` per (period, type, label).  Both are
-checkpointed to the shared checkpoint folder, which cuts the lineage back to the
+written as Parquet under the shared checkpoint folder, which cuts the lineage back to the
 large scans; every section (chart, four tables, totals, top-n) then works on
 these label-sized parts.  The original ran four scans of each fact table.
 """
@@ -67,7 +67,7 @@ class ReportBase:
 
     @staticmethod
     def materialize(df: DataFrame) -> DataFrame:
-        return materialize(df)
+        return materialize(df, "report-base")
 
     @classmethod
     def from_rows(cls, subscribers: DataFrame, transactions: DataFrame, cfg: ReportConfig,
@@ -230,7 +230,7 @@ def report_sections(base: ReportBase, concurrent: bool = True) -> DataFrame:
 
     With ``concurrent`` the five independent sections are planned and run as
     parallel jobs from driver threads and each one-row result is cached (its
-    lineage starts at the checkpointed base, so a lost block recomputes from
+    lineage starts at the materialized base, so a lost block recomputes from
     label-sized data); the returned frame only unions those rows.
     """
     base.periods("subs", base.cfg.sva)     # fetch the period lists once, before the threads

@@ -12,7 +12,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library assumes: one clock (UTC), ANSI arithmetic
@@ -72,19 +71,17 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return f"{base}/monthwise/{leaf}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint that computes ``df`` once.
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
 
-    ``checkpoint()`` alone runs the plan twice (one job to compute, one to
-    write the files) unless the data is persisted; persisting first makes the
-    write read the cached blocks.  The result reads from the shared checkpoint
-    folder, so its lineage no longer reaches back to the scans.
+    One write job; the result's lineage starts at durable files (a lost
+    executor re-reads them instead of re-scanning the sources), reads prune
+    columns, and Spark knows the exact size of the data for broadcast choices.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist(blocking=False)
-    return out
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def is_local_path(path: str) -> bool:
