@@ -39,6 +39,8 @@ class Theme:
     title_end: str = "</b></p>"
     even: str = "#f3f3f3"
     odd: str = "#ffffff"
+    bar_sva: str = "#c484fc"
+    bar_sms: str = "#7c3aed"
     missing: str | None = None   # shown for missing cells; None shows the 0 fill
 
 
@@ -181,13 +183,14 @@ def stacked_bar_geometry(by_type: DataFrame, period: str = "PERIODO", sms: str =
         kilo_label(sms, label_scale).alias("sms_label"))
 
 
-def chart_html(geometry: DataFrame, period: str = "PERIODO", title: str = "Evolution") -> DataFrame:
+def chart_html(geometry: DataFrame, period: str = "PERIODO", title: str = "Evolution",
+               theme: Theme = DEFAULT_THEME) -> DataFrame:
     """One ``<td>`` bar per period, ascending, inside a one-row table."""
     bar = F.concat(
         F.lit('<td valign="bottom" align="center"><div>'), F.col("total_label"), F.lit("</div>"),
-        F.lit('<div style="background:#c484fc;height:'), F.col("sva_px").cast("string"),
+        F.lit(f'<div style="background:{theme.bar_sva};height:'), F.col("sva_px").cast("string"),
         F.lit('px;">'), F.col("sva_label"), F.lit("</div>"),
-        F.lit('<div style="background:#7c3aed;height:'), F.col("sms_px").cast("string"),
+        F.lit(f'<div style="background:{theme.bar_sms};height:'), F.col("sms_px").cast("string"),
         F.lit('px;">'), F.col("sms_label"), F.lit("</div>"),
         F.lit("<div>"), F.col(period).cast("string"), F.lit("</div></td>"))
     bars = ordered_concat(geometry.select(period, bar.alias("_bar")), [], period, "_bar", out="_bars")

@@ -189,8 +189,8 @@ def chart_sql() -> str:
     k = lambda e: f"CAST({rint(e + ' / 1000')} AS VARCHAR) || 'k'"
     px = lambda e: f"CAST({rint(e + ' / 2000')} AS VARCHAR)"
     bar = (f"'<td valign=\"bottom\" align=\"center\"><div>' || {k('(SMS + SVA)')} || '</div>'"
-           f" || '<div style=\"background:#c484fc;height:' || {px('SVA')} || 'px;\">' || {k('SVA')}"
-           f" || '</div>' || '<div style=\"background:#7c3aed;height:' || {px('SMS')} || 'px;\">'"
+           f" || '<div style=\"background:{TH.bar_sva};height:' || {px('SVA')} || 'px;\">' || {k('SVA')}"
+           f" || '</div>' || '<div style=\"background:{TH.bar_sms};height:' || {px('SMS')} || 'px;\">'"
            f" || {k('SMS')} || '</div>' || '<div>' || CAST(PERIODO AS VARCHAR) || '</div></td>'")
     title = ReportCfg.chart_title
     return (f"(WITH {facts()}, {bt} SELECT '<table><tr><td colspan=\"99\">{title}</td></tr><tr>' "

@@ -214,7 +214,8 @@ def _table_builders(base: ReportBase) -> list[tuple[str, object]]:
             total_value="ARPU", bounded_rows=True, theme=th)
 
     def chart():
-        return R.chart_html(R.stacked_bar_geometry(base.by_type()), title=cfg.chart_title)
+        return R.chart_html(R.stacked_bar_geometry(base.by_type()), title=cfg.chart_title,
+                            theme=th)
 
     return [("chart", chart), ("sva_qty", sva_qty), ("smsp_qty", smsp_qty),
             ("sva_mean", sva_mean), ("smsp_mean", smsp_mean)]

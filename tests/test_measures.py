@@ -1,7 +1,6 @@
 import decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from monthwise.operators import measures as M
 from monthwise.operators.window import trailing_months
