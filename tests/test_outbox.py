@@ -61,3 +61,16 @@ def test_store_replace_and_mark(spark, tmp_shared):
     store.mark_processed(spark.createDataFrame([("s1",)], "SUBJECT string"))
     assert rows(store.pending().select("SUBJECT")) == [("s2",)]
     assert dict(store.count_by_status().collect()) == {"S": 1, "N": 1}
+
+
+def test_store_replace_is_idempotent(spark, tmp_shared):
+    store = OutboxStore(spark, f"{tmp_shared}/outbox2")
+    store.write_all(box(spark, [(D1, "u", None, "s1", "a", "S"), (D1, "u", None, "s2", "b", "N"),
+                                (D2, "u", None, "s3", "c", "N")]))
+    inc = box(spark, [(D2, "v", None, "s2", "new", "N"), (D2, "v", None, "s4", "d", "N")])
+    store.replace(inc)
+    once = rows(store.read())
+    store.replace(inc)
+    assert rows(store.read()) == once
+    assert rows(store.read().select("SUBJECT", "BODY")) == [
+        ("s1", "a"), ("s2", "new"), ("s3", "c"), ("s4", "d")]
