@@ -2,8 +2,9 @@
 
 The grid is built without a cross join or a join back to the facts: each
 label's cells are gathered into a map (one entry per period, so the group is
-bounded by the number of months), the period list comes from a scalar subquery
-(bounded by calendar months), and ``explode`` emits exactly labels x periods rows.
+bounded by the number of months), the period list is an array literal when the
+caller already holds it (``ReportBase.periods``) or else a scalar subquery (both
+bounded by calendar months), and ``explode`` emits exactly labels x periods rows.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def as_period_array(periods) -> Column | None:
 
 
 def dense_grid(facts: DataFrame, label: str = "SVA_SMS", period: str = "PERIODO",
-               value: str = "Q", fill=0, periods: Column | None = None,
+               value: str = "Q", fill=0, periods: Column | list | None = None,
                labels: DataFrame | None = None, null_label_matches: bool = False) -> DataFrame:
     """Every label x every period, the fact value where present, ``fill`` elsewhere.
 

@@ -80,12 +80,10 @@ def tree_concat(df: DataFrame, pos: str, piece: str, keys=(), out: str = "html",
     keys = list(keys)
     cur = df.select(*keys, F.col(pos).cast("bigint").alias("_pos"), F.col(piece).alias("_p"))
     for _ in range(levels):
-        cur = cur.withColumn("_grp", F.floor(F.col("_pos") / F.lit(fanout)).cast("bigint"))
+        cur = cur.withColumn("_grp", F.expr(f"`_pos` div {int(fanout)}"))
         cur = ordered_concat(cur, keys + ["_grp"], "_pos", "_p", out="_p") \
             .withColumnRenamed("_grp", "_pos")
-    return cur.groupBy(*keys).agg(
-        F.expr("listagg(`_p`, '') WITHIN GROUP (ORDER BY `_pos`)").alias(out)) if keys else \
-        cur.agg(F.expr("listagg(`_p`, '') WITHIN GROUP (ORDER BY `_pos`)").alias(out))
+    return ordered_concat(cur, keys, "_pos", "_p", out=out)
 
 
 # -- cell formatting -----------------------------------------------------------
