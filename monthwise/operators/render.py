@@ -270,8 +270,11 @@ def _td_sql(text_sql: str, theme: Theme, label: bool = False) -> str:
     return f"concat({sql_str(theme.td_label if label else theme.td)}, {text_sql}, {sql_str(theme.td_end)})"
 
 
-def _cell_sql(col: str, money: bool) -> str:
-    return group_digits_sql(f"coalesce(`{col}`, 0)", ".", "$ " if money else "")
+def _cell_sql(col: str, money: bool, theme: Theme = DEFAULT_THEME) -> str:
+    text = group_digits_sql(f"coalesce(`{col}`, 0)", ".", "$ " if money else "")
+    if theme.missing is not None:
+        text = f"CASE WHEN `{col}` IS NULL THEN {sql_str(theme.missing)} ELSE {text} END"
+    return text
 
 
 def table_section(cells: DataFrame, labels: DataFrame, totals: DataFrame, periods: list,
@@ -298,7 +301,7 @@ def table_section(cells: DataFrame, labels: DataFrame, totals: DataFrame, period
     if show_rank:
         parts.append(_td_sql("CAST(rn AS STRING)", theme, label=True))
     parts.append(_td_sql(f"`{label}`", theme, label=True))
-    parts += [_td_sql(_cell_sql(f"_c{i}", money), theme) for i in range(n)]
+    parts += [_td_sql(_cell_sql(f"_c{i}", money, theme), theme) for i in range(n)]
     if row_total == "cells":
         total = " + ".join([f"coalesce(_c{i}, 0)" for i in range(n)] or ["0"])
         parts.append(_td_sql(group_digits_sql(f"({total})"), theme))
@@ -311,7 +314,7 @@ def table_section(cells: DataFrame, labels: DataFrame, totals: DataFrame, period
     tot = pivot_periods(totals, [], period, total_value, periods, how=totals_how, prefix="_t")
     span = ' colspan="2"' if show_rank else ""
     tparts = [sql_str(f"{theme.total_open}<td{span}>{caption}{theme.td_end}")]
-    tparts += [_td_sql(_cell_sql(f"_t{i}", money), theme) for i in range(n)]
+    tparts += [_td_sql(_cell_sql(f"_t{i}", money, theme), theme) for i in range(n)]
     if grand:
         g = " + ".join([f"coalesce(_t{i}, 0)" for i in range(n)] or ["0"])
         tparts.append(_td_sql(group_digits_sql(f"({g})"), theme))

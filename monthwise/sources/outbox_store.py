@@ -50,7 +50,8 @@ class OutboxStore:
         of touched partitions is one value per day, fetched to the driver."""
         stage = shared_path(self.spark, "outbox-stage")
         new_rows.write.mode("overwrite").partitionBy(self.partition_col).parquet(stage)
-        staged = self.spark.read.parquet(stage)
+        # read with the known schema: an empty change leaves no files to infer it from
+        staged = self.spark.read.schema(new_rows.schema).parquet(stage)
         emptied = []
         if touched is not None:
             present = staged.select(self.partition_col).distinct()

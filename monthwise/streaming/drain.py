@@ -37,8 +37,11 @@ class OutboxQueue:
     def append(self, rows: DataFrame) -> None:
         rows.select(*O.OUTBOX_COLUMNS).write.mode("append").parquet(self.path)
 
-    def stream(self) -> DataFrame:
-        return self.spark.readStream.schema(OUTBOX_SCHEMA).parquet(self.path)
+    def stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
+        reader = self.spark.readStream.schema(OUTBOX_SCHEMA)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.parquet(self.path)
 
 
 def queue_and_replace(store: OutboxStore, queue: OutboxQueue, incoming: DataFrame,
@@ -50,18 +53,22 @@ def queue_and_replace(store: OutboxStore, queue: OutboxQueue, incoming: DataFram
 
 def start_drain(spark: SparkSession, queue: OutboxQueue, store: OutboxStore,
                 deliver: Callable[[DataFrame], DataFrame], checkpoint: str | None = None,
-                available_now: bool = True, key: str = "SUBJECT") -> StreamingQuery:
+                available_now: bool = True, key: str = "SUBJECT",
+                max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the drain.  ``deliver(pending_rows) -> DataFrame[key]`` sends mail
-    (outside this library) and returns the keys it delivered."""
+    (outside this library) and returns the keys it delivered.  A backlog is
+    split into batches of at most ``max_files_per_trigger`` queue files."""
     checkpoint = checkpoint or shared_path(spark, "outbox-drain-checkpoint")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():
+            return
         keys = batch.select(key).where(batch[key].isNotNull()).distinct()
         todo = store.pending().join(keys, key, "left_semi")
         sent = deliver(todo)
         store.mark_processed(sent, key)
 
-    writer = queue.stream().writeStream.foreachBatch(on_batch) \
+    writer = queue.stream(max_files_per_trigger).writeStream.foreachBatch(on_batch) \
         .option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="1 minute")
@@ -69,9 +76,11 @@ def start_drain(spark: SparkSession, queue: OutboxQueue, store: OutboxStore,
 
 
 def drain_once(spark: SparkSession, queue: OutboxQueue, store: OutboxStore,
-               deliver: Callable[[DataFrame], DataFrame], checkpoint: str | None = None) -> None:
+               deliver: Callable[[DataFrame], DataFrame], checkpoint: str | None = None,
+               max_files_per_trigger: int | None = None) -> None:
     """Process everything queued so far, then stop (a scheduled drain run)."""
-    q = start_drain(spark, queue, store, deliver, checkpoint, available_now=True)
+    q = start_drain(spark, queue, store, deliver, checkpoint, available_now=True,
+                    max_files_per_trigger=max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

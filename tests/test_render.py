@@ -61,3 +61,15 @@ def test_template_function_sql(spark):
     got = spark.sql("SELECT mail_tpl_test('T', '01-01-2024', 'B', '') AS h").first().h
     assert got == spark.range(1).select(R.default_template(
         F.lit("T"), F.lit("01-01-2024"), F.lit("B"), F.lit(""))).first()[0]
+
+
+def test_missing_marker_in_table_section(spark):
+    th = R.Theme(missing="-")
+    cells = spark.createDataFrame([("a", 202401, 5), ("b", 202402, 7)],
+                                  "SVA_SMS string, PERIODO int, Q long")
+    labels = spark.createDataFrame([("a", 1), ("b", 2)], "SVA_SMS string, rn long")
+    html = R.table_section(cells, labels, cells, [202401, 202402], "T", ("SVA",), False, False,
+                           "Total", None, False, total_value="Q", totals_how="sum",
+                           theme=th).first().html
+    assert '<td>a</td><td align="right">5</td><td align="right">-</td></tr>' in html
+    assert '<td>b</td><td align="right">-</td><td align="right">7</td></tr>' in html

@@ -36,3 +36,20 @@ def test_drain_marks_delivered_and_resumes(spark, tmp_shared):
 
     drain_once(spark, queue, store, deliver, cp)          # nothing new: no batch
     assert len(delivered) == 2
+
+
+def test_drain_in_bounded_batches(spark, tmp_shared):
+    store = OutboxStore(spark, f"{tmp_shared}/outbox")
+    queue = OutboxQueue(spark, f"{tmp_shared}/queue")
+    for i in range(3):
+        queue_and_replace(store, queue, spark.createDataFrame(
+            [(D1, "a", None, f"s{i}", "b", "N")], SCHEMA))
+    batches = []
+
+    def deliver(todo):
+        batches.append(todo.count())
+        return todo.select("SUBJECT")
+
+    drain_once(spark, queue, store, deliver, f"{tmp_shared}/cp", max_files_per_trigger=1)
+    assert len(batches) >= 3 and sum(batches) == 3
+    assert store.pending().count() == 0
