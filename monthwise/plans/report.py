@@ -80,7 +80,9 @@ class ReportBase:
             F.sum("Q_TRANSACCIONES").alias("Q"),
             F.sum(F.col("Q_TRANSACCIONES") * F.col("MONTO_NETO")).alias("QM"))
         if materialize:
-            s, t = cls.materialize(s), cls.materialize(t)
+            # two independent scans: submit both jobs at once
+            with ThreadPoolExecutor(max_workers=2) as pool:
+                s, t = pool.map(cls.materialize, [s, t])
         return cls(s, t, cfg)
 
     @classmethod
