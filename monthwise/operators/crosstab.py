@@ -104,6 +104,57 @@ class Crosstab:
     periods: Column
 
 
+def _pivot_cols(df: DataFrame, keys, period: str, value: str, periods: list, how: str,
+                prefix: str) -> DataFrame:
+    fn = "max" if how == "max" else "sum"
+    cols = [F.expr(f"{fn}(CASE WHEN `{period}` = {int(p)} THEN `{value}` END)").alias(f"{prefix}{i}")
+            for i, p in enumerate(periods)] or [F.lit(None).alias(f"{prefix}none")]
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.groupBy(*keys).agg(*cols) if keys else df.agg(*cols)
+
+
+def _unpivot(df: DataFrame, keep: list, periods: list, prefix: str, period: str, value: str,
+             dtype) -> DataFrame:
+    """Wide period columns back to rows (one per listed period), 0-filled."""
+    if not periods:
+        return df.select(*keep, F.lit(None).cast("int").alias(period),
+                         F.lit(0).cast(dtype).alias(value), F.lit(True).alias("is_missing")) \
+            .where(F.lit(False))
+    entries = [F.struct(F.lit(int(p)).alias(period),
+                        F.coalesce(F.col(f"{prefix}{i}"), F.lit(0).cast(dtype)).alias(value),
+                        F.col(f"{prefix}{i}").isNull().alias("is_missing"))
+               for i, p in enumerate(periods)]
+    return df.select(*keep, F.inline(F.array(*entries)))
+
+
+def pivot_crosstab(facts: DataFrame, labels: DataFrame, totals_src: DataFrame, periods: list,
+                   label: str, period: str, value: str, totals_value: str, totals_how: str,
+                   row_total: str | None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Grid, row totals and column totals from one ``groupBy(label)`` pivot on a
+    known period list plus one global pivot for the totals line.
+
+    ``row_total="cells"`` sums the label's grid cells; another name takes that
+    column from ``labels``; None gives no row totals.
+    """
+    dtype = facts.schema[value].dataType
+    wide = _pivot_cols(facts, label, period, value, periods, "max", "_c")
+    rows = labels.join(wide, on=label, how="left")
+    keep = [c for c in labels.columns]
+    grid = _unpivot(rows, keep, periods, "_c", period, value, dtype)
+    rt = None
+    if row_total == "cells":
+        total = F.lit(0).cast(dtype)
+        for i in range(len(periods)):
+            total = total + F.coalesce(F.col(f"_c{i}"), F.lit(0).cast(dtype))
+        rt = rows.select(label, "rn", total.alias("total_fila"))
+    elif row_total is not None:
+        rt = labels.select(label, "rn", row_total)
+    tdtype = totals_src.schema[totals_value].dataType
+    tot = _pivot_cols(totals_src, [], period, totals_value, periods, totals_how, "_t")
+    ct = _unpivot(tot, [], periods, "_t", period, "total_periodo", tdtype)
+    return grid, rt, ct
+
+
 def quantity_crosstab(facts: DataFrame, label: str = "SVA_SMS", period: str = "PERIODO",
                       value: str = "Q", top_n: int | None = None, periods=None) -> Crosstab:
     """Quantity table.
@@ -115,6 +166,21 @@ def quantity_crosstab(facts: DataFrame, label: str = "SVA_SMS", period: str = "P
     column totals cover only those k labels.  ``periods``: the table's period
     list if already known (else a subquery finds it).
     """
+    if isinstance(periods, (list, tuple)):
+        if top_n is None:
+            labels = rank_labels(facts.select(label).distinct(), [F.col(label).asc_nulls_first()])
+            grid, rt, ct = pivot_crosstab(facts, labels, facts, list(periods), label, period,
+                                          value, value, "sum", "cells")
+            rt_col = "total_fila"
+        else:
+            top = top_n_by_total(facts, label, value, top_n)
+            kept = facts.join(F.broadcast(top.select(label)), label, "left_semi")
+            grid, rt, ct = pivot_crosstab(kept, top.select(label, "rn", "total_general"), kept,
+                                          list(periods), label, period, value, value, "sum",
+                                          "total_general")
+            rt_col = "total_general"
+        return Crosstab(grid, rt, ct, label, period, value, rt_col, "total_periodo",
+                        "gran_total", as_period_array(periods))
     periods = period_list(facts, period) if periods is None else as_period_array(periods)
     if top_n is None:
         labels = rank_labels(facts.select(label).distinct(), [F.col(label).asc_nulls_first()])
@@ -148,6 +214,18 @@ def mean_crosstab(cells: DataFrame, period_means: DataFrame, label: str = "SVA_S
     shown).  ``top_n=k`` ranks labels by the rounded average of their monthly
     means.  The totals row sits on the table's period grid, 0-filled.
     """
+    if isinstance(periods, (list, tuple)):
+        if top_n is None:
+            labels = rank_labels(cells.select(label).distinct(), [F.col(label).asc_nulls_first()])
+            src = cells
+        else:
+            top = top_n_by_mean(cells, label, value, top_n)
+            labels = top.select(label, "rn")
+            src = cells.join(F.broadcast(top.select(label)), label, "left_semi")
+        grid, _, ct = pivot_crosstab(src, labels, period_means, list(periods), label, period,
+                                     value, period_value, "max", None)
+        return Crosstab(grid, None, ct, label, period, value, None, "total_periodo", None,
+                        as_period_array(periods))
     periods = period_list(cells, period) if periods is None else as_period_array(periods)
     if top_n is None:
         labels = rank_labels(cells.select(label).distinct(), [F.col(label).asc_nulls_first()])
