@@ -56,10 +56,12 @@ def dense_grid(facts: DataFrame, label: str = "SVA_SMS", period: str = "PERIODO"
     return out
 
 
-def row_totals(grid: DataFrame, label: str = "SVA_SMS", value: str = "Q",
+def row_totals(grid: DataFrame, label="SVA_SMS", value: str = "Q",
                out: str = "total_fila") -> DataFrame:
-    """Sum of a label's cells across the period grid (missing cells count 0)."""
-    return grid.groupBy(label).agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias(out))
+    """Sum of a label's cells across the period grid (missing cells count 0).
+    ``label`` may be a list of columns (e.g. label and rank)."""
+    keys = [label] if isinstance(label, str) else list(label)
+    return grid.groupBy(*keys).agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias(out))
 
 
 def column_totals(df: DataFrame, period: str = "PERIODO", value: str = "Q",
@@ -185,8 +187,8 @@ def quantity_crosstab(facts: DataFrame, label: str = "SVA_SMS", period: str = "P
     if top_n is None:
         labels = rank_labels(facts.select(label).distinct(), [F.col(label).asc_nulls_first()])
         grid = dense_grid(facts, label, period, value, labels=labels, periods=periods)
-        rt = row_totals(grid, label, value).join(labels, on=label)
-        rt = rt.select(label, "rn", "total_fila")
+        # group on (label, rn): a NULL label keeps its (zero) row total
+        rt = row_totals(grid, [label, "rn"], value)
         ct = column_totals(facts, period, value)
         rt_col = "total_fila"
     else:
