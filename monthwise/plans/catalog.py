@@ -254,6 +254,13 @@ def report_sections_q(spark, d):
     return report_sections(base(spark, d, True))
 
 
+@query
+def report_sections_narrow(spark, d):
+    """The rendered sections with the narrow label (part type): few labels, no gaps."""
+    b = ReportBase.from_tables(spark, d, cfg(), label="part_type", materialize=True)
+    return report_sections(b)
+
+
 @query
 def template_hook(spark, d):
     return report_mail(base(spark, d, True))

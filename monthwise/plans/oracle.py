@@ -111,10 +111,10 @@ def qty_crosstab_ctes(tipo: str, top: bool, label: str = "supplier") -> str:
         "rt AS (SELECT rn, SVA_SMS, SUM(Q) AS v FROM g GROUP BY rn, SVA_SMS)"])
 
 
-def mean_crosstab_ctes(tipo: str, zero: str, top: bool) -> str:
+def mean_crosstab_ctes(tipo: str, zero: str, top: bool, label: str = "supplier") -> str:
     lab = top_mean("m", "lab") if top else rank_alpha("m", "lab")
     return ",\n".join([
-        facts(), means(tipo, zero), period_means(tipo, zero), lab, grid("lab", "m", "ARPU"),
+        facts(label), means(tipo, zero), period_means(tipo, zero), lab, grid("lab", "m", "ARPU"),
         on_grid("m", "SELECT PERIODO, ARPU AS v FROM pm")])
 
 
@@ -200,24 +200,26 @@ def chart_sql() -> str:
 ReportCfg = RP.ReportConfig()
 
 
-def sections_sql() -> list[tuple[int, str, str]]:
+def sections_sql(label: str = "supplier") -> list[tuple[int, str, str]]:
     return [
         (0, "chart", chart_sql()),
-        (1, "sva_qty", section_sql(RP.TITLE_SVA_QTY, qty_crosstab_ctes("SVA", False), "Q",
+        (1, "sva_qty", section_sql(RP.TITLE_SVA_QTY, qty_crosstab_ctes("SVA", False, label), "Q",
                                    ("SVA",), False, False, RP.CAPTION_TOTAL, True, True)),
-        (2, "smsp_qty", section_sql(RP.TITLE_SMSP_QTY, qty_crosstab_ctes("SMSP", True), "Q",
+        (2, "smsp_qty", section_sql(RP.TITLE_SMSP_QTY, qty_crosstab_ctes("SMSP", True, label), "Q",
                                     ("#", "SMSP"), True, False, RP.CAPTION_TOTAL_TOP, True, True)),
-        (3, "sva_mean", section_sql(RP.TITLE_SVA_MEAN, mean_crosstab_ctes("SVA", "error", False),
+        (3, "sva_mean", section_sql(RP.TITLE_SVA_MEAN,
+                                    mean_crosstab_ctes("SVA", "error", False, label),
                                     "ARPU", ("SVA",), False, True, RP.CAPTION_MEAN, False, False)),
-        (4, "smsp_mean", section_sql(RP.TITLE_SMSP_MEAN, mean_crosstab_ctes("SMSP", "null", True),
+        (4, "smsp_mean", section_sql(RP.TITLE_SMSP_MEAN,
+                                     mean_crosstab_ctes("SMSP", "null", True, label),
                                      "ARPU", ("#", "SMSP"), True, True, RP.CAPTION_MEAN, False,
                                      False)),
     ]
 
 
-def report_sections_sql() -> str:
+def report_sections_sql(label: str = "supplier") -> str:
     return "\nUNION ALL\n".join(f"SELECT {o} AS ord, '{n}' AS name, {s} AS html"
-                                for o, n, s in sections_sql())
+                                for o, n, s in sections_sql(label))
 
 
 def mail_sql() -> str:
@@ -315,6 +317,7 @@ def oracle_sql() -> dict[str, str]:
     q["ordered_concat_header"] = (f"WITH {facts()}, {qty('SVA')} SELECT "
                                   f"{header_sql('f', ('SVA',), True)} AS html")
     q["report_sections"] = report_sections_sql()
+    q["report_sections_narrow"] = report_sections_sql("part_type")
     q["template_hook"] = mail_sql()
     q["has_recent_data"] = (f"SELECT {AS_OF_SQL} AS as_of, CAST(COUNT(*) AS BIGINT) AS num_rows, "
                             f"COUNT(*) > 0 AS has_data FROM lineitem WHERE {P} >= {BOUND}")
