@@ -24,7 +24,7 @@ from monthwise.operators import measures as M
 from monthwise.operators import ranking as RK
 from monthwise.operators import render as R
 from monthwise.operators.window import trailing_months
-from monthwise.session import materialize
+from monthwise.session import materialize, release
 from monthwise.sources import tables as T
 
 # Section titles, totals captions and subject of the report.
@@ -94,7 +94,12 @@ class ReportBase:
         parts = T.labelled_parts(facts, T.label_dim(spark, sf_dir, label), with_amount=True)
         if materialize:
             parts = cls.materialize(parts)
-        return cls(parts.select("PERIODO", "TIPO", "SVA_SMS", "Q"), parts, cfg)
+        return cls(parts.select("PERIODO", "TIPO", "SVA_SMS", "Q"), parts, cfg)  # trx holds the path
+
+    def release(self) -> None:
+        """Delete the materialized aggregates (call when the report is written)."""
+        for df in {id(self.subs): self.subs, id(self.trx): self.trx}.values():
+            release(df)
 
     def periods(self, which: str, type_value: str) -> list:
         """Sorted periods of one type in the subscriber or transaction parts

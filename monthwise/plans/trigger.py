@@ -20,6 +20,7 @@ from monthwise.functions.periods import DEFAULT_RUN_DAYS
 from monthwise.operators import gating as G
 from monthwise.operators.outbox import outbox_row
 from monthwise.plans.report import ReportBase, ReportConfig, report_mail
+from monthwise.session import materialize, release
 from monthwise.sources.outbox_store import OutboxStore
 
 
@@ -32,9 +33,16 @@ def run_report_trigger(subscribers: DataFrame, transactions: DataFrame, calendar
     if not G.calendar_gate(calendar, cfg.as_of_date(), days).first().gate_open:
         return False
     base = ReportBase.from_rows(subscribers, transactions, cfg)
-    mail = report_mail(base) if template is None else report_mail(base, template)
-    row = outbox_row(mail, to, cc, cfg.as_of_date())
-    store.replace(row, "SUBJECT")
-    if queue is not None:
-        queue.append(row)
+    try:
+        mail = report_mail(base) if template is None else report_mail(base, template)
+        # one row, written twice (table and queue log): compute it once
+        row = materialize(outbox_row(mail, to, cc, cfg.as_of_date()), "outbox-row")
+        try:
+            store.replace(row, "SUBJECT")
+            if queue is not None:
+                queue.append(row)
+        finally:
+            release(row)
+    finally:
+        base.release()
     return True

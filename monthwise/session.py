@@ -81,7 +81,20 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._monthwise_path = path
+    return out
+
+
+def release(df: DataFrame) -> bool:
+    """Delete the folder behind a ``materialize``d frame (after its last use)."""
+    path = getattr(df, "_monthwise_path", None)
+    if path is None:
+        return False
+    sc = df.sparkSession.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    return bool(fs.delete(jpath, True))
 
 
 def is_local_path(path: str) -> bool:

@@ -102,3 +102,16 @@ def test_two_render_paths_agree(spark):
     }
     for name, df in slow.items():
         assert df.first().html == fast[name], name
+
+
+def test_release_deletes_materialized_folders(spark):
+    import os
+    subs = spark.createDataFrame([(202401, "SVA", "a", 1)], SUBS)
+    trx = spark.createDataFrame([(202401, "SVA", "a", 1, d(2))], TRX)
+    base = ReportBase.from_rows(subs, trx, ReportConfig(as_of="2024-01-20"))
+    paths = [base.subs._monthwise_path, base.trx._monthwise_path]
+    local = [p.replace("file:", "") for p in paths]
+    assert all(os.path.isdir(p) for p in local)
+    assert base.qty_by_label("SVA").count() == 1
+    base.release()
+    assert not any(os.path.exists(p) for p in local)
