@@ -228,21 +228,6 @@ def register_template_function(spark, name: str = "mail_template") -> None:
 MAX_LITERAL_PERIODS = 1200   # 100 years of months
 
 
-def period_values(df: DataFrame, period: str = "PERIODO",
-                  limit: int = MAX_LITERAL_PERIODS) -> list | None:
-    """Sorted distinct periods, fetched to the driver.
-
-    A period is a month, so the list is bounded by the months in the data (8
-    for the report window); this is the same small fetch Spark's ``pivot``
-    makes to learn its columns.  Returns None beyond ``limit`` values, and the
-    callers then keep the period list inside the plan instead.
-    """
-    vals = [r[0] for r in df.select(period).distinct().limit(limit + 1).collect()]
-    if len(vals) > limit:
-        return None
-    return sorted(v for v in vals if v is not None)
-
-
 def header_html(periods: list, first: tuple[str, ...], total: bool,
                 theme: Theme = DEFAULT_THEME) -> str:
     ths = "".join(f"{theme.th}{t}{theme.th_end}" for t in (*first, *map(str, periods)))

@@ -8,7 +8,6 @@ here when the session has none, which is the local/test case.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -95,7 +94,3 @@ def release(df: DataFrame) -> bool:
     jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
     return bool(fs.delete(jpath, True))
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or os.path.isabs(path)

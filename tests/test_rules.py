@@ -9,12 +9,10 @@ ROOT = pathlib.Path(__file__).resolve().parent.parent / "monthwise"
 # site -> why it is bounded
 ALLOWED_COLLECT = {
     "plans/report.py": "distinct (type, month) pairs of the window, capped with an error",
-    "operators/render.py": "distinct months, capped (falls back to an in-plan list)",
     "sources/outbox_store.py": "touched outbox dates (one value per day)",
 }
 ALLOWED_LIMIT = {
     "plans/report.py": "cap check of the period fetch",
-    "operators/render.py": "cap check of the period fetch",
     "operators/ranking.py": "top-n is the feature",
 }
 
