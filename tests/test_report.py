@@ -115,3 +115,16 @@ def test_release_deletes_materialized_folders(spark):
     assert base.qty_by_label("SVA").count() == 1
     base.release()
     assert not any(os.path.exists(p) for p in local)
+
+
+def test_report_with_current_date_window(spark):
+    """as_of=None: the window is computed from the query's current date."""
+    import datetime as dt
+    today = dt.date.today()
+    this_month = today.year * 100 + today.month
+    subs = spark.createDataFrame([(this_month, "SVA", "a", 1), (200001, "SVA", "old", 9)], SUBS)
+    trx = spark.createDataFrame([(this_month, "SVA", "a", 1, d(2))], TRX)
+    base = ReportBase.from_rows(subs, trx, ReportConfig(as_of=None), materialize=False)
+    assert [(r.SVA_SMS, r.Q) for r in base.qty_by_label("SVA").collect()] == [("a", 1)]
+    secs = {r.name: r.html for r in report_sections(base, concurrent=False).collect()}
+    assert f"<th>{this_month}</th>" in secs["sva_qty"] and "old" not in secs["sva_qty"]
