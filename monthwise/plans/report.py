@@ -94,7 +94,9 @@ class ReportBase:
         parts = T.labelled_parts(facts, T.label_dim(spark, sf_dir, label), with_amount=True)
         if materialize:
             parts = cls.materialize(parts)
-        return cls(parts.select("PERIODO", "TIPO", "SVA_SMS", "Q"), parts, cfg)  # trx holds the path
+        base = cls(parts.select("PERIODO", "TIPO", "SVA_SMS", "Q"), parts, cfg)  # trx holds the path
+        base._one_source = True
+        return base
 
     def release(self) -> None:
         """Delete the materialized aggregates (call when the report is written)."""
@@ -105,6 +107,8 @@ class ReportBase:
         """Sorted periods of one type in the subscriber or transaction parts
         (a bounded list: months in the window), fetched once per base."""
         cache = self.__dict__.setdefault("_periods", {})
+        if self.__dict__.get("_one_source"):
+            which = "trx"          # subs is a projection of the same parts
         if which not in cache:
             df = self.subs if which == "subs" else self.trx
             cap = R.MAX_LITERAL_PERIODS * 16
