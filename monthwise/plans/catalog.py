@@ -289,7 +289,9 @@ def gate_schedule(spark, d):
 # -- step 10: outbox ----------------------------------------------------------------------
 
 def _last_day(outbox: DataFrame):
-    return outbox.select(F.max("FECHA")).scalar()
+    """The outbox's last date: one value fetched once (like a gate result), so the
+    scenario filters below are literals and add no extra scans."""
+    return F.lit(outbox.agg(F.max("FECHA")).first()[0])
 
 
 def _incoming(outbox: DataFrame) -> DataFrame:
