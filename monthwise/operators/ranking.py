@@ -65,6 +65,19 @@ def top_n_by_mean(df: DataFrame, label: str = "SVA_SMS", value: str = "ARPU", n:
     return _rank_top(means.orderBy(*order).limit(n), order, rank_col)
 
 
+def size_based_partitions(df: DataFrame, target_bytes: int = 128 << 20) -> int:
+    """Partitions for a sort of ``df``: its optimizer size estimate (an upper bound for
+    file-based inputs, since filters, projections and distinct only shrink it)
+    divided by ``target_bytes``, between 1 and ``spark.sql.shuffle.partitions``."""
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        est = int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001 - no statistics: fall back to the session setting
+        return cap
+    return max(1, min(cap, -(-est // target_bytes)))
+
+
 def rank_labels(df: DataFrame, order: Sequence, rank_col: str = "rn",
                 partitions: int | None = None) -> DataFrame:
     """Global 1..k row number over ``order`` without a single-partition window.
@@ -77,10 +90,11 @@ def rank_labels(df: DataFrame, order: Sequence, rank_col: str = "rn",
     count table (so its broadcast is bounded by the partition count).  Both
     branches read one shuffle (``ReusedExchange``); a recomputed map task sends
     every row to the same range again, so numbers do not change on retries.
-    ``order`` should be unique per row.
+    The partition count defaults to the input's size estimate / 128 MB
+    (``size_based_partitions``).  ``order`` should be unique per row.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in _list(order)]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or size_based_partitions(df)
     mask = (1 << 33) - 1
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     mid = ranged.withColumn("_mid", F.monotonically_increasing_id())

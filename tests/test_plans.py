@@ -41,7 +41,12 @@ def test_no_cartesian_products(spark):
 
 
 def test_rank_reuses_one_range_shuffle(spark):
-    df = C.QUERIES["rank_labels"](spark, SF_SMALL)
+    from pyspark.sql import functions as F
+    from monthwise.operators import ranking as RK
+    labels = C.base(spark, SF_SMALL, True).qty_by_label("SVA").select("SVA_SMS").distinct()
+    df = RK.rank_labels(labels, [F.col("SVA_SMS").asc_nulls_first()], partitions=4)
     df.collect()
     p = plan(df)
     assert "rangepartitioning" in p and "ReusedExchange" in p and "REPARTITION_BY_NUM" in p
+    # left to itself, a small materialized input gets one range partition (size-bounded)
+    assert RK.size_based_partitions(labels) == 1
