@@ -18,3 +18,12 @@ def test_export_tables_parallel(spark):
     for (sheet, path), (df, _) in zip(done, tables):
         assert path.endswith("/" + sheet)
         assert E.read_csv(spark, path, df.schema).count() == df.count()
+
+
+def test_export_csv_separator_and_quoting(spark):
+    df = spark.createDataFrame([(1, 'a;b "q"', None), (2, "line\nbreak", 2.5)],
+                               "id int, txt string, v double")
+    path = E.export_csv(df, shared_path(spark, "test-export", "quoted"), sep=";")
+    back = spark.read.schema(df.schema).option("header", True).option("sep", ";") \
+        .option("multiLine", True).csv(path)
+    assert rows(back) == rows(df)

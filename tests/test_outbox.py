@@ -74,3 +74,11 @@ def test_store_replace_is_idempotent(spark, tmp_shared):
     assert rows(store.read()) == once
     assert rows(store.read().select("SUBJECT", "BODY")) == [
         ("s1", "a"), ("s2", "new"), ("s3", "c"), ("s4", "d")]
+
+
+def test_store_replace_empties_null_date_partition(spark, tmp_shared):
+    store = OutboxStore(spark, f"{tmp_shared}/outbox3")
+    store.write_all(box(spark, [(None, "u", None, "s1", "old", "N"), (D1, "u", None, "s2", "b", "N")]))
+    store.replace(box(spark, [(D2, "v", None, "s1", "new", "N")]))
+    got = rows(store.read().select("FECHA", "SUBJECT", "BODY"))
+    assert got == [(D1, "s2", "b"), (D2, "s1", "new")]
