@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.functions import formatting as FM
-from monthwise.functions.periods import period_key, previous_month_label
+from monthwise.functions.periods import local_date, period_key, previous_month_label
 from monthwise.operators import crosstab as X
 from monthwise.operators import gating as G
 from monthwise.operators import measures as M
@@ -286,6 +286,16 @@ def gate_schedule(spark, d):
     return G.gate_schedule(T.calendar(spark, d), facts, n_back=N_BACK)
 
 
+@query
+def local_date_offset(spark, d):
+    """Outbox dates at the fixed UTC-3 offset (the record date of the original
+    trigger), compared with the UTC date, per event day."""
+    ev = T.read_table(spark, d, "events")
+    return ev.groupBy(F.to_date("ts").alias("utc_date"),
+                      local_date("ts", "-03:00").alias("local_date")).agg(
+        F.count(F.lit(1)).alias("n_events"))
+
+
 # -- step 10: outbox ----------------------------------------------------------------------
 
 def _last_day(outbox: DataFrame):

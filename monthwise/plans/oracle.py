@@ -331,6 +331,9 @@ def oracle_sql() -> dict[str, str]:
         f"d AS (SELECT DIA_FECHA, DAYNAMELONG, COALESCE((SELECT mp FROM mx) >= {bound_of}, false) "
         f"AS has_data FROM cal) SELECT DIA_FECHA, DAYNAMELONG, has_data, has_data AND "
         f"COALESCE(DAYNAMELONG IN {run_days}, false) AS gate_open FROM d")
+    q["local_date_offset"] = ("SELECT CAST(ts AS DATE) AS utc_date, "
+                              "CAST(ts - INTERVAL 3 HOUR AS DATE) AS local_date, "
+                              "CAST(COUNT(*) AS BIGINT) AS n_events FROM events GROUP BY 1, 2")
     q["outbox_row"] = (f"SELECT {AS_OF_SQL} AS FECHA, {sq(OUTBOX_TO)} AS PARA, CAST(NULL AS VARCHAR)"
                        f" AS CC, SUBJECT, BODY, 'N' AS PROCESADO FROM ({mail_sql()})")
     inc = (f"inc AS (SELECT MAX(FECHA) AS FECHA, {sq(OUTBOX_TO)} AS PARA, CAST(NULL AS VARCHAR) AS CC,"
