@@ -24,9 +24,12 @@ def export_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True,
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
-             header: bool = True) -> DataFrame:
-    """Read an export back with a known schema (no inference pass)."""
-    return spark.read.schema(schema).option("header", header).option("sep", sep).csv(path)
+             header: bool = True, multi_line: bool = False) -> DataFrame:
+    """Read an export back with a known schema (no inference pass).  Set
+    ``multi_line`` when values may hold line breaks (quoted by the writer); it
+    reads each file whole instead of splitting it."""
+    return spark.read.schema(schema).option("header", header).option("sep", sep) \
+        .option("multiLine", multi_line).csv(path)
 
 
 def export_tables(spark: SparkSession, tables: Sequence[tuple[DataFrame | str, str]], out_dir: str,

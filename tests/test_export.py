@@ -24,6 +24,5 @@ def test_export_csv_separator_and_quoting(spark):
     df = spark.createDataFrame([(1, 'a;b "q"', None), (2, "line\nbreak", 2.5)],
                                "id int, txt string, v double")
     path = E.export_csv(df, shared_path(spark, "test-export", "quoted"), sep=";")
-    back = spark.read.schema(df.schema).option("header", True).option("sep", ";") \
-        .option("multiLine", True).csv(path)
+    back = E.read_csv(spark, path, df.schema, sep=";", multi_line=True)
     assert rows(back) == rows(df)
