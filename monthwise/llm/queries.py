@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from monthwise.llm import quality
 from monthwise.llm.near_dedup import op1_near_dedup
+from monthwise.llm.pii import op3_pii
+from monthwise.llm.quality import op2_quality_rules
+from monthwise.llm.toxicity import op4_toxicity
 
 
 def registry() -> dict:
     return {
         "op1_near_dedup": op1_near_dedup,
+        "op2_quality_rules": op2_quality_rules,
+        "op3_pii": op3_pii,
+        "op4_toxicity": op4_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_quality_rules": quality.ORACLE}

@@ -19,6 +19,9 @@ _LOWER = _BYTE.copy()
 _LOWER[65:91] = _BYTE[97:123]
 _SEP = np.zeros(256, dtype=bool)
 _SEP[[32, 9, 10, 11, 12, 13]] = True
+# A second word notion for classifiers: runs of letters and digits (any byte beyond ASCII counts).
+_NOT_ALNUM = np.ones(256, dtype=bool)
+_NOT_ALNUM[48:58] = _NOT_ALNUM[65:91] = _NOT_ALNUM[97:123] = _NOT_ALNUM[128:] = False
 _MUL = 0x9E3779B97F4A7C15 | 3
 _INV = pow(_MUL, -1, 1 << 64)
 _POW: dict[str, np.ndarray] = {}
@@ -45,12 +48,12 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
-def hash_words(data: np.ndarray, ends: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def hash_words(data: np.ndarray, ends: np.ndarray, lower: bool, alnum: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts in ``data`` (bytes; text i ends at ``ends[i]``)
     and, per text, the index after its last word."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
-    word = ~_SEP[data]
+    word = ~(_NOT_ALNUM if alnum else _SEP)[data]
     first = np.zeros(len(data) + 1, dtype=bool)       # a text starts here
     first[ends] = True
     first[0] = True
