@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from monthwise.llm import quality
 from monthwise.llm.near_dedup import op1_near_dedup
+from monthwise.llm.packing import op8_packing
 from monthwise.llm.pii import op3_pii
 from monthwise.llm.quality import op2_quality_rules
+from monthwise.llm.sharding import op7_sharding
 from monthwise.llm.toxicity import op4_toxicity
 
 
@@ -15,6 +17,8 @@ def registry() -> dict:
         "op2_quality_rules": op2_quality_rules,
         "op3_pii": op3_pii,
         "op4_toxicity": op4_toxicity,
+        "op7_sharding": op7_sharding,
+        "op8_packing": op8_packing,
     }
 
 
