@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from monthwise.llm import quality
+from monthwise.llm.html_extract import op5_html_text
 from monthwise.llm.near_dedup import op1_near_dedup
 from monthwise.llm.packing import op8_packing
 from monthwise.llm.pii import op3_pii
 from monthwise.llm.quality import op2_quality_rules
+from monthwise.llm.sentencepieces import op6_sentencepiece
 from monthwise.llm.sharding import op7_sharding
 from monthwise.llm.toxicity import op4_toxicity
+from monthwise.llm.warc import op10_warc
 
 
 def registry() -> dict:
@@ -17,8 +20,11 @@ def registry() -> dict:
         "op2_quality_rules": op2_quality_rules,
         "op3_pii": op3_pii,
         "op4_toxicity": op4_toxicity,
+        "op5_html_text": op5_html_text,
+        "op6_sentencepiece": op6_sentencepiece,
         "op7_sharding": op7_sharding,
         "op8_packing": op8_packing,
+        "op10_warc": op10_warc,
     }
 
 
