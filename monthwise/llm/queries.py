@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from monthwise.llm import quality
+from monthwise.llm.embedding_dedup import op9_embedding_dedup
 from monthwise.llm.html_extract import op5_html_text
 from monthwise.llm.near_dedup import op1_near_dedup
 from monthwise.llm.packing import op8_packing
@@ -24,6 +25,7 @@ def registry() -> dict:
         "op6_sentencepiece": op6_sentencepiece,
         "op7_sharding": op7_sharding,
         "op8_packing": op8_packing,
+        "op9_embedding_dedup": op9_embedding_dedup,
         "op10_warc": op10_warc,
     }
 
