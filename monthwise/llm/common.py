@@ -20,18 +20,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@contextmanager
-def scratch():
-    """Materialised intermediates that are deleted when the block ends."""
-    made: list[DataFrame] = []
+def few(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
+    """``df`` of about ``rows`` rows in as many tasks as these fill, never more than it has."""
+    return df.coalesce(rows // per_task + 1)
+
+
+class Keeper:
+    """Writes intermediates to the checkpoint folder and remembers them."""
+
+    def __init__(self):
+        self.made: list[DataFrame] = []
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
         out = materialize(df, name)
-        made.append(out)
+        self.made.append(out)
         return out
 
+    def last(self, df: DataFrame, name: str) -> DataFrame:
+        """Written like the others, but it outlives the block."""
+        return materialize(df, name)
+
+    def drop(self, df: DataFrame) -> None:
+        self.made.append(df)
+
+
+@contextmanager
+def scratch():
+    """Materialised intermediates that are deleted when the block ends."""
+    keep = Keeper()
     try:
         yield keep
     finally:
-        for df in made:
+        for df in keep.made:
             release(df)

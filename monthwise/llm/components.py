@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import materialize, release
+from monthwise.llm.common import few, materialize, release
 
 MAX_ROUNDS = 100
 
@@ -47,21 +47,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
     table (``release`` it after use); an empty edge list gives an empty table."""
     edges = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")) \
         .where("a is not null and b is not null and a <> b").mapInArrow(_contract, "a long, b long")
-    both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+                        .alias("e")).select("e.a", "e.b")
     both = materialize(both, "cc-edges")
-    labels = materialize(both.groupBy(F.col("a").alias("id"))
-                         .agg(F.least(F.min("b"), F.first("a")).alias("component")), "cc-labels")
+    n = both.count()
+    labels = materialize(few(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("b"))
+                             .select("id", F.least("b", "id").alias("component")), n), "cc-labels")
+    pairs = few(both, n)
     try:
         for _ in range(MAX_ROUNDS):
-            near = both.join(labels, both.b == labels.id).groupBy(F.col("a").alias("id")) \
+            near = few(pairs.join(labels, pairs.b == labels.id), n).groupBy(F.col("a").alias("id")) \
                 .agg(F.min("component").alias("near"))
-            step = labels.join(near, "id").select("id", F.least("component", "near").alias("component"),
-                                                  F.col("component").alias("was"))
+            step = few(labels.join(near, "id"), n).select("id", F.least("component", "near").alias("component"),
+                                                          F.col("component").alias("was"))
             jump = labels.select(F.col("id").alias("target"), F.col("component").alias("further"))
             step = step.join(jump, step.component == jump.target) \
                 .select("id", F.least("component", "further").alias("component"),
                         (F.least("component", "further") != F.col("was")).cast("int").alias("moved"))
-            after = materialize(step, "cc-labels")
+            after = materialize(few(step, n), "cc-labels")
             moved = after.agg(F.max("moved").alias("m")).first()["m"]
             release(labels)
             labels = after

@@ -5,23 +5,27 @@ the same set are one class, represented by its smallest id; the join runs over
 representatives, so copies never meet each other.
 
 Every representative gets MINHASHES minwise tokens.  A tree branches documents
-by tokens chosen for the node: the two root choices, then one choice per node
+by tokens chosen for the node: two choices at the root, then one choice per node
 and a second one with probability 1/4 (1.25 = 1 / threshold children, so a pair
 at the threshold survives each level with about even odds, while less similar
-ones thin out).  Nodes of at most ``leaf`` documents are compared exhaustively
-on their sketches.  In a larger node every document is compared with one pivot;
-those whose estimate reaches the threshold are left to the pivot, the rest
-descend.  So a large group of near copies shrinks by its pivots' neighbourhoods
-instead of being paired up, and no node has a cap.  ``trees`` independent trees
-bring the recall of a pair exactly at the threshold to about 0.99 at depth 8
-(0.999 at depth 3), each one more at higher similarity.
-
-Estimates only propose pairs (down to 4 standard errors below the threshold).
-A link is confirmed on the two full sets, built again from the whole texts, and
-components are unions of confirmed links.
-
-Within a leaf, pairs that are already connected by estimates of at least
-CONFIDENT are not proposed again: a group of m near copies gives about m pairs.
+ones thin out).  In a node of more than ``leaf`` documents every document is
+compared with one pivot; those estimated ABSORB or more similar are left to the
+pivot, the rest descend.  So a large group of near copies shrinks by its pivots'
+neighbourhoods instead of being paired up, and no node has a cap.  ``trees``
+independent trees bring the recall of a pair exactly at the threshold to about
+0.99 at depth 8 (0.999 at depth 3), each one more at higher similarity.
+
+Nodes of at most ``leaf`` documents are compared exhaustively on 8-bit sketches,
+down to 4 standard errors below the threshold.  Where that leaves few pairs, the
+pairs are confirmed on their full sets.  Where it leaves more pairs than
+documents, the documents themselves are brought together and the node is compared
+on full sets, which gives a spanning forest of its links.  Every link is thus
+confirmed on sets built again from whole texts, and a node of m documents gives
+fewer than m rows either way.  Components are unions of links.
+
+Shuffles carry ids, node numbers and sketches of MINHASHES bytes.  Texts are moved
+only for documents that some node proposes; a Bloom filter of BLOOM_BITS (a fixed
+size) lets the scan drop most others before the exact join.
 
 Defined results: null or empty text, or one without words: no shingles, its own
 component.  Null id: component null, kept.  Repeated ids: each row gets the
@@ -37,15 +41,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import bounded_batches, materialize, release, scratch
+from monthwise.llm.common import bounded_batches, few, scratch, table
 from monthwise.llm.components import connected_components, labels_of
 from monthwise.llm.wordhash import mix, shingle_sets
 
 MINHASHES = 128
 TREES = 6
-LEAF = 64
-CONFIDENT = 0.9
-MAX_DEPTH = 64                  # far beyond any expected depth; reaching it raises
+LEAF = 256
+ABSORB = 0.05                   # above the threshold, an estimate leaves a document to its pivot
+CONFIDENT = 0.9                 # estimates that make further pairs of a leaf needless
+BLOOM_BITS = 1 << 24
+MAX_DEPTH = 200                 # far beyond any expected depth; reaching it raises
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(7))
 _A = (_rng.integers(0, 1 << 31, MINHASHES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
@@ -62,245 +68,347 @@ def minhash(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(k):
+def _child(node: np.ndarray, choice: np.ndarray, token: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(mix(node + choice.astype(np.uint64) * _U(0x632BE59BD9B4E019)) ^ token.astype(np.uint64))
+
+
+def root_choices(trees: int) -> tuple[np.ndarray, np.ndarray]:
+    """(root, minhash) of the two choices of every tree."""
+    root = np.repeat(mix(np.arange(1, trees + 1, dtype=np.uint64)), 2)
+    i = (mix(root) % _U(MINHASHES)).astype(np.int64)
+    step = 1 + (mix(mix(root)) % _U(MINHASHES - 1)).astype(np.int64)
+    return root, np.where(np.arange(2 * trees) % 2, (i + step) % MINHASHES, i)
+
+
+def _sketch(k, trees):
+    root, choice = root_choices(trees)
+
     def run(batches):
         for b in batches:
-            n, f1, f2, sig = [], [], [], []
+            n, f1, f2, sk, roots = [], [], [], [], []
             for s in shingle_sets(b.column(1), k):
                 n.append(len(s))
-                if len(s):
-                    with np.errstate(over="ignore"):
-                        f1.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
-                        f2.append(int(mix(s ^ _U(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64).astype(np.int64)))
-                    sig.append(minhash(s).tobytes())
-                else:
-                    f1.append(None)
-                    f2.append(None)
-                    sig.append(None)
+                if not len(s):
+                    for c in (f1, f2, sk, roots):
+                        c.append(None)
+                    continue
+                with np.errstate(over="ignore"):
+                    f1.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
+                    f2.append(int(mix(s ^ _U(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64).astype(np.int64)))
+                tokens = minhash(s)
+                sk.append(tokens.astype(np.uint8).tobytes())
+                roots.append(_child(root, choice, tokens[choice]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-                 pa.array(sig, pa.binary())], names=["id", "n", "f1", "f2", "sig"])
+                 pa.array(sk, pa.binary()), pa.array(roots, pa.list_(pa.int64()))],
+                names=["id", "n", "f1", "f2", "sk", "roots"])
     return run
 
 
-def _sigs(col) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), dtype=np.uint32).reshape(len(col), MINHASHES)
-
-
-def _child(node: np.ndarray, choice: np.ndarray, token: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix(mix(node + choice.astype(np.uint64) * _U(0x632BE59BD9B4E019)) ^ token.astype(np.uint64))
+def _sketches(col) -> np.ndarray:
+    return np.frombuffer(b"".join(col.to_pylist()), dtype=np.uint8).reshape(len(col), MINHASHES)
 
 
-def _roots(trees):
-    def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            sig = _sigs(b.column(1))
-            rep = b.column(0).to_numpy(zero_copy_only=False)
-            nodes, reps = [], []
-            for t in range(trees):
-                root = mix(np.array([t + 1], dtype=np.uint64))
-                i = int(mix(root)[0] % _U(MINHASHES))
-                j = (i + 1 + int(mix(mix(root))[0] % _U(MINHASHES - 1))) % MINHASHES
-                for c in (i, j):
-                    nodes.append(_child(np.repeat(root, len(rep)), np.full(len(rep), c), sig[:, c]))
-                    reps.append(rep)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes).view(np.int64)),
-                                              pa.array(np.concatenate(reps))], names=["node", "rep"])
-    return run
+def _similar(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity; one in 256 unequal tokens agrees by chance."""
+    return ((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
 
 
 def _descend(threshold):
-    """Rows (node, rep, sig, pivot, psig) of large nodes: pairs with the pivot, and
-    the children of documents that the pivot does not stand for."""
-    low = threshold - 4 * math.sqrt(threshold * (1 - threshold) / MINHASHES)
-
+    """Rows (node, rep, sk, pivot, psk) of large nodes: children (node, a, sk) of the
+    documents that the pivot does not stand for, and pairs (a, b) with the pivot."""
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             node = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             rep = b.column(1).to_numpy(zero_copy_only=False)
-            sig = _sigs(b.column(2))
+            sk = _sketches(b.column(2))
             pivot = b.column(3).to_numpy(zero_copy_only=False)
-            est = (sig == _sigs(b.column(4))).mean(axis=1)
+            est = _similar(sk, _sketches(b.column(4)))
             own = rep == pivot
-            pair = (est >= low) & ~own
-            go = (est < threshold) & ~own
+            pair = np.flatnonzero((est >= threshold) & ~own)
+            go = (est < threshold + ABSORB) & ~own
             h = mix(node)
             i = (h % _U(MINHASHES)).astype(np.int64)
             h = mix(h)
             j = (i + 1 + (h % _U(MINHASHES - 1)).astype(np.int64)) % MINHASHES
-            two = go & ((mix(h) >> _U(62)) == 0)
-            rows = np.arange(len(rep))
-            first = _child(node, i, sig[rows, i])[go]
-            second = _child(node, j, sig[rows, j])[two]
-            k = int(pair.sum())
-            down = np.concatenate([first, second]).view(np.int64)
+            one = np.flatnonzero(go)
+            two = np.flatnonzero(go & ((mix(h) >> _U(62)) == 0))
+            down = np.concatenate([one, two])
+            child = np.concatenate([_child(node[one], i[one], sk[one, i[one]]), _child(node[two], j[two], sk[two, j[two]])])
+            k = len(pair)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.zeros(k, np.int64), down])),
-                 pa.array(np.concatenate([np.minimum(rep, pivot)[pair], rep[go], rep[two]])),
+                [pa.array(np.concatenate([np.zeros(k, np.int64), child.view(np.int64)])),
+                 pa.array(np.concatenate([np.minimum(rep, pivot)[pair], rep[down]])),
                  pa.array(np.concatenate([np.maximum(rep, pivot)[pair], np.zeros(len(down), np.int64)]),
-                          mask=np.concatenate([np.zeros(k, bool), np.ones(len(down), bool)]))],
-                names=["node", "a", "b"])
+                          mask=np.arange(k + len(down)) >= k),
+                 pa.array([None] * k + [sk[x].tobytes() for x in down], pa.binary())], names=["node", "a", "b", "sk"])
     return run
 
 
-def _leaf_pairs(node, rep, sig, low):
-    """Candidate pairs of whole leaves (rows sorted by node)."""
-    cut = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-    size = np.diff(np.concatenate([cut, [len(node)]]))
-    end = np.repeat(cut + size, size)
-    rows = np.arange(len(node))
-    later = end - rows - 1
-    left = np.repeat(rows, later)
-    right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(later) - later, later)
-    keep_l, keep_r, keep_e = [], [], []
-    for lo in range(0, len(left), 1 << 15):
-        x, y = left[lo:lo + (1 << 15)], right[lo:lo + (1 << 15)]
-        est = (sig[x] == sig[y]).mean(axis=1)
-        ok = est >= low
-        keep_l.append(x[ok])
-        keep_r.append(y[ok])
-        keep_e.append(est[ok])
-    if not keep_l:
-        return [], []
-    x, y, est = np.concatenate(keep_l), np.concatenate(keep_r), np.concatenate(keep_e)
-    order = np.argsort(-est, kind="stable")
-    parent: dict[int, int] = {}
-
-    def find(v):
+class _Sets:
+    """Union-find over small keys."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, v):
+        parent = self.parent
         while (p := parent.get(v, v)) != v:
             parent[v] = parent.get(p, p)
             v = p
         return v
 
-    out_a, out_b = [], []
-    for x, y, e in zip(x[order].tolist(), y[order].tolist(), est[order].tolist()):
-        rx, ry = find(x), find(y)
-        if rx != ry:
-            a, b = int(rep[x]), int(rep[y])
-            if a != b:
-                out_a.append(min(a, b))
-                out_b.append(max(a, b))
-            if e >= CONFIDENT:
-                parent[max(rx, ry)] = min(rx, ry)
-    return out_a, out_b
+    def join(self, x, y) -> bool:
+        x, y = self.find(x), self.find(y)
+        if x == y:
+            return False
+        self.parent[max(x, y)] = min(x, y)
+        return True
+
+
+def _leaf_pairs(node, rep, sk, low):
+    """Whole leaves (rows sorted by node) to rows (node, a, b): pairs to confirm, or
+    b null: documents whose leaf is to be compared on full sets."""
+    cut = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+    size = np.diff(np.concatenate([cut, [len(node)]]))
+    end = np.repeat(cut + size, size)
+    later = end - np.arange(len(node)) - 1
+    total = np.cumsum(later)
+    xs, ys, es = [], [], []
+    lo = 0
+    while lo < len(node):                       # some rows' pairs at a time
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + (1 << 16), side="right")))
+        n = later[lo:hi]
+        x = np.repeat(np.arange(lo, hi), n)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+        est = _similar(sk[x], sk[y]) if len(x) else np.zeros(0)
+        ok = est >= low
+        xs.append(x[ok])
+        ys.append(y[ok])
+        es.append(est[ok])
+        lo = hi
+    x, y, est = np.concatenate(xs), np.concatenate(ys), np.concatenate(es)
+    leaf = np.searchsorted(cut, x, side="right") - 1
+    out: list[tuple] = []
+    order = np.lexsort((-est, leaf))
+    x, y, est, leaf = x[order], y[order], est[order], leaf[order]
+    ends = np.flatnonzero(np.concatenate([leaf[1:] != leaf[:-1], [True]])) + 1 if len(leaf) else []
+    lo = 0
+    for hi in ends:
+        sets, pairs = _Sets(), []
+        for i, j, e in zip(x[lo:hi].tolist(), y[lo:hi].tolist(), est[lo:hi].tolist()):
+            if sets.find(i) != sets.find(j):
+                pairs.append((i, j))
+                if e >= CONFIDENT:
+                    sets.join(i, j)
+        docs = sorted({v for p in pairs for v in p})
+        if len(pairs) > max(3, len(docs)):
+            out += [(int(node[v]), int(rep[v]), None) for v in docs]
+        else:
+            out += [(0, *sorted((int(rep[i]), int(rep[j])))) for i, j in pairs if rep[i] != rep[j]]
+        lo = hi
+    return out
+
+
+def _runs(batches):
+    """Column lists of whole runs of equal first column, over batches sorted by it."""
+    held = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        b = pa.Table.from_batches([b])
+        held = b if held is None else pa.concat_tables([held, b])
+        node = held.column(0).to_numpy()
+        last = int(np.searchsorted(node, node[-1]))
+        if last:
+            yield held.slice(0, last).combine_chunks()
+            held = held.slice(last)
+    if held is not None:
+        yield held.combine_chunks()
 
 
 def _compare(threshold):
     low = threshold - 4 * math.sqrt(threshold * (1 - threshold) / MINHASHES)
 
     def run(batches):
-        held = None                        # the last, perhaps unfinished, leaf
-        for b in batches:
-            if not b.num_rows:
-                continue
-            now = (b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False),
-                   _sigs(b.column(2)))
-            if held is not None:
-                now = tuple(np.concatenate([h, x]) for h, x in zip(held, now))
-            last = int(np.searchsorted(now[0], now[0][-1]))
-            held = tuple(x[last:].copy() for x in now)
-            if last:
-                a, c = _leaf_pairs(*(x[:last] for x in now), low)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())],
-                                                 names=["a", "b"])
-        if held is not None:
-            a, c = _leaf_pairs(*held, low)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())],
-                                             names=["a", "b"])
+        for t in _runs(batches):
+            rows = _leaf_pairs(t.column(0).to_numpy(), t.column(1).to_numpy(), _sketches(t.column(2)), low)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)],
+                                             names=["node", "a", "b"])
     return run
 
 
+def _linked(both, n, m, percent):
+    """100 * |intersection| >= percent * |union|, and something in common."""
+    return (both > 0) & (100 * both >= percent * (n + m - both))
+
+
 def _confirm(k, percent):
-    """Pairs whose full sets satisfy 100 * |intersection| >= percent * |union|."""
     def run(batches):
         for b in batches:
-            ok = []
-            for s, t in zip(shingle_sets(b.column(2), k), shingle_sets(b.column(3), k)):
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                ok.append(both > 0 and 100 * both >= percent * (len(s) + len(t) - both))
+            ok = [bool(_linked(len(np.intersect1d(s, t, assume_unique=True)), len(s), len(t), percent))
+                  for s, t in zip(shingle_sets(b.column(2), k), shingle_sets(b.column(3), k))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]) \
                 .filter(pa.array(ok, pa.bool_()))
     return run
 
 
-def candidate_pairs(reps: DataFrame, keep, threshold: float, trees: int, leaf: int) -> DataFrame:
-    """Distinct candidate pairs (a < b) of representatives (rep, sig)."""
+def leaf_forest(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the exact links among the documents of one leaf."""
+    n = np.array([len(s) for s in sets])
+    every, inv = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), n)
+    common = np.bincount(inv)
+    shared = common[inv] > 1                     # shingles of one document meet nothing
+    _, inv = np.unique(inv[shared], return_inverse=True)
+    row = row[shared]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for lo in range(0, int(inv.max(initial=-1)) + 1, 8192):
+        at = (inv >= lo) & (inv < lo + 8192)
+        m = np.zeros((len(sets), 8192), dtype=np.float32)
+        m[row[at], inv[at] - lo] = 1
+        both += m @ m.T
+    both = np.rint(both).astype(np.int64)
+    x, y = np.nonzero(np.triu(_linked(both, n[:, None], n[None, :], percent), 1))
+    found, out = _Sets(), []
+    for i, j in zip(x.tolist(), y.tolist()):
+        if ids[i] != ids[j] and found.join(i, j):
+            out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+    return out
+
+
+def _leaf_links(k, percent):
+    """Rows (node, id, text) sorted by node to the links of each node's forest."""
+    def run(batches):
+        now, ids, sets = None, [], []
+        for b in batches:
+            out: list[tuple[int, int]] = []
+            for node, i, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), shingle_sets(b.column(2), k)):
+                if node != now:
+                    out += leaf_forest(ids, sets, percent) if ids else []
+                    now, ids, sets = node, [], []
+                ids.append(i)
+                sets.append(s)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()),
+                                              pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+        if ids:
+            out = leaf_forest(ids, sets, percent)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()),
+                                              pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+    return run
+
+
+def candidates(reps: DataFrame, keep, threshold: float, leaf: int) -> DataFrame:
+    """Rows (node, a, b) of representatives (rep, sk, roots): pairs, or documents (b
+    null) whose node is to be compared on full sets."""
     spark = reps.sparkSession
     bounded_batches(spark, 4096)
-    found = []
-    level = keep(reps.select("rep", "sig").mapInArrow(_roots(trees), "node long, rep long"), "level")
+    sketches = reps.select("rep", "sk")
+    pivot = F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot")
+    level = reps.select(F.explode("roots").alias("node"), "rep")
+    nodes = keep(level.groupBy("node").agg(F.count("*").alias("n"), pivot).where("n >= 2"), "nodes")
+    pivots = nodes.where(F.col("n") > leaf).join(sketches.select(F.col("rep").alias("pivot"), F.col("sk").alias("psk")),
+                                                 "pivot").select("node", "pivot", "psk")
+    rows = keep(level.join(nodes.select("node", "n"), "node").join(sketches, "rep").join(pivots, "node", "left")
+                .select("node", "rep", "sk", "n", "pivot", "psk"), "rows")
+    small, pairs = [], []
     for _ in range(MAX_DEPTH):
-        nodes = keep(level.groupBy("node").agg(F.count("*").alias("n"),
-                                               F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot"))
-                     .where("n >= 2"), "nodes")
-        small = level.join(nodes.where(F.col("n") <= leaf).select("node"), "node")
-        found.append(keep(small.join(reps.select("rep", "sig"), "rep").select("node", "rep", "sig")
-                          .repartition("node").sortWithinPartitions("node")
-                          .mapInArrow(_compare(threshold), "a long, b long").distinct(), "pairs"))
-        large = nodes.where(F.col("n") > leaf)
-        if large.isEmpty():
+        small.append(rows.where("pivot is null").select("node", "rep", "sk"))
+        large = rows.where("pivot is not null")
+        n = large.count()
+        if not n:
             break
-        pivots = large.join(reps.select(F.col("rep").alias("pivot"), F.col("sig").alias("psig")), "pivot") \
-            .select("node", "pivot", "psig")
-        down = keep(level.join(pivots, "node").join(reps.select("rep", "sig"), "rep")
-                    .select("node", "rep", "sig", "pivot", "psig")
-                    .mapInArrow(_descend(threshold), "node long, a long, b long"), "down")
-        found.append(down.where("b is not null").select("a", "b"))
-        level = down.where("b is null").select("node", F.col("a").alias("rep"))
+        down = keep(few(large.select("node", "rep", "sk", "pivot", "psk"), n)
+                    .mapInArrow(_descend(threshold), "node long, a long, b long, sk binary"), "down")
+        pairs.append(down.where("b is not null").select(F.lit(0).cast("long").alias("node"), "a", "b"))
+        level = down.where("b is null").select("node", F.col("a").alias("rep"), "sk")
+        nodes = level.groupBy("node").agg(F.count("*").alias("n"), F.min_by(F.struct("rep", "sk"), F.xxhash64("node", "rep"))
+                                          .alias("p")).where("n >= 2")
+        nodes = nodes.select("node", "n", F.when(F.col("n") > leaf, F.col("p.rep")).alias("pivot"),
+                             F.when(F.col("n") > leaf, F.col("p.sk")).alias("psk"))
+        rows = keep(few(level.join(nodes, "node").select("node", "rep", "sk", "n", "pivot", "psk"), n), "rows")
     else:
         raise RuntimeError(f"large nodes are left at depth {MAX_DEPTH}")
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionAll(f)
+    every = small[0]
+    for x in small[1:]:
+        every = every.unionAll(x)
+    out = every.repartition("node").sortWithinPartitions("node").mapInArrow(_compare(threshold), "node long, a long, b long")
+    for x in pairs:
+        out = out.unionAll(x)
     return keep(out.distinct(), "candidates")
 
 
-def near_duplicate_links(docs: DataFrame, keep, id_col: str, text_col: str, shingle_words: int,
-                         percent: int, trees: int, leaf: int):
-    """(members, links): per row id, n, rep; and the confirmed links between representatives."""
+def _bloom(ids: DataFrame) -> np.ndarray:
+    """Bit set of BLOOM_BITS over the hashes of the ids: two bits for each."""
+    h = F.xxhash64("id")
+    bits = F.explode(F.array(h, F.shiftrightunsigned(h, 32))).alias("h")
+    words = ids.select(bits).select(F.shiftright("h", 6).bitwiseAND(BLOOM_BITS // 64 - 1).alias("w"),
+                                    F.expr("shiftleft(1L, int(h & 63))").alias("bit")) \
+        .groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
+    out[words["w"].to_numpy()] = words["bits"].to_numpy()
+    return out.view(np.uint8)
+
+
+def _present(bits):
+    """Rows (id, text, h) whose h may be in the bit set."""
+    def run(batches):
+        for b in batches:
+            h = b.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
+            ok = np.ones(len(h), dtype=bool)
+            for x in (h, h >> _U(32)):
+                at = (x & _U(BLOOM_BITS - 1)).astype(np.int64)
+                ok &= (bits[at >> 3] >> (at & 7)) & 1 == 1
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["id", "text"]).filter(pa.array(ok))
+    return run
+
+
+def links_of(docs: DataFrame, keep, shingle_words: int, percent: int, trees: int, leaf: int):
+    """(rows, reps, links) of docs (id, text): per row its fingerprint; classes; links between classes."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = keep(src.mapInArrow(_sketch(shingle_words), "id long, n long, f1 long, f2 long, sig binary"), "sketch")
+    rows = keep(docs.mapInArrow(_sketch(shingle_words, trees),
+                                "id long, n long, f1 long, f2 long, sk binary, roots array<long>"), "sketch")
     reps = keep(rows.where("n > 0 and id is not null").groupBy("f1", "f2")
-                .agg(F.min("id").alias("rep"), F.first("sig").alias("sig")), "reps")
-    members = materialize(rows.select("id", "n", "f1", "f2")
-                          .join(reps.select("f1", "f2", "rep"), ["f1", "f2"], "left").select("id", "n", "rep"),
-                          "members")
-    pairs = candidate_pairs(reps, keep, percent / 100, trees, leaf)
+                .agg(F.min("id").alias("rep"), F.first("sk").alias("sk"), F.first("roots").alias("roots")), "reps")
+    found = candidates(reps, keep, percent / 100, leaf)
+    pairs, members = found.where("b is not null").select("a", "b"), found.where("b is null").select("node", "a")
+    ends = keep(found.select(F.explode(F.array("a", "b")).alias("id")).where("id is not null").distinct(), "ends")
     bounded_batches(spark)
-    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = keep(src.join(ends, "id", "left_semi").distinct(), "texts")
-    links = keep(pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-                 .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-                 .select("a", "b", "ta", "tb").mapInArrow(_confirm(shingle_words, percent), "a long, b long"),
-                 "links")
-    return members, links
+    texts = keep(docs.where("id is not null").select("id", "text", F.xxhash64("id").alias("h"))
+                 .mapInArrow(_present(_bloom(ends)), "id long, text string")
+                 .join(ends, "id", "left_semi").distinct(), "texts")
+    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))
+    confirmed = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb") \
+        .mapInArrow(_confirm(shingle_words, percent), "a long, b long")
+    within = members.join(side("a"), "a").select("node", "a", "ta").repartition("node").sortWithinPartitions("node") \
+        .mapInArrow(_leaf_links(shingle_words, percent), "a long, b long")
+    return rows, reps, keep(confirmed.unionAll(within), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
                     percent: int = 80, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """Per row of ``docs``: id, n_shingles, rep (its class: the smallest id with the
-    same set) and component_id (smallest id reachable over links).  The two tables
-    behind the result stay in the checkpoint folder."""
+    same set) and component_id (smallest id reachable over links)."""
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     with scratch() as keep:
-        members, links = near_duplicate_links(docs, keep, id_col, text_col, shingle_words, percent, trees, leaf)
+        rows, reps, links = links_of(src, keep, shingle_words, percent, trees, leaf)
         bounded_batches(docs.sparkSession, 100_000)
         labels = connected_components(links)
+        classes = reps.select("f1", "f2", "rep").join(labels_of(labels).withColumnRenamed("id", "rep"), "rep", "left")
+        out = keep.last(rows.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left")
+                        .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "rep",
+                                F.coalesce("component", "rep", "id").alias("component_id")), "classes")
+        keep.drop(labels)
     bounded_batches(docs.sparkSession)
-    return members.join(labels_of(labels).withColumnRenamed("id", "rep"), "rep", "left") \
-        .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "rep",
-                F.coalesce("component", "rep", "id").alias("component_id"))
+    return out
 
 
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract: 4-word shingles, Jaccard >= 0.8, all of ``documents``."""
-    from monthwise.llm.common import table
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4) \
         .select("doc_id", "n_shingles", "component_id",
                 F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
