@@ -5,8 +5,8 @@ None of these sends an unbounded group to one task:
   is reduced map-side before the shuffle, however hot it is;
 * top-n uses ``orderBy().limit(n)`` (TakeOrderedAndProject: n rows per partition,
   then n rows merged) and ranks only those n rows;
-* ``rank_labels`` numbers any number of rows with a range-partitioned sort and
-  per-partition offsets instead of a single-partition window.
+* ``rank_labels`` numbers any number of rows with a range-partitioned sort, written
+  once, and per-range offsets instead of a single-partition window.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthwise.session import materialize
+
 
 def _list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
@@ -35,7 +37,8 @@ def first_per_key(df: DataFrame, keys, order, descending: bool = False) -> DataF
     best = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order],
                     F.struct(*rest).alias("row"))
     pick = F.max(best) if descending else F.min(best)
-    return df.groupBy(*keys).agg(pick.alias("_best")).select(*keys, "_best.row.*")
+    out = df.groupBy(*keys).agg(pick.alias("_best"))
+    return out.select(*[F.col(f"`{c}`") for c in out.columns[:len(keys)]], "_best.row.*")
 
 
 def label_order(total: str, label: str, descending: bool = True) -> list[Column]:
@@ -65,44 +68,26 @@ def top_n_by_mean(df: DataFrame, label: str = "SVA_SMS", value: str = "ARPU", n:
     return _rank_top(means.orderBy(*order).limit(n), order, rank_col)
 
 
-def size_based_partitions(df: DataFrame, target_bytes: int = 128 << 20) -> int:
-    """Partitions for a sort of ``df``: its optimizer size estimate (an upper bound for
-    file-based inputs, since filters, projections and distinct only shrink it)
-    divided by ``target_bytes``, between 1 and ``spark.sql.shuffle.partitions``."""
-    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        est = int(size if isinstance(size, int) else size.toString())
-    except Exception:  # noqa: BLE001 - no statistics: fall back to the session setting
-        return cap
-    return max(1, min(cap, -(-est // target_bytes)))
-
-
 def rank_labels(df: DataFrame, order: Sequence, rank_col: str = "rn",
                 partitions: int | None = None) -> DataFrame:
     """Global 1..k row number over ``order`` without a single-partition window.
 
-    Rows are range-partitioned on ``order`` into a fixed number of partitions
-    (``REPARTITION_BY_NUM``: AQE never coalesces them, so partition ids are
-    stable) and sorted inside each partition.  A row's number is its position
-    in its partition (``monotonically_increasing_id`` right after the sort)
-    plus the sizes of all earlier partitions, taken from a one-row-per-partition
-    count table (so its broadcast is bounded by the partition count).  Both
-    branches read one shuffle (``ReusedExchange``); a recomputed map task sends
-    every row to the same range again, so numbers do not change on retries.
-    The partition count defaults to the input's size estimate / 128 MB
-    (``size_based_partitions``).  ``order`` should be unique per row.
+    Rows are range-partitioned on ``order`` (``partitions``, default the session's
+    shuffle partitions), sorted, and written once with their range and their
+    position in it.  Ranges, positions and the offsets (rows in the ranges before,
+    one row per range) are all read from that table, so no later step can see other
+    bounds: neither exchange reuse nor column pruning nor a lost executor changes a
+    number.  ``order`` should be unique per row.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in _list(order)]
-    n = partitions or size_based_partitions(df)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     mask = (1 << 33) - 1
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    mid = ranged.withColumn("_mid", F.monotonically_increasing_id())
-    with_pos = mid.select("*", F.shiftright("_mid", 33).alias("_pid"),
-                          F.col("_mid").bitwiseAND(F.lit(mask)).alias("_pos"))
-    counts = with_pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    return (with_pos.join(F.broadcast(offsets), "_pid")
-            .withColumn(rank_col, (F.col("_off") + F.col("_pos") + 1).cast("bigint"))
-            .drop("_mid", "_pid", "_pos", "_off"))
+    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order) \
+        .withColumn("_mid", F.monotonically_increasing_id()) \
+        .withColumns({"_range": F.spark_partition_id(), "_pos": F.col("_mid").bitwiseAND(F.lit(mask))}).drop("_mid")
+    placed = materialize(placed, "ranked")
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    return placed.join(offsets, "_range") \
+        .withColumn(rank_col, (F.col("_off") + F.col("_pos") + 1).cast("bigint")).drop("_range", "_pos", "_off")

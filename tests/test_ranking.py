@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from monthwise.operators import ranking as RK
@@ -59,3 +60,26 @@ def test_rank_labels_matches_sorted_order(spark):
 def test_rank_labels_empty(spark):
     df = spark.createDataFrame([], "SVA_SMS string")
     assert RK.rank_labels(df, ["SVA_SMS"]).count() == 0
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_rank_labels_with_payload_over_many_ranges(spark, reuse):
+    n = 2_000_000
+    df = spark.range(0, n, 1, 12).select(F.xxhash64("id").alias("k"), "id", F.concat(F.lit("pay"), F.col("id")).alias("p"))
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        ranked = RK.rank_labels(df, ["k", "id"], partitions=8)
+        r = ranked.agg(F.count_distinct("rn").alias("d"), F.min("rn").alias("lo"), F.max("rn").alias("hi"),
+                       F.count("p").alias("n")).first()
+        assert tuple(r) == (n, 1, n, n)
+        some = [x.k for x in ranked.where("rn between 999000 and 1001000").orderBy("rn").collect()]
+        assert some == sorted(some)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+
+
+def test_first_per_key_with_column_keys(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("A", 2, 7), ("b", 1, 1)], "k string, o int, v int")
+    got = RK.first_per_key(df, [F.lower("k").alias("lk")], ["o"], descending=True)
+    assert rows(got.select("lk", "v")) == [("a", 7), ("b", 1)]
