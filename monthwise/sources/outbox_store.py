@@ -5,16 +5,19 @@ computed as a DataFrame, written to a staging folder under the shared
 checkpoint folder, and then only the date partitions it touches are
 overwritten (dynamic partition overwrite).  The target is never overwritten
 while it is being read, and a lost executor during either write only retries
-tasks of a job whose input is already materialised.
+tasks of a job whose input is already materialised.  NULL is a date like others:
+it has its own partition, and dates are compared null-safely.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.operators import outbox as O
-from monthwise.session import shared_path
+from monthwise.session import delete_path, shared_path
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class OutboxStore:
@@ -32,43 +35,48 @@ class OutboxStore:
         fs, jpath = self._fs_path(self.path)
         return fs.exists(jpath)
 
-    def _drop_partitions(self, values) -> None:
-        for v in values:
-            text = "__HIVE_DEFAULT_PARTITION__" if v is None else \
-                (v.isoformat() if hasattr(v, "isoformat") else str(v))
+    def _drop_partitions(self, dates: set) -> None:
+        for v in dates:
+            text = NULL_PARTITION if v is None else (v.isoformat() if hasattr(v, "isoformat") else str(v))
             fs, jpath = self._fs_path(f"{self.path}/{self.partition_col}={text}")
             if fs.exists(jpath):
                 fs.delete(jpath, True)
 
     def read(self) -> DataFrame:
-        df = self.spark.read.parquet(self.path)
-        return df.select(*O.OUTBOX_COLUMNS)
-
-    def _write_touched(self, new_rows: DataFrame, touched: DataFrame | None = None) -> None:
-        """Overwrite the partitions present in ``new_rows``; touched partitions
-        left without rows (every row deleted) are removed afterwards.  The list
-        of touched partitions is one value per day, fetched to the driver."""
+        # the schema is given: an outbox may hold no dated partition to infer it from
+        return self.spark.read.schema(O.OUTBOX_SCHEMA).parquet(self.path).select(*O.OUTBOX_COLUMNS)
+
+    def _dates(self, df: DataFrame) -> set:
+        """Distinct dates: one value for a day, NULL included."""
+        return {r[0] for r in df.select(self.partition_col).distinct().collect()}
+
+    def _in(self, dates: set) -> Column:
+        """Literal filter on the partition column, which prunes the other partitions."""
+        some = [d for d in dates if d is not None]
+        out = F.col(self.partition_col).isin(some) if some else F.lit(False)
+        return out | F.col(self.partition_col).isNull() if None in dates else out
+
+    def _write(self, df: DataFrame, path: str, mode: str) -> None:
+        # rows of a date go together, and a date too large for one task is split
+        df.select(*O.OUTBOX_COLUMNS).hint("rebalance", self.partition_col) \
+            .write.mode("overwrite").option("partitionOverwriteMode", mode) \
+            .partitionBy(self.partition_col).parquet(path)
+
+    def _rewrite(self, new_rows: DataFrame, touched: set) -> None:
+        """Overwrite the touched partitions with ``new_rows``; those left without rows go."""
         stage = shared_path(self.spark, "outbox-stage")
-        new_rows.write.mode("overwrite").partitionBy(self.partition_col).parquet(stage)
-        # read with the known schema: an empty change leaves no files to infer it from
-        staged = self.spark.read.schema(new_rows.schema).parquet(stage)
-        emptied = []
-        if touched is not None:
-            present = staged.select(self.partition_col).distinct()
-            gone = touched.join(present, self.partition_col, "left_anti")
-            emptied = [r[0] for r in gone.collect()]
-        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        self._write(new_rows, stage, "static")
         try:
-            staged.select(*O.OUTBOX_COLUMNS).write.mode("overwrite") \
-                .partitionBy(self.partition_col).parquet(self.path)
+            staged = self.spark.read.schema(O.OUTBOX_SCHEMA).parquet(stage)
+            present = self._dates(staged)
+            if present:
+                self._write(staged, self.path, "dynamic")
+            self._drop_partitions(touched - present)
         finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        self._drop_partitions(emptied)
+            delete_path(self.spark, stage)
 
     def write_all(self, df: DataFrame) -> None:
-        df.select(*O.OUTBOX_COLUMNS).write.mode("overwrite").partitionBy(self.partition_col) \
-            .parquet(self.path)
+        self._write(df, self.path, "static")
 
     def replace(self, incoming: DataFrame, key: str = "SUBJECT", keep_sent: bool = False) -> None:
         """Replace-by-key.  Partitions holding a replaced key or an incoming row are rewritten."""
@@ -77,19 +85,19 @@ class OutboxStore:
             return
         current = self.read()
         keys = incoming.select(key).distinct()
-        touched_dates = current.join(keys, key, "left_semi").select(self.partition_col) \
-            .unionByName(incoming.select(self.partition_col)).distinct()
-        scope = current.join(touched_dates, self.partition_col, "left_semi")
-        new_rows = O.replace_by_key(scope, incoming.select(*O.OUTBOX_COLUMNS), key, keep_sent)
-        self._write_touched(new_rows, touched_dates)
+        touched = self._dates(current.select(key, self.partition_col).join(keys, key, "left_semi")
+                              .select(self.partition_col).unionByName(incoming.select(self.partition_col)))
+        new_rows = O.replace_by_key(current.where(self._in(touched)), incoming.select(*O.OUTBOX_COLUMNS), key,
+                                    keep_sent)
+        self._rewrite(new_rows, touched)
 
     def mark_processed(self, sent: DataFrame, key: str = "SUBJECT") -> None:
         """Flip pending rows of the sent keys; only partitions with such rows are rewritten."""
         current = self.read()
         keys = sent.select(key).distinct()
-        hit = O.pending(current).join(keys, key, "left_semi").select(self.partition_col).distinct()
-        scope = current.join(hit, self.partition_col, "left_semi")
-        self._write_touched(O.mark_processed(scope, sent, key))
+        touched = self._dates(O.pending(current).join(keys, key, "left_semi"))
+        if touched:
+            self._rewrite(O.mark_processed(current.where(self._in(touched)), sent, key), touched)
 
     def pending(self) -> DataFrame:
         return O.pending(self.read())

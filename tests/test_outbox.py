@@ -82,3 +82,30 @@ def test_store_replace_empties_null_date_partition(spark, tmp_shared):
     store.replace(box(spark, [(D2, "v", None, "s1", "new", "N")]))
     got = rows(store.read().select("FECHA", "SUBJECT", "BODY"))
     assert got == [(D1, "s2", "b"), (D2, "s1", "new")]
+
+
+def test_store_keeps_other_rows_of_the_null_date(spark, tmp_shared):
+    store = OutboxStore(spark, f"{tmp_shared}/outbox4")
+    store.write_all(box(spark, [(None, "u", None, "a", "old", "N"), (None, "u", None, "keep", "k", "N"),
+                                (D1, "u", None, "s2", "b", "N")]))
+    store.replace(box(spark, [(None, "v", None, "a", "new", "N")]))
+    got = rows(store.read().select("FECHA", "SUBJECT", "BODY"))
+    assert got == [(D1, "s2", "b"), (None, "a", "new"), (None, "keep", "k")]
+    store.replace(box(spark, [(None, "v", None, "fresh", "f", "N"), (D1, "v", None, "keep", "moved", "N")]))
+    got = rows(store.read().select("FECHA", "SUBJECT", "BODY"))
+    assert got == [(D1, "keep", "moved"), (D1, "s2", "b"), (None, "a", "new"), (None, "fresh", "f")]
+    store.mark_processed(spark.createDataFrame([("a",)], "SUBJECT string"))
+    assert rows(store.read().select("SUBJECT", "PROCESADO")) == [
+        ("a", "S"), ("fresh", "N"), ("keep", "N"), ("s2", "N")]
+    store.mark_processed(spark.createDataFrame([("absent",)], "SUBJECT string"))
+    assert store.read().count() == 4
+
+
+def test_store_leaves_no_stage_behind(spark, tmp_shared):
+    import glob
+
+    from monthwise.session import ensure_checkpoint_dir
+    store = OutboxStore(spark, f"{tmp_shared}/outbox5")
+    store.write_all(box(spark, [(D1, "u", None, "s1", "old", "N")]))
+    store.replace(box(spark, [(D2, "u", None, "s1", "new", "N")]))
+    assert not glob.glob(ensure_checkpoint_dir(spark).replace("file:", "") + "/monthwise/outbox-stage*")
