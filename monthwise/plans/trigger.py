@@ -4,45 +4,47 @@
 2. Calendar gate: the business calendar's weekday name for ``as_of`` is a run day
    (no calendar row keeps the gate closed; two rows raise).
 3. Build the report (one pass per fact table) and its outbox record.
-4. Replace by subject in the outbox table (and log the row for the drain).
+4. Replace by subject in the outbox table.
 
-The two gates are one-row results read on the driver; everything else stays
-in Spark.  Returns whether a mail was queued.
+One instant decides everything: the day of the gates, of the window and of the
+subject is its UTC date (or the configured ``as_of``), and the record date is its
+date at the fixed offset.  The two gates are one-row results read on the driver;
+everything else stays in Spark.  Returns whether a mail was queued.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from monthwise.functions.periods import DEFAULT_RUN_DAYS
+from monthwise.functions.periods import DEFAULT_RUN_DAYS, local_date
 from monthwise.operators import gating as G
 from monthwise.operators.outbox import outbox_row
 from monthwise.plans.report import ReportBase, ReportConfig, report_mail
-from monthwise.session import materialize, release
+from monthwise.session import materialize, released
 from monthwise.sources.outbox_store import OutboxStore
 
+RECORD_OFFSET = "-03:00"
+
 
 def run_report_trigger(subscribers: DataFrame, transactions: DataFrame, calendar: DataFrame,
                        store: OutboxStore, cfg: ReportConfig, to: str, cc: str | None = None,
-                       days: Sequence[str] = DEFAULT_RUN_DAYS, queue=None,
-                       template=None) -> bool:
+                       days: Sequence[str] = DEFAULT_RUN_DAYS, template=None,
+                       now: dt.datetime | None = None) -> bool:
+    """``now``: the run's instant with its time zone (default: the clock, read once)."""
+    now = (now or dt.datetime.now(dt.timezone.utc)).astimezone(dt.timezone.utc)
+    cfg = replace(cfg, as_of=cfg.as_of if cfg.as_of is not None else now.date()).frozen()
     if not G.has_recent_data(subscribers, "PERIODO", cfg.as_of, cfg.n_back):
         return False
-    if not G.calendar_gate(calendar, cfg.as_of_date(), days).first().gate_open:
+    if not G.calendar_gate(calendar, cfg.as_of, days).first().gate_open:
         return False
-    base = ReportBase.from_rows(subscribers, transactions, cfg)
-    try:
+    recorded = local_date(F.lit(now.replace(tzinfo=None)).cast("timestamp_ntz"), RECORD_OFFSET)
+    with released(store.spark):
+        base = ReportBase.from_rows(subscribers, transactions, cfg)
         mail = report_mail(base) if template is None else report_mail(base, template)
-        # one row, written twice (table and queue log): compute it once
-        row = materialize(outbox_row(mail, to, cc, cfg.as_of_date()), "outbox-row")
-        try:
-            store.replace(row, "SUBJECT")
-            if queue is not None:
-                queue.append(row)
-        finally:
-            release(row)
-    finally:
-        base.release()
+        store.replace(materialize(outbox_row(mail, to, cc, recorded), "outbox-row"), "SUBJECT")
     return True

@@ -2,14 +2,15 @@
 
 The library never creates machine-local scratch space on a cluster: anything it
 must persist (lineage cuts, staged outbox rewrites, export read-backs) goes under
-the shared folder named by ``spark.checkpoint.dir``.  A folder is only chosen
-here when the session has none, which is the local/test case.
+the shared folder named by ``spark.checkpoint.dir``.  Without that setting a
+folder is chosen only when the master is local; on a cluster it is an error.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,10 @@ SESSION_CONF = {
 }
 
 
+# application id -> folders that materialize() wrote
+_written: dict[str, set[str]] = {}
+
+
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
                 app_name: str = "monthwise", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
@@ -47,6 +52,11 @@ def apply_session_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def is_one_machine(master: str) -> bool:
+    """Driver and tasks run in one process: a folder of this machine is shared by all of them."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder, setting one only when unset."""
     sc = spark.sparkContext
@@ -55,7 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: local runs and tests only.
+        if not is_one_machine(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="monthwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -82,15 +93,45 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     out = spark.read.parquet(path)
     out._monthwise_path = path
+    _written.setdefault(spark.sparkContext.applicationId, set()).add(path)
     return out
 
 
 def release(df: DataFrame) -> bool:
     """Delete the folder behind a ``materialize``d frame (after its last use)."""
     path = getattr(df, "_monthwise_path", None)
-    if path is None:
-        return False
-    sc = df.sparkSession.sparkContext
+    return path is not None and delete_path(df.sparkSession, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in any file system that Spark reaches."""
+    sc = spark.sparkContext
+    _written.get(sc.applicationId, set()).discard(path)
     jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
-    return bool(fs.delete(jpath, True))
+    return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True))
+
+
+def written(spark: SparkSession) -> set[str]:
+    """Folders of materialized frames that are not released yet."""
+    return set(_written.get(spark.sparkContext.applicationId, ()))
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """Deletes on exit every frame materialized inside the block (one block at a time
+    in an application): for jobs whose result is written before they end."""
+    before = written(spark)
+    try:
+        yield
+    finally:
+        for path in written(spark) - before:
+            delete_path(spark, path)
+
+
+def release_all(spark: SparkSession) -> int:
+    """Delete every materialized frame of this application.  A query's result may read
+    such a frame, so call it when the results are written."""
+    paths = written(spark)
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)

@@ -1,86 +1,35 @@
-"""Incremental outbox drain with Structured Streaming.
+"""The outbox drain: every pending row is offered on every run.
 
-The original drain polls the outbox for rows with status 'N', sends each and
-marks its subject processed.  Here the trigger job appends every queued row
-to an append-only queue folder (``OutboxQueue``) besides the outbox table.
-``start_drain`` reads that folder as a file stream; each micro-batch looks up
-the rows of its subjects that are still pending *in the outbox table* (the
-table, not the log, is the source of truth), hands them to the caller's
-``deliver`` function and marks the delivered subjects processed with one
-set-based rewrite.  Progress lives in the stream checkpoint (under the shared
-checkpoint folder), so a restarted drain resumes after the last committed
-batch; a batch that failed after delivering is delivered again
-(at-least-once, as the polling loop was).
+One run reads all rows with status 'N' from the outbox table, hands them to the
+caller's ``deliver`` function and marks the keys that it delivered with one
+set-based rewrite.  The table is the only state: a row that failed to send, or was
+queued just before a crash, is still pending and so is offered again
+(at least once, as the polling loop was).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame
 
-from monthwise.operators import outbox as O
-from monthwise.session import shared_path
+from monthwise.session import materialize, release
 from monthwise.sources.outbox_store import OutboxStore
 
-OUTBOX_SCHEMA = "FECHA date, PARA string, CC string, SUBJECT string, BODY string, PROCESADO string"
 
-
-class OutboxQueue:
-    """Append-only log of queued outbox rows (the drain's stream source)."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def append(self, rows: DataFrame) -> None:
-        rows.select(*O.OUTBOX_COLUMNS).write.mode("append").parquet(self.path)
-
-    def stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
-        reader = self.spark.readStream.schema(OUTBOX_SCHEMA)
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.parquet(self.path)
-
-
-def queue_and_replace(store: OutboxStore, queue: OutboxQueue, incoming: DataFrame,
-                      key: str = "SUBJECT") -> None:
-    """The trigger job's write: replace by key in the table, then log the rows."""
-    store.replace(incoming, key)
-    queue.append(incoming)
-
-
-def start_drain(spark: SparkSession, queue: OutboxQueue, store: OutboxStore,
-                deliver: Callable[[DataFrame], DataFrame], checkpoint: str | None = None,
-                available_now: bool = True, key: str = "SUBJECT",
-                max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the drain.  ``deliver(pending_rows) -> DataFrame[key]`` sends mail
-    (outside this library) and returns the keys it delivered.  A backlog is
-    split into batches of at most ``max_files_per_trigger`` queue files."""
-    checkpoint = checkpoint or shared_path(spark, "outbox-drain-checkpoint")
-
-    def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        keys = batch.select(key).where(batch[key].isNotNull()).distinct()
-        todo = store.pending().join(keys, key, "left_semi")
-        sent = deliver(todo)
-        store.mark_processed(sent, key)
-
-    writer = queue.stream(max_files_per_trigger).writeStream.foreachBatch(on_batch) \
-        .option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now \
-        else writer.trigger(processingTime="1 minute")
-    return writer.start()
-
-
-def drain_once(spark: SparkSession, queue: OutboxQueue, store: OutboxStore,
-               deliver: Callable[[DataFrame], DataFrame], checkpoint: str | None = None,
-               max_files_per_trigger: int | None = None) -> None:
-    """Process everything queued so far, then stop (a scheduled drain run)."""
-    q = start_drain(spark, queue, store, deliver, checkpoint, available_now=True,
-                    max_files_per_trigger=max_files_per_trigger)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+def drain_once(store: OutboxStore, deliver: Callable[[DataFrame], DataFrame], key: str = "SUBJECT") -> int:
+    """Offer all pending rows once.  ``deliver(pending_rows) -> DataFrame[key]`` sends
+    mail (outside this library) and returns the keys it delivered; that frame is
+    evaluated exactly once.  Returns the number of distinct keys delivered."""
+    todo = materialize(store.pending(), "drain-pending")
+    try:
+        sent = materialize(deliver(todo).select(key).where(f"{key} is not null").distinct(), "drain-sent")
+        try:
+            n = sent.count()
+            if n:
+                store.mark_processed(sent, key)
+            return n
+        finally:
+            release(sent)
+    finally:
+        release(todo)

@@ -2,54 +2,48 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from monthwise.session import written
 from monthwise.sources.outbox_store import OutboxStore
-from monthwise.streaming.drain import OutboxQueue, drain_once, queue_and_replace
+from monthwise.streaming.drain import drain_once
 from tests.conftest import rows
 
 SCHEMA = "FECHA date, PARA string, CC string, SUBJECT string, BODY string, PROCESADO string"
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 
 
-def test_drain_marks_delivered_and_resumes(spark, tmp_shared):
+def test_drain_offers_every_pending_row_on_every_run(spark, tmp_shared):
     store = OutboxStore(spark, f"{tmp_shared}/outbox")
-    queue = OutboxQueue(spark, f"{tmp_shared}/queue")
-    cp = f"{tmp_shared}/cp"
-    delivered = []
+    # one row was queued without any log, and one has no date
+    store.write_all(spark.createDataFrame([(D1, "a", None, "s1", "b", "N"), (D1, "b", None, "s2", "b", "N"),
+                                           (None, "c", None, "s3", "b", "N"), (D1, "d", None, "old", "b", "S")], SCHEMA))
+    offered, down = [], {"s2"}
 
     def deliver(todo):
-        delivered.append(sorted(r.SUBJECT for r in todo.collect()))
-        return todo.where(~F.col("SUBJECT").startswith("fail")).select("SUBJECT")
-
-    queue_and_replace(store, queue, spark.createDataFrame(
-        [(D1, "a", None, "s1", "b", "N"), (D1, "b", None, "fail1", "b", "N")], SCHEMA))
-    drain_once(spark, queue, store, deliver, cp)
-    assert delivered == [["fail1", "s1"]]
-    assert rows(store.read().select("SUBJECT", "PROCESADO")) == [("fail1", "N"), ("s1", "S")]
-
-    # a second run sees only newly queued rows; the re-queued subject replaces the old row
-    queue_and_replace(store, queue, spark.createDataFrame(
-        [(D2, "c", None, "s1", "again", "N"), (D2, "d", None, "s2", "b", "N")], SCHEMA))
-    drain_once(spark, queue, store, deliver, cp)
-    assert delivered[1] == ["s1", "s2"]
-    got = rows(store.read().select("SUBJECT", "BODY", "PROCESADO"))
-    assert got == [("fail1", "b", "N"), ("s1", "again", "S"), ("s2", "b", "S")]
-
-    drain_once(spark, queue, store, deliver, cp)          # nothing new: no batch
-    assert len(delivered) == 2
-
-
-def test_drain_in_bounded_batches(spark, tmp_shared):
+        offered.append(sorted(r.SUBJECT for r in todo.collect()))
+        return todo.where(~F.col("SUBJECT").isin(list(down) or [""])).select("SUBJECT")
+
+    before = written(spark)
+    assert drain_once(store, deliver) == 2
+    assert rows(store.pending().select("SUBJECT")) == [("s2",)]
+    store.replace(spark.createDataFrame([(D2, "c", None, "s1", "again", "N")], SCHEMA))
+    assert drain_once(store, deliver) == 1          # s2 failed again, s1 was queued anew
+    down.clear()
+    assert drain_once(store, deliver) == 1
+    assert drain_once(store, deliver) == 0
+    assert offered == [["s1", "s2", "s3"], ["s1", "s2"], ["s2"], []]
+    assert store.pending().count() == 0 and written(spark) == before
+
+
+def test_deliver_is_evaluated_once(spark, tmp_shared):
     store = OutboxStore(spark, f"{tmp_shared}/outbox")
-    queue = OutboxQueue(spark, f"{tmp_shared}/queue")
-    for i in range(3):
-        queue_and_replace(store, queue, spark.createDataFrame(
-            [(D1, "a", None, f"s{i}", "b", "N")], SCHEMA))
-    batches = []
+    store.write_all(spark.createDataFrame([(D1, "a", None, f"s{i}", "b", "N") for i in range(5)], SCHEMA))
+    sends = spark.sparkContext.accumulator(0)
 
     def deliver(todo):
-        batches.append(todo.count())
-        return todo.select("SUBJECT")
+        def send(batches):
+            for b in batches:
+                sends.add(b.num_rows)
+                yield b
+        return todo.select("SUBJECT").mapInArrow(send, "SUBJECT string")
 
-    drain_once(spark, queue, store, deliver, f"{tmp_shared}/cp", max_files_per_trigger=1)
-    assert len(batches) >= 3 and sum(batches) == 3
-    assert store.pending().count() == 0
+    assert drain_once(store, deliver) == 5 and sends.value == 5
