@@ -19,16 +19,12 @@ def group_digits(c, sep: str = ".", prefix: str = "", legacy: bool = False) -> C
     """``1234567`` -> ``1.234.567`` (optionally ``$ 1.234.567``).
 
     The value is rounded to an integer first.  The default form keeps the sign
-    (``-1234567`` -> ``-1.234.567``).  ``legacy=True`` reproduces the reversed-text
-    grouping of the original report, which keeps only the digits and so drops a
-    minus sign.  NULL in, NULL out.
+    (``-1234567`` -> ``-1.234.567``); ``legacy=True`` groups the absolute value, since
+    the original report shows no minus sign.  NULL in, NULL out.
     """
-    text = round_int(c).cast("string")
-    if legacy:
-        pieces = F.regexp_extract_all(F.reverse(text), F.lit(r"(\d{1,3})"), 1)
-        grouped = F.reverse(F.array_join(pieces, sep))
-    else:
-        grouped = F.regexp_replace(text, r"\B(?=(\d{3})+$)", sep)
+    whole = round_int(c)
+    text = (F.abs(whole) if legacy else whole).cast("string")
+    grouped = F.regexp_replace(text, r"\B(?=(\d{3})+$)", sep)
     return F.concat(F.lit(prefix), grouped) if prefix else grouped
 
 
@@ -42,7 +38,7 @@ def bar_height(c, scale: int = 2000) -> Column:
     return round_int(_col(c) / F.lit(scale))
 
 
-def zebra(rn, even: str = "#f3f3f3", odd: str = "#ffffff") -> Column:
+def zebra(rn, even: str = "#eeeeee", odd: str = "#ffffff") -> Column:
     """Alternate a row attribute on the parity of a 1-based row number."""
     return F.when(_col(rn) % 2 == 0, F.lit(even)).otherwise(F.lit(odd))
 
@@ -60,15 +56,11 @@ def round_int_sql(expr: str) -> str:
     return f"CAST(ROUND({expr}, 0) AS BIGINT)"
 
 
-def group_digits_sql(expr: str, sep: str = ".", prefix: str = "", legacy: bool = False) -> str:
+def group_digits_sql(expr: str, sep: str = ".", prefix: str = "") -> str:
     text = f"CAST({round_int_sql(expr)} AS STRING)"
-    if legacy:
-        grouped = (f"reverse(array_join(regexp_extract_all(reverse({text}), "
-                   f"'(\\\\d{{1,3}})', 1), {sql_str(sep)}))")
-    else:
-        grouped = f"regexp_replace({text}, '\\\\B(?=(\\\\d{{3}})+$)', {sql_str(sep)})"
+    grouped = f"regexp_replace({text}, '\\\\B(?=(\\\\d{{3}})+$)', {sql_str(sep)})"
     return f"concat({sql_str(prefix)}, {grouped})" if prefix else grouped
 
 
-def zebra_sql(rn: str, even: str = "#f3f3f3", odd: str = "#ffffff") -> str:
+def zebra_sql(rn: str, even: str = "#eeeeee", odd: str = "#ffffff") -> str:
     return f"CASE WHEN {rn} % 2 = 0 THEN {sql_str(even)} ELSE {sql_str(odd)} END"

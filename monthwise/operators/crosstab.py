@@ -1,54 +1,53 @@
 """Zero-filled label x period grids with row, column and grand totals.
 
-The grid is built without a cross join or a join back to the facts: each
-label's cells are gathered into a map (one entry per period, so the group is
-bounded by the number of months), the period list is an array literal when the
-caller already holds it (``ReportBase.periods``) or else a scalar subquery (both
-bounded by calendar months), and ``explode`` emits exactly labels x periods rows.
+No cross join and no join back to the facts.  ``dense_grid`` gathers each label's
+cells into a map (one entry per period, so the group is bounded by the number of
+months) and explodes the period list, which gives exactly labels x periods rows.
+The report tables pivot one ``groupBy(label)`` on the period list.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthwise.operators.ranking import rank_labels, top_n_by_mean, top_n_by_total
+from monthwise.operators.render import pivot_periods
+from monthwise.session import materialize
 
 
-def period_list(df: DataFrame, period: str = "PERIODO") -> Column:
-    """Sorted distinct periods of ``df`` as an array-valued scalar subquery."""
-    return df.select(F.array_sort(F.collect_set(period)).alias("periods")).scalar()
-
-
-def as_period_array(periods) -> Column | None:
-    """A Python list of periods becomes an array literal (no subquery job)."""
-    if periods is None or isinstance(periods, Column):
-        return periods
-    return F.array(*[F.lit(int(p)) for p in periods]).cast("array<int>")
+def period_values(df: DataFrame, period: str = "PERIODO") -> list[int]:
+    """Sorted distinct periods of ``df``: one value for a month, fetched to the driver."""
+    return sorted(r[0] for r in df.select(period).where(F.col(period).isNotNull()).distinct().collect())
 
 
 def dense_grid(facts: DataFrame, label: str = "SVA_SMS", period: str = "PERIODO",
-               value: str = "Q", fill=0, periods: Column | list | None = None,
+               value: str = "Q", fill=0, periods: list[int] | None = None,
                labels: DataFrame | None = None, null_label_matches: bool = False) -> DataFrame:
     """Every label x every period, the fact value where present, ``fill`` elsewhere.
 
-    ``facts`` holds at most one row per (label, period).  ``labels`` (default: the
+    ``facts`` holds at most one row per (label, period); rows without a period
+    belong to no cell.  Without ``periods`` the facts are written once and both the
+    periods and the cells are read from that table.  ``labels`` (default: the
     labels of ``facts``) may carry extra columns such as a rank; they are kept.
     As with an ``=`` join, a NULL label matches no fact, so its cells are filled
     unless ``null_label_matches``.  Output adds ``is_missing``.
     """
-    periods = period_list(facts, period) if periods is None else as_period_array(periods)
-    cells = facts.groupBy(label).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(period), F.col(value)))).alias("_cells"))
+    if periods is None:
+        facts = materialize(facts.select(label, period, value), "grid-facts")
+        periods = period_values(facts, period)
+    entry = F.when(F.col(period).isNotNull(), F.struct(F.col(period), F.col(value)))
+    cells = facts.groupBy(label).agg(F.map_from_entries(F.collect_list(entry)).alias("_cells"))
     # Label-level join (one row per label on each side); AQE picks broadcast or
     # sort-merge from the measured sizes.
     rows = cells if labels is None else labels.join(cells, on=label, how="left")
     lookup = F.col("_cells")[F.col(period)]
     if not null_label_matches:
         lookup = F.when(F.col(label).isNotNull(), lookup)
-    out = (rows.select("*", F.explode(periods).alias(period))
+    listed = F.array(*[F.lit(int(p)) for p in periods]).cast(f"array<{facts.schema[period].dataType.simpleString()}>")
+    out = (rows.select("*", F.explode(listed).alias(period))
            .withColumn("_v", lookup)
            .withColumn("is_missing", F.col("_v").isNull())
            .withColumn(value, F.coalesce(F.col("_v"), F.lit(fill).cast(facts.schema[value].dataType)))
@@ -66,19 +65,16 @@ def row_totals(grid: DataFrame, label="SVA_SMS", value: str = "Q",
 
 def column_totals(df: DataFrame, period: str = "PERIODO", value: str = "Q",
                   out: str = "total_periodo", grand: str = "gran_total") -> DataFrame:
-    """Per-period ``SUM(value)`` plus the grand total on every row."""
+    """Per-period ``SUM(value)`` plus the grand total on every row.  The window runs
+    over one row for a month, so the input is read once."""
     per = df.groupBy(period).agg(F.sum(value).alias(out))
-    total = per.select(F.sum(out)).scalar()
-    return per.withColumn(grand, total)
+    return per.withColumn(grand, F.sum(out).over(Window.partitionBy()))
 
 
 def column_totals_of_top(df: DataFrame, top: DataFrame, label: str = "SVA_SMS",
                          period: str = "PERIODO", value: str = "Q", **kw) -> DataFrame:
-    """Column totals restricted to the labels of a top-n table (``IN (SELECT label FROM top)``).
-
-    ``top`` has at most n rows, so broadcasting it is bounded.
-    """
-    kept = df.join(F.broadcast(top.select(label)), on=label, how="left_semi")
+    """Column totals restricted to the labels of a top-n table (``IN (SELECT label FROM top)``)."""
+    kept = df.join(top.select(label), on=label, how="left_semi")
     return column_totals(kept, period, value, **kw)
 
 
@@ -103,16 +99,7 @@ class Crosstab:
     row_total_col: str | None
     col_total_col: str
     grand_col: str | None
-    periods: Column
-
-
-def _pivot_cols(df: DataFrame, keys, period: str, value: str, periods: list, how: str,
-                prefix: str) -> DataFrame:
-    fn = "max" if how == "max" else "sum"
-    cols = [F.expr(f"{fn}(CASE WHEN `{period}` = {int(p)} THEN `{value}` END)").alias(f"{prefix}{i}")
-            for i, p in enumerate(periods)] or [F.lit(None).alias(f"{prefix}none")]
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(*cols) if keys else df.agg(*cols)
+    periods: list[int]
 
 
 def _unpivot(df: DataFrame, keep: list, periods: list, prefix: str, period: str, value: str,
@@ -139,7 +126,7 @@ def pivot_crosstab(facts: DataFrame, labels: DataFrame, totals_src: DataFrame, p
     column from ``labels``; None gives no row totals.
     """
     dtype = facts.schema[value].dataType
-    wide = _pivot_cols(facts, label, period, value, periods, "max", "_c")
+    wide = pivot_periods(facts, label, period, value, periods, "max", "_c")
     rows = labels.join(wide, on=label, how="left")
     keep = [c for c in labels.columns]
     grid = _unpivot(rows, keep, periods, "_c", period, value, dtype)
@@ -152,7 +139,7 @@ def pivot_crosstab(facts: DataFrame, labels: DataFrame, totals_src: DataFrame, p
     elif row_total is not None:
         rt = labels.select(label, "rn", row_total)
     tdtype = totals_src.schema[totals_value].dataType
-    tot = _pivot_cols(totals_src, [], period, totals_value, periods, totals_how, "_t")
+    tot = pivot_periods(totals_src, [], period, totals_value, periods, totals_how, "_t")
     ct = _unpivot(tot, [], periods, "_t", period, "total_periodo", tdtype)
     return grid, rt, ct
 
@@ -168,42 +155,16 @@ def quantity_crosstab(facts: DataFrame, label: str = "SVA_SMS", period: str = "P
     column totals cover only those k labels.  ``periods``: the table's period
     list if already known (else a subquery finds it).
     """
-    if isinstance(periods, (list, tuple)):
-        if top_n is None:
-            labels = rank_labels(facts.select(label).distinct(), [F.col(label).asc_nulls_first()])
-            grid, rt, ct = pivot_crosstab(facts, labels, facts, list(periods), label, period,
-                                          value, value, "sum", "cells")
-            rt_col = "total_fila"
-        else:
-            top = top_n_by_total(facts, label, value, top_n)
-            kept = facts.join(F.broadcast(top.select(label)), label, "left_semi")
-            grid, rt, ct = pivot_crosstab(kept, top.select(label, "rn", "total_general"), kept,
-                                          list(periods), label, period, value, value, "sum",
-                                          "total_general")
-            rt_col = "total_general"
-        return Crosstab(grid, rt, ct, label, period, value, rt_col, "total_periodo",
-                        "gran_total", as_period_array(periods))
-    periods = period_list(facts, period) if periods is None else as_period_array(periods)
+    periods = period_values(facts, period) if periods is None else list(periods)
     if top_n is None:
         labels = rank_labels(facts.select(label).distinct(), [F.col(label).asc_nulls_first()])
-        grid = dense_grid(facts, label, period, value, labels=labels, periods=periods)
-        # group on (label, rn): a NULL label keeps its (zero) row total
-        rt = row_totals(grid, [label, "rn"], value)
-        ct = column_totals(facts, period, value)
-        rt_col = "total_fila"
+        kept, rt_col, row_total = facts, "total_fila", "cells"
     else:
         labels = top_n_by_total(facts, label, value, top_n)
-        kept = facts.join(F.broadcast(labels.select(label)), label, "left_semi")
-        grid = dense_grid(kept, label, period, value, labels=labels.select(label, "rn"),
-                          periods=periods)
-        rt = labels.select(label, "rn", "total_general")
-        ct = column_totals_of_top(facts, labels, label, period, value)
-        rt_col = "total_general"
-    on_grid = dense_grid(ct.select(F.lit("").alias("_t"), period, "total_periodo"),
-                         "_t", period, "total_periodo", periods=periods)
-    ct = on_grid.select(period, "total_periodo", "is_missing")
-    return Crosstab(grid, rt, ct, label, period, value, rt_col, "total_periodo", "gran_total",
-                    periods)
+        kept = facts.join(labels.select(label), label, "left_semi")
+        rt_col = row_total = "total_general"
+    grid, rt, ct = pivot_crosstab(kept, labels, kept, periods, label, period, value, value, "sum", row_total)
+    return Crosstab(grid, rt, ct, label, period, value, rt_col, "total_periodo", "gran_total", periods)
 
 
 def mean_crosstab(cells: DataFrame, period_means: DataFrame, label: str = "SVA_SMS",
@@ -216,30 +177,14 @@ def mean_crosstab(cells: DataFrame, period_means: DataFrame, label: str = "SVA_S
     shown).  ``top_n=k`` ranks labels by the rounded average of their monthly
     means.  The totals row sits on the table's period grid, 0-filled.
     """
-    if isinstance(periods, (list, tuple)):
-        if top_n is None:
-            labels = rank_labels(cells.select(label).distinct(), [F.col(label).asc_nulls_first()])
-            src = cells
-        else:
-            top = top_n_by_mean(cells, label, value, top_n)
-            labels = top.select(label, "rn")
-            src = cells.join(F.broadcast(top.select(label)), label, "left_semi")
-        grid, _, ct = pivot_crosstab(src, labels, period_means, list(periods), label, period,
-                                     value, period_value, "max", None)
-        return Crosstab(grid, None, ct, label, period, value, None, "total_periodo", None,
-                        as_period_array(periods))
-    periods = period_list(cells, period) if periods is None else as_period_array(periods)
+    periods = period_values(cells, period) if periods is None else list(periods)
     if top_n is None:
         labels = rank_labels(cells.select(label).distinct(), [F.col(label).asc_nulls_first()])
-        grid = dense_grid(cells, label, period, value, labels=labels, periods=periods)
+        kept = cells
     else:
-        labels = top_n_by_mean(cells, label, value, top_n)
-        kept = cells.join(F.broadcast(labels.select(label)), label, "left_semi")
-        grid = dense_grid(kept, label, period, value, labels=labels.select(label, "rn"),
-                          periods=periods)
-    totals = dense_grid(period_means.select(F.lit("").alias("_t"), period, period_value),
-                        "_t", period, period_value, periods=periods)
-    ct = totals.select(period, F.col(period_value).alias("total_periodo"), "is_missing")
+        labels = top_n_by_mean(cells, label, value, top_n).select(label, "rn")
+        kept = cells.join(labels.select(label), label, "left_semi")
+    grid, _, ct = pivot_crosstab(kept, labels, period_means, periods, label, period, value, period_value, "max", None)
     return Crosstab(grid, None, ct, label, period, value, None, "total_periodo", None, periods)
 
 
@@ -266,14 +211,3 @@ def to_long(ct: Crosstab) -> DataFrame:
         grand = ct.col_totals.select(F.sum(ct.col_total_col).alias("g"))
         out = out.unionByName(_long("grand_total", grand, None, None, None, "g"))
     return out
-
-
-def crosstab_quantity(facts: DataFrame, label: str = "SVA_SMS", period: str = "PERIODO",
-                      value: str = "Q", top_n: int | None = None) -> DataFrame:
-    return to_long(quantity_crosstab(facts, label, period, value, top_n))
-
-
-def crosstab_mean(cells: DataFrame, period_means: DataFrame, label: str = "SVA_SMS",
-                  period: str = "PERIODO", value: str = "ARPU", top_n: int | None = None,
-                  period_value: str = "ARPU") -> DataFrame:
-    return to_long(mean_crosstab(cells, period_means, label, period, value, top_n, period_value))

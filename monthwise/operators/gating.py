@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthwise.functions.periods import (DEFAULT_RUN_DAYS, as_of_col, period_bound, period_key,
@@ -46,16 +46,21 @@ def calendar_gate(calendar: DataFrame, as_of=None, days: Sequence[str] = DEFAULT
                       F.coalesce(F.col(name_col).isin(list(days)), F.lit(False)).alias("gate_open"))
 
 
-def gate_schedule(calendar: DataFrame, facts: DataFrame, period: str = "PERIODO",
+def gate_schedule(calendar: DataFrame, facts: DataFrame | None = None, period: str = "PERIODO",
                   n_back: int = 7, days: Sequence[str] = DEFAULT_RUN_DAYS,
                   date_col: str = "DIA_FECHA", name_col: str = "DAYNAMELONG") -> DataFrame:
     """The trigger's decision for every calendar day.
 
     ``COUNT(*) > 0`` over ``period >= bound(day)`` with no upper bound is the same
     as ``MAX(period) >= bound(day)``, so one global max (a scalar subquery)
-    decides the data gate for all days at once.
+    decides the data gate for all days at once.  Without ``facts`` the calendar holds
+    the days that have facts, and the maximum is taken over its rows (one for a
+    day), so the facts behind it are scanned once.
     """
-    max_period = facts.select(F.max(period)).scalar()
+    if facts is None:
+        max_period = F.max(period_key(date_col)).over(Window.partitionBy())
+    else:
+        max_period = facts.select(F.max(period)).scalar()
     bound = period_key(F.add_months(F.col(date_col), -n_back))
     with_max = calendar.select(date_col, name_col, max_period.alias("_max"))
     has_data = F.coalesce(F.col("_max") >= bound, F.lit(False))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.functions.formatting import (bar_height, group_digits, group_digits_sql, kilo_label,
-                                           sql_str, zebra, zebra_sql)
+                                           sql_str, zebra_sql)
 
 
 @dataclass(frozen=True)
@@ -37,10 +37,10 @@ class Theme:
     table_end: str = "</table>"
     title_open: str = "<p><b>"
     title_end: str = "</b></p>"
-    even: str = "#f3f3f3"
+    even: str = "#eeeeee"
     odd: str = "#ffffff"
-    bar_sva: str = "#c484fc"
-    bar_sms: str = "#7c3aed"
+    bar_sva: str = "#88aacc"
+    bar_sms: str = "#446688"
     missing: str | None = None   # shown for missing cells; None shows the 0 fill
 
 
@@ -74,8 +74,7 @@ def tree_concat(df: DataFrame, pos: str, piece: str, keys=(), out: str = "html",
 
     Level k groups pieces by ``pos div fanout^k``; each group holds at most
     ``fanout`` pieces; with two levels of 1024 the last step joins at most 1024
-    chunks while covering 2^30 pieces per key.  ``levels=0`` is a single ordered
-    aggregate, for inputs known to be small (a top-n table).
+    chunks while covering 2^30 pieces per key.
     """
     keys = list(keys)
     cur = df.select(*keys, F.col(pos).cast("bigint").alias("_pos"), F.col(piece).alias("_p"))
@@ -89,10 +88,10 @@ def tree_concat(df: DataFrame, pos: str, piece: str, keys=(), out: str = "html",
 # -- cell formatting -----------------------------------------------------------
 
 def cell_text(value: str, is_missing: str | None = None, money: bool = False,
-              theme: Theme = DEFAULT_THEME, legacy: bool = False) -> Column:
+              theme: Theme = DEFAULT_THEME) -> Column:
     """Digit-grouped cell text, ``$ `` prefixed for money; missing cells show
     the 0 fill unless the theme sets a marker."""
-    text = group_digits(F.coalesce(_col(value), F.lit(0)), ".", "$ " if money else "", legacy)
+    text = group_digits(F.coalesce(_col(value), F.lit(0)), ".", "$ " if money else "")
     if theme.missing is not None and is_missing is not None:
         text = F.when(F.col(is_missing), F.lit(theme.missing)).otherwise(text)
     return text
@@ -115,57 +114,14 @@ def header_row(periods: DataFrame, period: str = "PERIODO", first: tuple[str, ..
 
 
 def cells_row(grid: DataFrame, keys, period: str = "PERIODO", value: str = "Q",
-              money: bool = False, theme: Theme = DEFAULT_THEME, legacy: bool = False) -> DataFrame:
+              money: bool = False, theme: Theme = DEFAULT_THEME) -> DataFrame:
     """Per label: its cells as ``<td>`` fragments ordered by period (``celdas``)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     miss = "is_missing" if "is_missing" in grid.columns else None
-    piece = grid.select(*keys, period, td(cell_text(value, miss, money, theme, legacy), theme).alias("_td"))
+    piece = grid.select(*keys, period, td(cell_text(value, miss, money, theme), theme).alias("_td"))
     return ordered_concat(piece, keys, period, "_td", out="celdas")
 
 
-def label_row(rows: DataFrame, label: str = "SVA_SMS", rn: str = "rn", show_rank: bool = False,
-              total: str | None = None, theme: Theme = DEFAULT_THEME) -> Column:
-    """``<tr>`` of one label: zebra background, optional rank, label, cells, optional total."""
-    parts = [F.lit('<tr style="background:'), zebra(rn, theme.even, theme.odd), F.lit(';">')]
-    if show_rank:
-        parts.append(td(F.col(rn).cast("string"), theme, label=True))
-    parts += [td(F.col(label), theme, label=True), F.col("celdas")]
-    if total is not None:
-        parts.append(td(group_digits(F.col(total)), theme))
-    parts.append(F.lit(theme.tr_end))
-    return F.concat(*parts)
-
-
-def totals_row(totals: DataFrame, period: str = "PERIODO", value: str = "total_periodo",
-               title: str = "Total", grand: Column | None = None, money: bool = False,
-               colspan: int = 1, theme: Theme = DEFAULT_THEME) -> DataFrame:
-    """One-row totals line: title cell, one cell per period ascending, optional grand total."""
-    piece = totals.select(period, td(cell_text(value, None, money, theme), theme).alias("_td"))
-    agg = ordered_concat(piece, [], period, "_td", out="_tds")
-    span = f' colspan="{colspan}"' if colspan > 1 else ""
-    head = f"{theme.total_open}<td{span}>{title}{theme.td_end}"
-    parts = [F.lit(head), F.col("_tds")]
-    if grand is not None:
-        parts.append(td(group_digits(grand), theme))
-    parts.append(F.lit(theme.tr_end))
-    return agg.select(F.concat(*parts).alias("html"))
-
-
-def section(title: str, header: DataFrame, rows: DataFrame, totals: DataFrame,
-            theme: Theme = DEFAULT_THEME, rn: str = "rn", row_html: str = "row_html") -> DataFrame:
-    """Title + table: header, label rows in rank order (tree concat), totals."""
-    body = tree_concat(rows, rn, row_html, out="_rows")
-    h = header.select(F.col("html").alias("_h"))
-    t = totals.select(F.col("html").alias("_t"))
-    # Three one-row frames side by side: each is a scalar subquery.
-    return body.select(F.concat(
-        F.lit(f"{theme.title_open}{title}{theme.title_end}{theme.table_open}"),
-        F.coalesce(h.scalar(), F.lit("")),
-        F.coalesce(F.col("_rows"), F.lit("")),
-        F.coalesce(t.scalar(), F.lit("")),
-        F.lit(theme.table_end)).alias("html"))
-
-
 # -- stacked bar chart --------------------------------------------------------
 
 def stacked_bar_geometry(by_type: DataFrame, period: str = "PERIODO", sms: str = "SMS",
@@ -225,9 +181,6 @@ def register_template_function(spark, name: str = "mail_template") -> None:
 
 # -- tables from a pivot on a known period list ------------------------------------
 
-MAX_LITERAL_PERIODS = 1200   # 100 years of months
-
-
 def header_html(periods: list, first: tuple[str, ...], total: bool,
                 theme: Theme = DEFAULT_THEME) -> str:
     ths = "".join(f"{theme.th}{t}{theme.th_end}" for t in (*first, *map(str, periods)))
@@ -266,8 +219,7 @@ def table_section(cells: DataFrame, labels: DataFrame, totals: DataFrame, period
                   title: str, first: tuple[str, ...], show_rank: bool, money: bool,
                   caption: str, row_total: str | None, grand: bool, label: str = "SVA_SMS",
                   period: str = "PERIODO", value: str = "Q", total_value: str = "total",
-                  totals_how: str = "max", bounded_rows: bool = False,
-                  theme: Theme = DEFAULT_THEME) -> DataFrame:
+                  totals_how: str = "max", theme: Theme = DEFAULT_THEME) -> DataFrame:
     """One report table as a one-row ``html`` frame.
 
     cells:  one row per (label, period) with ``value``
@@ -307,8 +259,7 @@ def table_section(cells: DataFrame, labels: DataFrame, totals: DataFrame, period
     tot_html = tot.select(F.lit(1 << 62).cast("bigint").alias("pos"),
                           F.expr(f"concat({', '.join(tparts)})").alias("h"))
 
-    body = tree_concat(row_html.unionByName(tot_html), "pos", "h", out="_b",
-                       levels=0 if bounded_rows else 2)
+    body = tree_concat(row_html.unionByName(tot_html), "pos", "h", out="_b")
     head = f"{theme.title_open}{title}{theme.title_end}{theme.table_open}" + \
         header_html(periods, first, row_total is not None, theme)
     return body.select(F.concat(F.lit(head), F.coalesce(F.col("_b"), F.lit("")),

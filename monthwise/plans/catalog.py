@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.functions import formatting as FM
-from monthwise.functions.periods import local_date, period_key, previous_month_label
+from monthwise.functions.periods import (DEFAULT_RUN_DAYS, local_date, period_key,
+                                         previous_month_label)
 from monthwise.operators import crosstab as X
 from monthwise.operators import gating as G
 from monthwise.operators import measures as M
@@ -23,9 +24,12 @@ from monthwise.operators import ranking as RK
 from monthwise.operators import render as R
 from monthwise.operators.window import trailing_months
 from monthwise.plans.report import ReportBase, ReportConfig, report_mail, report_sections
-from monthwise.session import apply_session_conf, ensure_checkpoint_dir, shared_path
+from monthwise.session import (apply_session_conf, ensure_checkpoint_dir, materialize,
+                               shared_path)
 from monthwise.sources import export as E
 from monthwise.sources import tables as T
+from monthwise.sources.outbox_store import OutboxStore
+from monthwise.streaming.drain import drain_once
 
 # Fixed fixture anchor: window 200104..200111 on every scale factor.
 AS_OF = dt.date(2001, 11, 15)
@@ -75,9 +79,14 @@ def period_key_q(spark, d):
 
 # -- step 2-3: sums and weighted means -------------------------------------------------
 
+def period_facts(spark, d):
+    """The windowed facts without labels: period totals need no dimension."""
+    return T.windowed_facts(spark, d, AS_OF, N_BACK)
+
+
 @query
 def sum_by_type(spark, d):
-    return base(spark, d).by_type()
+    return M.sum_by_type(period_facts(spark, d), qty="Q")
 
 
 @query
@@ -97,7 +106,7 @@ def weighted_mean_label(spark, d):
 
 @query
 def weighted_mean_period(spark, d):
-    return base(spark, d).mean_by_period("SVA", "error")
+    return M.weighted_mean_by_period(period_facts(spark, d), "SVA", qty="Q")
 
 
 @query
@@ -113,6 +122,32 @@ def weighted_mean_rows(spark, d):
                            zero="null")
 
 
+def _edge_rows(spark, d):
+    """Transactions with the cases that the tables lack: labels of every seventh key
+    carry no quantity (zero denominators) and those of every fifth key are NULL."""
+    f = T.windowed_facts(spark, d, AS_OF, N_BACK).join(T.label_dim(spark, d), "label_key", "left")
+    key = F.col("label_key")
+    return f.select("PERIODO", "TIPO", F.when(key % 5 != 0, F.col("SVA_SMS")).alias("SVA_SMS"),
+                    F.when(key % 7 == 0, F.lit(0)).otherwise(F.col("Q")).cast("bigint").alias("Q_TRANSACCIONES"),
+                    F.when(key % 11 != 0, F.col("MONTO_NETO")).alias("MONTO_NETO"))
+
+
+@query
+def weighted_mean_edges(spark, d):
+    """Zero denominators give NULL, NULL amounts leave the numerator only, NULL labels
+    are one group."""
+    return M.weighted_mean(_edge_rows(spark, d).where(F.col("TIPO") == "SMSP"), ["SVA_SMS", "PERIODO"], zero="null")
+
+
+@query
+def crosstab_edges(spark, d):
+    """Quantity table with a NULL label: it has a rank and a zero row, and its
+    quantities count in the column totals."""
+    rows = _edge_rows(spark, d).where(F.col("TIPO") == "SMSP")
+    facts = rows.groupBy("SVA_SMS", "PERIODO").agg(F.sum("Q_TRANSACCIONES").alias("Q"))
+    return X.to_long(X.quantity_crosstab(materialize(facts, "edge-facts")))
+
+
 # -- step 4: ranking -------------------------------------------------------------------
 
 @query
@@ -147,6 +182,13 @@ def rank_labels(spark, d):
     return RK.rank_labels(labels, [F.col("SVA_SMS").asc_nulls_first()])
 
 
+@query
+def rank_orders(spark, d):
+    """All orders numbered by price and key over several ranges, with a payload."""
+    o = T.read_table(spark, d, "orders").select("o_totalprice", "o_orderkey", "o_orderpriority")
+    return RK.rank_labels(o, [F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey")], partitions=8)
+
+
 # -- step 5: grid and totals -------------------------------------------------------------
 
 @query
@@ -218,7 +260,7 @@ def group_digits_legacy(spark, d):
 
 @query
 def stacked_bar_geometry(spark, d):
-    return R.stacked_bar_geometry(base(spark, d).by_type())
+    return R.stacked_bar_geometry(M.sum_by_type(period_facts(spark, d), qty="Q"))
 
 
 @query
@@ -280,10 +322,21 @@ def calendar_gate(spark, d):
     return G.calendar_gate(T.calendar(spark, d), AS_OF)
 
 
+@query
+def calendar_gate_days(spark, d):
+    """The gate on three days: the calendar's last run day (open), its last other day
+    (closed) and a day that it lacks."""
+    cal = materialize(T.calendar(spark, d), "calendar")
+    run = F.col("DAYNAMELONG").isin(list(DEFAULT_RUN_DAYS))
+    last = cal.agg(F.max(F.when(run, F.col("DIA_FECHA"))).alias("open"), F.max(F.when(~run, F.col("DIA_FECHA"))).alias("shut"),
+                   F.date_add(F.max("DIA_FECHA"), 1).alias("none")).first()
+    parts = [G.calendar_gate(cal, day) for day in last]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def gate_schedule(spark, d):
-    facts = T.keyed_facts(spark, d)
-    return G.gate_schedule(T.calendar(spark, d), facts, n_back=N_BACK)
+    return G.gate_schedule(T.calendar(spark, d), n_back=N_BACK)
 
 
 @query
@@ -343,16 +396,29 @@ def mark_processed(spark, d):
 
 @query
 def outbox_drain(spark, d):
-    """Queue the outbox rows, drain them with the streaming job (delivering what
-    was pending before the last day), and return the outbox table afterwards."""
-    from monthwise.sources.outbox_store import OutboxStore
-    from monthwise.streaming.drain import OutboxQueue, drain_once
+    """Store the outbox, drain its pending rows (delivering what was pending before
+    the last day), and return the table afterwards."""
     ob = T.outbox(spark, d)
     store = OutboxStore(spark, shared_path(spark, "drain", "outbox"))
-    queue = OutboxQueue(spark, shared_path(spark, "drain", "queue"))
     store.write_all(ob)
-    queue.append(ob)
-    drain_once(spark, queue, store, lambda todo: _delivered(todo, ob))
+    drain_once(store, lambda todo: _delivered(todo, ob))
+    return store.read()
+
+
+@query
+def outbox_store_null_dates(spark, d):
+    """Persist an outbox of which some rows have no date, replace by subject (some of the
+    new rows without a date too), mark what is sent, and read the table back."""
+    ob = T.outbox(spark, d)
+    ob = ob.withColumn("FECHA", F.when(F.length("BODY") % 4 != 0, F.col("FECHA")))
+    store = OutboxStore(spark, shared_path(spark, "null-dates", "outbox"))
+    store.write_all(ob)
+    again = ob.where(F.substring("SUBJECT", -1, 1) == "3").groupBy("SUBJECT").agg(F.max("FECHA").alias("FECHA")).select(
+        F.when(F.substring("SUBJECT", -2, 1) != "1", F.col("FECHA")).alias("FECHA"), F.lit(OUTBOX_TO).alias("PARA"),
+        F.lit(None).cast("string").alias("CC"), "SUBJECT", F.concat(F.lit("resend "), F.col("SUBJECT")).alias("BODY"),
+        F.lit("N").alias("PROCESADO"))
+    store.replace(materialize(again, "null-dates-incoming"))
+    store.mark_processed(ob.where(F.substring("SUBJECT", -1, 1).isin("3", "5", "8")).select("SUBJECT"))
     return store.read()
 
 
@@ -365,6 +431,30 @@ def export_csv_roundtrip(spark, d):
     return E.read_csv(spark, path, orders.schema)
 
 
+@query
+def export_documents_roundtrip(spark, d):
+    """Every text with its quotes, line breaks and padding through CSV and back."""
+    docs = T.read_table(spark, d, "documents")
+    return E.read_csv(spark, E.export_csv(docs, shared_path(spark, "export", "documents")), docs.schema)
+
+
+@query
+def export_tables_contents(spark, d):
+    """All rows of three exported sheets, each as one text of its fields."""
+    names = ["region", "nation", "supplier"]
+    tables = [(T.read_table(spark, d, n), n.upper()) for n in names]
+    done = E.export_tables(spark, tables, shared_path(spark, "export", "contents"), name="Parque", as_of=AS_OF)
+    out = None
+    for (sheet, path), (df, _) in zip(done, tables):
+        back = E.read_csv(spark, path, df.schema)
+        one = back.select(F.lit(path.rsplit("/", 2)[1]).alias("folder"), F.lit(sheet).alias("sheet"),
+                          F.col(back.columns[0]).cast("bigint").alias("key"), F.col(back.columns[1]).alias("name"),
+                          (F.col(back.columns[2]).cast("bigint") if len(back.columns) > 2 else F.lit(None).cast("bigint"))
+                          .alias("ref"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query
 def export_tables_counts(spark, d):
     names = ["region", "nation", "supplier"]

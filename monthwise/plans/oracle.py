@@ -10,10 +10,10 @@ from __future__ import annotations
 from monthwise.operators.render import DEFAULT_THEME as TH
 from monthwise.plans import report as RP
 from monthwise.plans.catalog import AS_OF, N_BACK, OUTBOX_TO, TOP_N
-from monthwise.functions.periods import MONTH_ABBREV_ES, WEEKDAY_NAMES_ES, period_bound_value
+from monthwise.functions.periods import MONTH_ABBREV_ES, WEEKDAY_NAMES_ES
 
-BOUND = period_bound_value(AS_OF, N_BACK)
 AS_OF_SQL = f"DATE '{AS_OF.isoformat()}'"
+BOUND = f"CAST(strftime({AS_OF_SQL} - INTERVAL {N_BACK} MONTH, '%Y%m') AS INTEGER)"
 P = "CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER)"
 TIPO = "CASE l_returnflag WHEN 'A' THEN 'SVA' WHEN 'R' THEN 'SMSP' ELSE 'OTHER' END"
 AMT = "CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))"
@@ -53,11 +53,7 @@ def period_means(tipo: str, zero: str, name: str = "pm") -> str:
 
 def gd(v: str, prefix: str = "", legacy: bool = False) -> str:
     """Digit grouping of an integer expression (sign kept unless legacy)."""
-    if legacy:
-        body = rf"reverse(array_to_string(regexp_extract_all(reverse(CAST({v} AS VARCHAR)), '\d{{1,3}}'), '.'))"
-        return f"'{prefix}' || {body}" if prefix else body
-    body = (rf"(CASE WHEN {v} < 0 THEN '-' ELSE '' END) || reverse(array_to_string("
-            rf"regexp_extract_all(reverse(CAST(abs({v}) AS VARCHAR)), '\d{{1,3}}'), '.'))")
+    body = f"replace(format('{{:,}}', CAST({'abs(' + v + ')' if legacy else v} AS BIGINT)), ',', '.')"
     return f"'{prefix}' || {body}" if prefix else f"({body})"
 
 
@@ -265,6 +261,13 @@ def oracle_sql() -> dict[str, str]:
     q["weighted_mean_period"] = f"WITH {facts()}, {period_means('SVA', 'error')} SELECT * FROM pm"
     q["weighted_mean_zero_null"] = f"WITH {facts()}, {means('SMSP', 'null')} SELECT * FROM m"
     q["weighted_mean_rows"] = q["weighted_mean_zero_null"]
+    edge = facts().replace("dim.s_name AS SVA_SMS", "CASE WHEN l_suppkey % 5 <> 0 THEN dim.s_name END AS SVA_SMS") \
+        .replace("CAST(l_quantity AS BIGINT) AS Q", "CASE WHEN l_suppkey % 7 = 0 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS Q") \
+        .replace(f"{AMT} AS MONTO_NETO", f"CASE WHEN l_suppkey % 11 <> 0 THEN {AMT} END AS MONTO_NETO")
+    q["weighted_mean_edges"] = f"WITH {edge}, {means('SMSP', 'null')} SELECT * FROM m"
+    q["crosstab_edges"] = qty_crosstab_long("SMSP", False).replace(facts(), edge)
+    q["rank_orders"] = ("SELECT o_totalprice, o_orderkey, o_orderpriority, row_number() OVER (ORDER BY o_totalprice "
+                        "DESC NULLS LAST, o_orderkey) AS rn FROM orders")
     q["first_per_key"] = (f"WITH {facts()} SELECT SVA_SMS, PERIODO, TIPO, Q AS Q_TRANSACCIONES, "
                           f"l_orderkey, l_linenumber FROM facts QUALIFY row_number() OVER "
                           f"(PARTITION BY SVA_SMS, PERIODO ORDER BY MONTO_NETO DESC, "
@@ -324,6 +327,12 @@ def oracle_sql() -> dict[str, str]:
     lookup = f"(SELECT DAYNAMELONG FROM cal WHERE DIA_FECHA = {AS_OF_SQL})"
     q["calendar_gate"] = (f"WITH {calendar_cte()} SELECT {AS_OF_SQL} AS as_of, {lookup} AS "
                           f"DAYNAMELONG, COALESCE({lookup} IN {run_days}, false) AS gate_open")
+    one_day = (f"SELECT d AS as_of, (SELECT DAYNAMELONG FROM cal WHERE DIA_FECHA = d) AS DAYNAMELONG, COALESCE((SELECT "
+               f"DAYNAMELONG FROM cal WHERE DIA_FECHA = d) IN {run_days}, false) AS gate_open FROM days")
+    q["calendar_gate_days"] = (
+        f"WITH {calendar_cte()}, days AS (SELECT MAX(DIA_FECHA) AS d FROM cal WHERE DAYNAMELONG IN {run_days} UNION ALL "
+        f"SELECT MAX(DIA_FECHA) FROM cal WHERE DAYNAMELONG NOT IN {run_days} UNION ALL "
+        f"SELECT MAX(DIA_FECHA) + 1 FROM cal) {one_day}")
     bound_of = ("CAST(year(DIA_FECHA - INTERVAL 7 MONTH) * 100 + month(DIA_FECHA - INTERVAL 7 MONTH)"
                 " AS INTEGER)")
     q["gate_schedule"] = (
@@ -348,7 +357,21 @@ def oracle_sql() -> dict[str, str]:
                            f"CC, SUBJECT, BODY, CASE WHEN PROCESADO = 'N' AND SUBJECT IN (SELECT "
                            f"SUBJECT FROM sent) THEN 'S' ELSE PROCESADO END AS PROCESADO FROM ob")
     q["outbox_drain"] = q["mark_processed"]
+    q["outbox_store_null_dates"] = (
+        f"WITH {OUTBOX_CTE}, nd AS (SELECT CASE WHEN length(BODY) % 4 <> 0 THEN FECHA END AS FECHA, PARA, CC, SUBJECT, "
+        f"BODY, PROCESADO FROM ob), inc AS (SELECT CASE WHEN substr(SUBJECT, -2, 1) <> '1' THEN MAX(FECHA) END AS FECHA, "
+        f"{sq(OUTBOX_TO)} AS PARA, CAST(NULL AS VARCHAR) AS CC, SUBJECT, 'resend ' || SUBJECT AS BODY, 'N' AS PROCESADO "
+        f"FROM nd WHERE right(SUBJECT, 1) = '3' GROUP BY SUBJECT), after AS (SELECT * FROM nd WHERE SUBJECT NOT IN "
+        f"(SELECT SUBJECT FROM inc) UNION ALL SELECT * FROM inc) SELECT FECHA, PARA, CC, SUBJECT, BODY, CASE WHEN "
+        f"PROCESADO = 'N' AND right(SUBJECT, 1) IN ('3', '5', '8') THEN 'S' ELSE PROCESADO END AS PROCESADO FROM after")
     q["export_csv_roundtrip"] = "SELECT * FROM orders"
+    q["export_documents_roundtrip"] = "SELECT * FROM documents"
+    month = f"strftime({AS_OF_SQL} - INTERVAL 1 MONTH, '%y')"
+    q["export_tables_contents"] = " UNION ALL ".join(
+        f"SELECT 'Parque_' || (CASE month({AS_OF_SQL} - INTERVAL 1 MONTH) {month_case} END) || '_' || {month} AS folder, "
+        f"'{n.upper()}' AS sheet, CAST({k} AS BIGINT) AS key, {v} AS name, CAST({r} AS BIGINT) AS ref FROM {n}"
+        for n, k, v, r in (("region", "r_regionkey", "r_name", "NULL"), ("nation", "n_nationkey", "n_name", "n_regionkey"),
+                           ("supplier", "s_suppkey", "s_name", "s_nationkey")))
     q["export_tables_counts"] = " UNION ALL ".join(
         f"SELECT '{n.upper()}' AS sheet, '{n}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows "
         f"FROM {n}" for n in ("region", "nation", "supplier"))

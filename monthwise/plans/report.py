@@ -12,9 +12,8 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,11 +50,16 @@ class ReportConfig:
     intro: str = "<p>Hola,</p>"
     outro: str = "<p>Saludos cordiales,</p>"
     button: str = ""
-    chart_title: str = "Evolucion Parque Suscriptores - Ultimos 8 meses"
+    chart_title: str = "Suscriptores por mes"
 
     def as_of_date(self) -> dt.date:
         d = as_date(self.as_of)
-        return d if d is not None else dt.date.today()
+        return d if d is not None else dt.datetime.now(dt.timezone.utc).date()
+
+    def frozen(self) -> "ReportConfig":
+        """The same settings with the day fixed: gates, window, subject and date then
+        share one clock, also past midnight."""
+        return replace(self, as_of=self.as_of_date())
 
 
 @dataclass
@@ -73,6 +77,7 @@ class ReportBase:
     def from_rows(cls, subscribers: DataFrame, transactions: DataFrame, cfg: ReportConfig,
                   materialize: bool = True) -> "ReportBase":
         """From tables in the original layout (label column in the fact table)."""
+        cfg = cfg.frozen()
         s = trailing_months(subscribers, "PERIODO", cfg.as_of, cfg.n_back)
         s = s.groupBy("PERIODO", "TIPO", "SVA_SMS").agg(F.sum("Q_LINEAS_SUSCRITAS").alias("Q"))
         t = trailing_months(transactions, "PERIODO", cfg.as_of, cfg.n_back)
@@ -90,6 +95,7 @@ class ReportBase:
                     label: str = "supplier", materialize: bool = True) -> "ReportBase":
         """From the driver's tables: one windowed scan of ``lineitem`` with eager
         aggregation before the label join; both inputs come from that one pass."""
+        cfg = cfg.frozen()
         facts = T.windowed_facts(spark, sf_dir, cfg.as_of, cfg.n_back, label)
         parts = T.labelled_parts(facts, T.label_dim(spark, sf_dir, label), with_amount=True)
         if materialize:
@@ -104,22 +110,16 @@ class ReportBase:
             release(df)
 
     def periods(self, which: str, type_value: str) -> list:
-        """Sorted periods of one type in the subscriber or transaction parts
-        (a bounded list: months in the window), fetched once per base."""
+        """Sorted periods of one of the report's two types in the subscriber or
+        transaction parts (one value for a month), fetched once per base."""
         cache = self.__dict__.setdefault("_periods", {})
         if self.__dict__.get("_one_source"):
             which = "trx"          # subs is a projection of the same parts
         if which not in cache:
             df = self.subs if which == "subs" else self.trx
-            cap = R.MAX_LITERAL_PERIODS * 16
-            rows = df.select("TIPO", "PERIODO").distinct().limit(cap + 1).collect()
-            if len(rows) > cap:
-                raise ValueError("the window holds more distinct (type, month) pairs than a "
-                                 "report can show; set as_of/n_back or filter the types")
-            got: dict = {}
-            for t, p in rows:
-                got.setdefault(t, set()).add(p)
-            cache[which] = {t: sorted(v for v in ps if v is not None) for t, ps in got.items()}
+            rows = df.where(F.col("TIPO").isin(self.cfg.sva, self.cfg.smsp) & F.col("PERIODO").isNotNull()) \
+                .select("TIPO", "PERIODO").distinct().collect()
+            cache[which] = {t: sorted(p for x, p in rows if x == t) for t in (self.cfg.sva, self.cfg.smsp)}
         return cache[which].get(type_value, [])
 
     # -- measures over the parts ------------------------------------------------
@@ -162,29 +162,12 @@ class ReportBase:
 
 # -- rendering -------------------------------------------------------------------
 
-def render_crosstab(ct: X.Crosstab, title: str, first: tuple[str, ...], show_rank: bool,
-                    money: bool, totals_caption: str, theme: R.Theme) -> DataFrame:
-    """Render a long-form crosstab (grid + totals) with in-plan period lists."""
-    periods = ct.grid.select(ct.period).distinct()
-    header = R.header_row(periods, ct.period, first, total=ct.row_totals is not None, theme=theme)
-    cells = R.cells_row(ct.grid, [ct.label, "rn"], ct.period, ct.value, money, theme)
-    if ct.row_totals is not None:
-        cells = cells.join(ct.row_totals.select("rn", ct.row_total_col), on="rn")
-    rows = cells.select("rn", R.label_row(cells, ct.label, "rn", show_rank, ct.row_total_col,
-                                          theme).alias("row_html"))
-    grand = ct.col_totals.select(F.sum(ct.col_total_col)).scalar() if ct.grand_col else None
-    totals = R.totals_row(ct.col_totals, ct.period, ct.col_total_col, totals_caption, grand,
-                          money, colspan=2 if show_rank else 1, theme=theme)
-    return R.section(title, header, rows, totals, theme)
-
-
 def _alpha(cells: DataFrame) -> DataFrame:
     return RK.rank_labels(cells.select("SVA_SMS").distinct(), [F.col("SVA_SMS").asc_nulls_first()])
 
 
 def _top(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    # labels holds at most top_n rows: a bounded broadcast.
-    return cells.join(F.broadcast(labels.select("SVA_SMS")), "SVA_SMS", "left_semi")
+    return cells.join(labels.select("SVA_SMS"), "SVA_SMS", "left_semi")
 
 
 def _table_builders(base: ReportBase) -> list[tuple[str, object]]:
@@ -207,7 +190,7 @@ def _table_builders(base: ReportBase) -> list[tuple[str, object]]:
         return R.table_section(
             kept, top, kept, base.periods("subs", smsp), TITLE_SMSP_QTY, ("#", smsp), True, False,
             CAPTION_TOTAL_TOP, "total_general", True, value="Q", total_value="Q",
-            totals_how="sum", bounded_rows=True, theme=th)
+            totals_how="sum", theme=th)
 
     def sva_mean():
         cells = base.mean_by_label(sva, "error")
@@ -222,7 +205,7 @@ def _table_builders(base: ReportBase) -> list[tuple[str, object]]:
         return R.table_section(
             _top(cells, top), top, base.mean_by_period(smsp, "null"), base.periods("trx", smsp),
             TITLE_SMSP_MEAN, ("#", smsp), True, True, CAPTION_MEAN, None, False, value="ARPU",
-            total_value="ARPU", bounded_rows=True, theme=th)
+            total_value="ARPU", theme=th)
 
     def chart():
         return R.chart_html(R.stacked_bar_geometry(base.by_type()), title=cfg.chart_title,
@@ -241,9 +224,8 @@ def report_sections(base: ReportBase, concurrent: bool = True) -> DataFrame:
     """One row per section: ``ord`` (0 = chart, 1-4 = tables), ``name``, ``html``.
 
     With ``concurrent`` the five independent sections are planned and run as
-    parallel jobs from driver threads and each one-row result is cached (its
-    lineage starts at the materialized base, so a lost block recomputes from
-    label-sized data); the returned frame only unions those rows.
+    parallel jobs from driver threads and each one-row result is written; the
+    returned frame only unions those rows.
     """
     base.periods("subs", base.cfg.sva)     # fetch the period lists once, before the threads
     base.periods("trx", base.cfg.sva)
@@ -252,10 +234,7 @@ def report_sections(base: ReportBase, concurrent: bool = True) -> DataFrame:
     def one(item):
         i, (name, build) = item
         df = build().select(F.lit(i).alias("ord"), F.lit(name).alias("name"), "html")
-        if concurrent:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-            df.count()
-        return df
+        return materialize(df, "section") if concurrent else df
 
     if concurrent:
         with ThreadPoolExecutor(max_workers=len(builders)) as pool:
@@ -268,10 +247,6 @@ def report_sections(base: ReportBase, concurrent: bool = True) -> DataFrame:
     return out
 
 
-def subject_text(as_of: dt.date) -> str:
-    return f"{SUBJECT_PREFIX}{as_of.strftime('%Y%m%d')}{SUBJECT_SUFFIX}"
-
-
 def report_mail(base: ReportBase, template=R.default_template) -> DataFrame:
     """One row: ``SUBJECT``, ``BODY`` (template applied to title, date, body, button)."""
     cfg = base.cfg

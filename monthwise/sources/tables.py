@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.functions.periods import period_key, weekday_name, yyyymmdd
+from monthwise.functions.periods import period_key, yyyymmdd
+from monthwise.operators.gating import calendar_from_dates
 from monthwise.operators.window import trailing_months
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -123,9 +124,7 @@ def transaction_rows(spark: SparkSession, sf_dir: str, label: str = "supplier")
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Business calendar: one row per distinct ship day with its Spanish weekday name."""
-    li = read_table(spark, sf_dir, "lineitem")
-    days = li.select(F.to_date("l_shipdate").alias("DIA_FECHA")).distinct()
-    return days.select("DIA_FECHA", weekday_name("DIA_FECHA").alias("DAYNAMELONG"))
+    return calendar_from_dates(read_table(spark, sf_dir, "lineitem"), "l_shipdate")
 
 
 def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,19 +67,19 @@ def test_column_totals_grand(spark):
     assert rows(X.column_totals(df)) == [(202401, 5, 12), (202402, 7, 12)]
 
 
-def test_pivot_and_grid_paths_agree(spark):
+def test_given_and_found_periods_agree(spark):
     data = [(None, 202401, 3), ("a", 202401, 5), ("a", 202402, 6), ("b", 202402, 7),
             ("c", 202403, 1)] + [(f"l{i}", 202401, 100 + i) for i in range(10)]
     df = spark.createDataFrame(data, QSCHEMA)
-    periods = [202401, 202402, 202403]
     for top in (None, 3):
-        slow = rows(X.to_long(X.quantity_crosstab(df, top_n=top)))
-        fast = rows(X.to_long(X.quantity_crosstab(df, top_n=top, periods=periods)))
-        assert slow == fast, top
-    cells = spark.createDataFrame([(None, 202401, 1.0), ("a", 202401, 10.0), ("b", 202402, None)],
-                                  "SVA_SMS string, PERIODO int, ARPU double")
-    pm = spark.createDataFrame([(202401, 9.0)], "PERIODO int, ARPU double")
-    for top in (None, 1):
-        slow = rows(X.to_long(X.mean_crosstab(cells, pm, top_n=top)))
-        fast = rows(X.to_long(X.mean_crosstab(cells, pm, top_n=top, periods=[202401, 202402])))
-        assert slow == fast, top
+        assert rows(X.to_long(X.quantity_crosstab(df, top_n=top))) == rows(
+            X.to_long(X.quantity_crosstab(df, top_n=top, periods=[202401, 202402, 202403]))), top
+    # the same cells as the long grid
+    grid = X.dense_grid(df)
+    assert rows(X.quantity_crosstab(df).grid.select("SVA_SMS", "PERIODO", "Q")) == rows(grid.select("SVA_SMS", "PERIODO", "Q"))
+
+
+def test_null_period_belongs_to_no_cell(spark):
+    df = spark.createDataFrame([("a", None, 4), ("a", 202401, 5), ("b", None, 6)], QSCHEMA)
+    assert rows(X.dense_grid(df).select("SVA_SMS", "PERIODO", "Q")) == [("a", 202401, 5), ("b", 202401, 0)]
+    assert X.dense_grid(df.where("PERIODO = 1")).count() == 0

@@ -40,13 +40,25 @@ def test_no_cartesian_products(spark):
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
 
-def test_rank_reuses_one_range_shuffle(spark):
-    from pyspark.sql import functions as F
+def scans(p):
+    return [ln for ln in p.splitlines() if re.match(r"^\(\d+\) Scan parquet", ln)]
+
+
+def test_period_totals_need_no_label(spark):
+    for name in ("sum_by_type", "weighted_mean_period", "stacked_bar_geometry"):
+        p = plan(C.QUERIES[name](spark, SF_SMALL))
+        assert len(scans(p)) == 1 and "Join" not in p, name
+        assert p.count("hashpartitioning") == 1 and p.count("\n(") and "supplier" not in p, name
+
+
+def test_totals_grid_and_gates_read_the_facts_once(spark):
+    from monthwise.operators import crosstab as X
     from monthwise.operators import ranking as RK
-    labels = C.base(spark, SF_SMALL, True).qty_by_label("SVA").select("SVA_SMS").distinct()
-    df = RK.rank_labels(labels, [F.col("SVA_SMS").asc_nulls_first()], partitions=4)
-    df.collect()
-    p = plan(df)
-    assert "rangepartitioning" in p and "ReusedExchange" in p and "REPARTITION_BY_NUM" in p
-    # left to itself, a small materialized input gets one range partition (size-bounded)
-    assert RK.size_based_partitions(labels) == 1
+    facts = C.base(spark, SF_SMALL).qty_by_label("SVA")          # not materialized
+    one = len(scans(plan(facts)))
+    assert len(scans(plan(X.column_totals(facts)))) == one
+    assert len(scans(plan(C.QUERIES["gate_schedule"](spark, SF_SMALL)))) == 1
+    grid = scans(plan(X.dense_grid(facts)))                      # its own written table, nothing else
+    assert len(grid) == 1
+    ranked = plan(RK.rank_labels(facts.select("SVA_SMS").distinct(), ["SVA_SMS"]))
+    assert "lineitem" not in ranked and "rangepartitioning" not in ranked

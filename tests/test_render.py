@@ -35,7 +35,7 @@ def test_table_section_null_label_row_skipped_and_totals(spark):
     assert html.startswith(f"{th.title_open}T{th.title_end}{th.table_open}{th.header_open}")
     assert "<th>202401</th><th>202402</th><th>Total</th>" in html
     # the NULL-label row renders NULL and is skipped; label a is row 2 (even -> grey)
-    assert html.count("<tr style=") == 1 and "#f3f3f3" in html
+    assert html.count("<tr style=") == 1 and "#eeeeee" in html
     assert '<td>a</td><td align="right">1.234</td><td align="right">5</td>' \
            '<td align="right">1.239</td></tr>' in html
     # totals include the NULL label's 3: 1237 and 5, grand 1242
