@@ -47,7 +47,7 @@ from monthwise.llm.wordhash import mix, shingle_sets
 
 MINHASHES = 128
 TREES = 6
-LEAF = 256
+LEAF = 512
 ABSORB = 0.05                   # above the threshold, an estimate leaves a document to its pivot
 CONFIDENT = 0.9                 # estimates that make further pairs of a leaf needless
 BLOOM_BITS = 1 << 24

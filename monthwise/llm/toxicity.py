@@ -2,7 +2,8 @@
 
 Words (lower-cased runs of letters and digits) are hashed into an embedding
 table; filters of one, two and three words run over the whole text, ReLU and max
-pooling give one feature per filter, and a logistic unit gives the score.  The
+pooling give the POOL largest values of each filter as features (so one odd word
+weighs less than several), and a logistic unit gives the score.  The
 network is trained in numpy on a bounded sample of labelled rows: the
 MAX_TRAIN_ROWS smallest by a hash of the id, none with crc32(id) mod 5 = 0.
 Only buckets whose share of toxic texts stands out from chance are fitted; all
@@ -37,11 +38,14 @@ BUCKETS = 1 << 17
 DIM = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8                     # of each width
+POOL = 3                        # largest values kept of each filter
 MAX_TRAIN_ROWS = 6000
 MAX_TRAIN_WORDS = 20_000_000    # words of all sample texts together; rows beyond it are not fitted
 MIN_DOCS = 3                    # a bucket is fitted if so many sample texts use it and its share
-MIN_ERRORS = 5.0                # of toxic ones is this many standard errors off
+MIN_ERRORS = 6.0                # of toxic ones is this many standard errors off
+PRIOR = 5.0                     # sample texts that a bucket's prior counts for
 EPOCHS = 8
+EMB_RATE = 0.3
 BATCH = 64
 PAD = BUCKETS                   # the zero row behind each text
 LEAST_ROWS, LEAST_TOXIC = 60, 12  # for a threshold of a language's own
@@ -87,22 +91,37 @@ class Model:
         self.conv = [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS]
         for c in self.conv:
             c[:, 0, :] = np.abs(c[:, 0, :]) + 0.3
-        self.out = rng.uniform(0.1, 0.4, FILTERS * len(WIDTHS)).astype(np.float32)
+        self.out = rng.uniform(0.05, 0.2, FILTERS * POOL * len(WIDTHS)).astype(np.float32)
         self.bias = np.float32(-1.0)
         self.shift = np.zeros(len(LANGUAGES) + 1, dtype=np.float32)   # last: language unknown
 
     def features(self, ids, starts):
+        """(embeddings, places, values): for each text the POOL largest values of every
+        filter (texts x filters x POOL, by width) and the windows that gave them, -1 for none."""
         e = self.emb[ids]
         pad = ids == PAD
-        parts = []
+        doc = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
+        places, values = [], []
         for w, c in zip(WIDTHS, self.conv):
             z = e @ c[0]
             for j in range(1, w):
                 z[:-j] += e[j:] @ c[j]
-            np.maximum(z, 0, out=z)
             z[pad] = 0
-            parts.append(z)
-        return e, parts, np.concatenate([np.maximum.reduceat(z, starts, axis=0) for z in parts], axis=1)
+            at, f = np.nonzero(z > 0)
+            v = z[at, f]
+            cell = doc[at] * FILTERS + f
+            order = np.lexsort((-v, cell))
+            at, v, cell = at[order], v[order], cell[order]
+            first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, int)
+            rank = np.arange(len(cell)) - np.repeat(first, np.diff(np.append(first, len(cell))))
+            keep = rank < POOL
+            place = np.full((len(starts) * FILTERS, POOL), -1, dtype=np.int64)
+            value = np.zeros((len(starts) * FILTERS, POOL), dtype=np.float32)
+            place[cell[keep], rank[keep]] = at[keep]
+            value[cell[keep], rank[keep]] = v[keep]
+            places.append(place.reshape(len(starts), FILTERS, POOL))
+            values.append(value.reshape(len(starts), FILTERS * POOL))
+        return e, places, np.concatenate(values, axis=1)
 
     def logits(self, ids, starts):
         return self.features(ids, starts)[2] @ self.out + self.bias
@@ -136,11 +155,12 @@ def train(texts: list[str], toxic: np.ndarray, calibrate: np.ndarray, seed: int
     for i in fit:
         seen[int(toxic[i]), np.unique(docs[i])] += 1
     pos, neg = toxic[fit].sum(), (1 - toxic[fit]).sum()
-    odds = np.log((seen[1] + 0.5) / (pos + 1)) - np.log((seen[0] + 0.5) / (neg + 1))
+    share = pos / (pos + neg)                   # rare buckets are drawn towards the common share
+    odds = np.log((seen[1] + PRIOR * share) / (seen[0] + PRIOR * (1 - share))) - math.log(pos / neg)
     sure = np.abs(seen[1] * neg - seen[0] * pos) / np.sqrt((seen[0] + seen[1]) * pos * neg + 1)
     known = (seen.sum(axis=0) >= MIN_DOCS) & (sure >= MIN_ERRORS)
     known[PAD] = False
-    model.emb[known, 0] = np.clip(odds, -3, 3)[known]
+    model.emb[known, 0] = odds[known]
     model.emb[known, 1:] = rng.normal(0, 0.02, (int(known.sum()), DIM - 1))
     g_emb = np.full((BUCKETS + 1, 1), 1e-2, dtype=np.float32)
     g_conv = [np.full_like(c, 1e-2) for c in model.conv]
@@ -155,7 +175,7 @@ def train(texts: list[str], toxic: np.ndarray, calibrate: np.ndarray, seed: int
             n = np.array([len(docs[i]) for i in some])
             starts = np.concatenate([[0], np.cumsum(n)[:-1]])
             y = toxic[some]
-            e, parts, pooled = model.features(ids, starts)
+            e, places, pooled = model.features(ids, starts)
             p = 1 / (1 + np.exp(-(pooled @ model.out + model.bias)))
             d = ((p - y) * np.where(y == 1, heavy, 1) / len(some)).astype(np.float32)
             down = d[:, None] * model.out[None, :] * (pooled > 0)
@@ -165,14 +185,14 @@ def train(texts: list[str], toxic: np.ndarray, calibrate: np.ndarray, seed: int
             model.out -= rate * grad / np.sqrt(g_out)
             model.bias -= np.float32(rate * d.sum() / math.sqrt(g_bias))
             for k, (w, c) in enumerate(zip(WIDTHS, model.conv)):
-                z = parts[k]
-                at = np.stack([s + z[s:s + m].argmax(axis=0) for s, m in zip(starts, n)])
-                at = np.minimum(at, len(ids) - w)
-                g = down[:, k * FILTERS:(k + 1) * FILTERS]
-                rows = at[:, :, None] + np.arange(w)
-                gc = np.einsum("bf,bfwd->wdf", g, e[rows]) + 1e-4 * c
+                at = places[k].reshape(len(some), -1)                  # filters x POOL in a row
+                g = down[:, k * FILTERS * POOL:(k + 1) * FILTERS * POOL] * (at >= 0)
+                rows = np.clip(at, 0, len(ids) - w)[:, :, None] + np.arange(w)
+                filt = np.repeat(np.arange(FILTERS), POOL)
+                each = np.einsum("bq,bqwd->qwd", g, e[rows])
+                gc = np.add.reduceat(each, np.arange(0, FILTERS * POOL, POOL), axis=0).transpose(1, 2, 0) + 1e-4 * c
                 touched = ids[rows].reshape(-1)
-                ge = (g[:, :, None, None] * c.transpose(2, 0, 1)[None]).reshape(-1, DIM)
+                ge = (g[:, :, None, None] * c.transpose(2, 0, 1)[filt][None]).reshape(-1, DIM)
                 live = known[touched] & (np.abs(ge).sum(axis=1) > 0)
                 g_conv[k] += gc ** 2
                 c -= rate * gc / np.sqrt(g_conv[k])
@@ -181,7 +201,7 @@ def train(texts: list[str], toxic: np.ndarray, calibrate: np.ndarray, seed: int
                     total = np.zeros((len(u), DIM), dtype=np.float32)
                     np.add.at(total, inv, ge[live])
                     g_emb[u] += (total ** 2).sum(axis=1, keepdims=True)
-                    model.emb[u] -= rate * total / np.sqrt(g_emb[u])
+                    model.emb[u] -= EMB_RATE * rate * total / np.sqrt(g_emb[u])
     _calibrate(model, docs, toxic, np.flatnonzero(calibrate) if calibrate.any() else fit)
     return model
 
