@@ -4,7 +4,8 @@ Every source is a queue of tokens (its documents, each closed by id 0).  In each
 round a queue gains its share of SEQUENCE tokens as credit and sends what its
 credit covers in whole tokens; the fraction stays as its deficit.  The rounds
 follow each other in one stream, cut every SEQUENCE tokens, so every sequence
-holds the target mixture and only the last one is padded.  A queue that runs dry
+holds the target mixture to within a token for each queue, and only the last one
+is padded.  A queue that runs dry
 sends no more; the others keep their proportions.
 
 The schedule has a closed form: after k rounds a queue with share q has sent
