@@ -8,20 +8,24 @@ Every representative gets MINHASHES minwise tokens.  A tree branches documents
 by tokens chosen for the node: two choices at the root, then one choice per node
 and a second one with probability 1/4 (1.25 = 1 / threshold children, so a pair
 at the threshold survives each level with about even odds, while less similar
-ones thin out).  In a node of more than ``leaf`` documents every document is
-compared with one pivot; those estimated ABSORB or more similar are left to the
-pivot, the rest descend.  So a large group of near copies shrinks by its pivots'
-neighbourhoods instead of being paired up, and no node has a cap.  ``trees``
-independent trees bring the recall of a pair exactly at the threshold to about
-0.99 at depth 8 (0.999 at depth 3), each one more at higher similarity.
-
-Nodes of at most ``leaf`` documents are compared exhaustively on 8-bit sketches,
-down to 4 standard errors below the threshold.  Where that leaves few pairs, the
-pairs are confirmed on their full sets.  Where it leaves more pairs than
-documents, the documents themselves are brought together and the node is compared
-on full sets, which gives a spanning forest of its links.  Every link is thus
-confirmed on sets built again from whole texts, and a node of m documents gives
-fewer than m rows either way.  Components are unions of links.
+ones thin out).  In a node of more than ``leaf`` documents (or LEAF_SHINGLES
+shingles) every document is compared with one pivot; those estimated ABSORB above
+the threshold are left to the pivot, the rest descend.  So a very large group of
+near copies shrinks by its pivots' neighbourhoods instead of being paired up, and
+no node has a cap.  ``trees`` independent trees bring the recall of a pair exactly
+at the threshold to about 0.99 at depth 8 (0.999 at depth 3), each one more at
+higher similarity.  What a pivot absorbs is lost to documents that are near to it
+and not to the pivot, unless another tree brings the two together; below ``leaf``
+documents nothing is lost.
+
+Smaller nodes are compared exhaustively on 8-bit sketches, down to 4 standard
+errors below the threshold.  Documents that such estimates connect form a bundle.
+A bundle with few pairs gives its pairs, to be confirmed on their full sets.  One
+with more pairs than documents gives its documents; they are brought together and
+compared on full sets, which gives a spanning forest of its links.  A bundle that
+several trees find is named by its members and kept once.  Every link is thus
+confirmed on sets built again from whole texts, and m documents give about m rows.
+Components are unions of links.
 
 Shuffles carry ids, node numbers and sketches of MINHASHES bytes.  Texts are moved
 only for documents that some node proposes; a Bloom filter of BLOOM_BITS (a fixed
@@ -47,9 +51,9 @@ from monthwise.llm.wordhash import mix, shingle_sets
 
 MINHASHES = 128
 TREES = 6
-LEAF = 512
+LEAF = 2048
+LEAF_SHINGLES = 1 << 22         # so that one task can hold the sets of a leaf
 ABSORB = 0.05                   # above the threshold, an estimate leaves a document to its pivot
-CONFIDENT = 0.9                 # estimates that make further pairs of a leaf needless
 BLOOM_BITS = 1 << 24
 MAX_DEPTH = 200                 # far beyond any expected depth; reaching it raises
 _U = np.uint64
@@ -116,8 +120,8 @@ def _similar(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _descend(threshold):
-    """Rows (node, rep, sk, pivot, psk) of large nodes: children (node, a, sk) of the
-    documents that the pivot does not stand for, and pairs (a, b) with the pivot."""
+    """Rows (node, rep, sk, m, pivot, psk) of large nodes: children (node, a, sk, m) of
+    the documents that the pivot does not stand for, and pairs (a, b) with the pivot."""
     def run(batches):
         for b in batches:
             if not b.num_rows:
@@ -125,8 +129,9 @@ def _descend(threshold):
             node = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             rep = b.column(1).to_numpy(zero_copy_only=False)
             sk = _sketches(b.column(2))
-            pivot = b.column(3).to_numpy(zero_copy_only=False)
-            est = _similar(sk, _sketches(b.column(4)))
+            m = b.column(3).to_numpy(zero_copy_only=False)
+            pivot = b.column(4).to_numpy(zero_copy_only=False)
+            est = _similar(sk, _sketches(b.column(5)))
             own = rep == pivot
             pair = np.flatnonzero((est >= threshold) & ~own)
             go = (est < threshold + ABSORB) & ~own
@@ -144,73 +149,58 @@ def _descend(threshold):
                  pa.array(np.concatenate([np.minimum(rep, pivot)[pair], rep[down]])),
                  pa.array(np.concatenate([np.maximum(rep, pivot)[pair], np.zeros(len(down), np.int64)]),
                           mask=np.arange(k + len(down)) >= k),
-                 pa.array([None] * k + [sk[x].tobytes() for x in down], pa.binary())], names=["node", "a", "b", "sk"])
+                 pa.array([None] * k + [sk[x].tobytes() for x in down], pa.binary()),
+                 pa.array(np.concatenate([np.zeros(k, np.int64), m[down]]))], names=["node", "a", "b", "sk", "m"])
     return run
 
 
-class _Sets:
-    """Union-find over small keys."""
-
-    def __init__(self):
-        self.parent: dict[int, int] = {}
-
-    def find(self, v):
-        parent = self.parent
-        while (p := parent.get(v, v)) != v:
-            parent[v] = parent.get(p, p)
-            v = p
-        return v
-
-    def join(self, x, y) -> bool:
-        x, y = self.find(x), self.find(y)
-        if x == y:
-            return False
-        self.parent[max(x, y)] = min(x, y)
-        return True
+def smallest_labels(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """For n items the smallest item that links (x, y) connect each to."""
+    root = np.arange(n)
+    while len(x):
+        before = root.copy()
+        lo = np.minimum(root[x], root[y])
+        np.minimum.at(root, root[x], lo)
+        np.minimum.at(root, root[y], lo)
+        root = root[root]
+        if np.array_equal(before, root):
+            break
+    return root
 
 
-def _leaf_pairs(node, rep, sk, low):
-    """Whole leaves (rows sorted by node) to rows (node, a, b): pairs to confirm, or
-    b null: documents whose leaf is to be compared on full sets."""
+def _bundles(node, rep, sk, low):
+    """Whole leaves (rows sorted by node) to columns (node, a, b): pairs to confirm, or
+    with b = -1 documents whose bundle ``node`` is to be compared on full sets."""
     cut = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
     size = np.diff(np.concatenate([cut, [len(node)]]))
-    end = np.repeat(cut + size, size)
-    later = end - np.arange(len(node)) - 1
+    later = np.repeat(cut + size, size) - np.arange(len(node)) - 1
     total = np.cumsum(later)
-    xs, ys, es = [], [], []
+    xs, ys = [], []
     lo = 0
     while lo < len(node):                       # some rows' pairs at a time
         hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + (1 << 16), side="right")))
         n = later[lo:hi]
         x = np.repeat(np.arange(lo, hi), n)
         y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
-        est = _similar(sk[x], sk[y]) if len(x) else np.zeros(0)
-        ok = est >= low
-        xs.append(x[ok])
-        ys.append(y[ok])
-        es.append(est[ok])
-        lo = hi
-    x, y, est = np.concatenate(xs), np.concatenate(ys), np.concatenate(es)
-    leaf = np.searchsorted(cut, x, side="right") - 1
-    out: list[tuple] = []
-    order = np.lexsort((-est, leaf))
-    x, y, est, leaf = x[order], y[order], est[order], leaf[order]
-    ends = np.flatnonzero(np.concatenate([leaf[1:] != leaf[:-1], [True]])) + 1 if len(leaf) else []
-    lo = 0
-    for hi in ends:
-        sets, pairs = _Sets(), []
-        for i, j, e in zip(x[lo:hi].tolist(), y[lo:hi].tolist(), est[lo:hi].tolist()):
-            if sets.find(i) != sets.find(j):
-                pairs.append((i, j))
-                if e >= CONFIDENT:
-                    sets.join(i, j)
-        docs = sorted({v for p in pairs for v in p})
-        if len(pairs) > max(3, len(docs)):
-            out += [(int(node[v]), int(rep[v]), None) for v in docs]
-        else:
-            out += [(0, *sorted((int(rep[i]), int(rep[j])))) for i, j in pairs if rep[i] != rep[j]]
+        if len(x):
+            ok = (_similar(sk[x], sk[y]) >= low) & (rep[x] != rep[y])
+            xs.append(x[ok])
+            ys.append(y[ok])
         lo = hi
-    return out
+    x = np.concatenate(xs) if xs else np.zeros(0, np.int64)
+    y = np.concatenate(ys) if ys else np.zeros(0, np.int64)
+    root = smallest_labels(x, y, len(node))
+    docs, pairs = np.bincount(root, minlength=len(node)), np.bincount(root[x], minlength=len(node))
+    dense = pairs > np.maximum(3, docs)
+    few_x, few_y = x[~dense[root[x]]], y[~dense[root[x]]]
+    members = np.flatnonzero(dense[root])
+    name = np.zeros(len(node), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        np.add.at(name, root[members], mix(rep[members].astype(np.uint64)))
+    name = mix(name).view(np.int64)
+    return (np.concatenate([np.zeros(len(few_x), np.int64), name[root[members]]]),
+            np.concatenate([np.minimum(rep[few_x], rep[few_y]), rep[members]]),
+            np.concatenate([np.maximum(rep[few_x], rep[few_y]), np.full(len(members), -1)]), len(few_x))
 
 
 def _runs(batches):
@@ -235,8 +225,8 @@ def _compare(threshold):
 
     def run(batches):
         for t in _runs(batches):
-            rows = _leaf_pairs(t.column(0).to_numpy(), t.column(1).to_numpy(), _sketches(t.column(2)), low)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)],
+            node, a, b, k = _bundles(t.column(0).to_numpy(), t.column(1).to_numpy(), _sketches(t.column(2)), low)
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(a), pa.array(b, mask=np.arange(len(b)) >= k)],
                                              names=["node", "a", "b"])
     return run
 
@@ -256,64 +246,73 @@ def _confirm(k, percent):
     return run
 
 
-def leaf_forest(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the exact links among the documents of one leaf."""
+def forest(ids: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (x, y) among items ``ids`` as (id, smallest id of its component)."""
+    order = np.argsort(ids, kind="stable")
+    at = np.empty(len(ids), dtype=np.int64)
+    at[order] = np.arange(len(ids))
+    root = smallest_labels(at[x], at[y], len(ids))
+    mine, far = ids[order], ids[order][root]
+    out = mine != far
+    return mine[out], far[out]
+
+
+def leaf_forest(ids: list[int], sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The exact links among the documents of one bundle, as a star forest."""
     n = np.array([len(s) for s in sets])
-    every, inv = np.unique(np.concatenate(sets), return_inverse=True)
+    _, inv, common = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), n)
-    common = np.bincount(inv)
     shared = common[inv] > 1                     # shingles of one document meet nothing
     _, inv = np.unique(inv[shared], return_inverse=True)
     row = row[shared]
     both = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    for lo in range(0, int(inv.max(initial=-1)) + 1, 8192):
-        at = (inv >= lo) & (inv < lo + 8192)
-        m = np.zeros((len(sets), 8192), dtype=np.float32)
+    width = int(inv.max(initial=-1)) + 1
+    for lo in range(0, width, 4096):
+        at = (inv >= lo) & (inv < lo + 4096)
+        m = np.zeros((len(sets), min(4096, width - lo)), dtype=np.float32)
         m[row[at], inv[at] - lo] = 1
         both += m @ m.T
-    both = np.rint(both).astype(np.int64)
-    x, y = np.nonzero(np.triu(_linked(both, n[:, None], n[None, :], percent), 1))
-    found, out = _Sets(), []
-    for i, j in zip(x.tolist(), y.tolist()):
-        if ids[i] != ids[j] and found.join(i, j):
-            out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-    return out
+    x, y = np.nonzero(np.triu(_linked(np.rint(both).astype(np.int64), n[:, None], n[None, :], percent), 1))
+    return forest(np.array(ids), x, y)
 
 
 def _leaf_links(k, percent):
-    """Rows (node, id, text) sorted by node to the links of each node's forest."""
+    """Rows (node, id, text) sorted by node to the links of each bundle's forest."""
+    def out(ids, sets):
+        a, b = leaf_forest(ids, sets, percent)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
     def run(batches):
         now, ids, sets = None, [], []
         for b in batches:
-            out: list[tuple[int, int]] = []
             for node, i, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), shingle_sets(b.column(2), k)):
                 if node != now:
-                    out += leaf_forest(ids, sets, percent) if ids else []
+                    if ids:
+                        yield out(ids, sets)
                     now, ids, sets = node, [], []
                 ids.append(i)
                 sets.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()),
-                                              pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
         if ids:
-            out = leaf_forest(ids, sets, percent)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()),
-                                              pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+            yield out(ids, sets)
     return run
 
 
 def candidates(reps: DataFrame, keep, threshold: float, leaf: int) -> DataFrame:
-    """Rows (node, a, b) of representatives (rep, sk, roots): pairs, or documents (b
-    null) whose node is to be compared on full sets."""
+    """Rows (node, a, b) of representatives (rep, n, sk, roots): pairs, or documents (b
+    null) whose bundle is to be compared on full sets."""
     spark = reps.sparkSession
     bounded_batches(spark, 4096)
     sketches = reps.select("rep", "sk")
-    pivot = F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot")
-    level = reps.select(F.explode("roots").alias("node"), "rep")
-    nodes = keep(level.groupBy("node").agg(F.count("*").alias("n"), pivot).where("n >= 2"), "nodes")
-    pivots = nodes.where(F.col("n") > leaf).join(sketches.select(F.col("rep").alias("pivot"), F.col("sk").alias("psk")),
-                                                 "pivot").select("node", "pivot", "psk")
-    rows = keep(level.join(nodes.select("node", "n"), "node").join(sketches, "rep").join(pivots, "node", "left")
-                .select("node", "rep", "sk", "n", "pivot", "psk"), "rows")
+    size = [F.count("*").alias("n"), F.sum("m").alias("w")]
+    is_large = (F.col("n") > leaf) | (F.col("w") > LEAF_SHINGLES)
+    level = reps.select(F.explode("roots").alias("node"), "rep", F.col("n").alias("m"))
+    nodes = keep(level.groupBy("node").agg(*size, F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot"))
+                 .where("n >= 2"), "nodes")
+    pivots = nodes.where(is_large).join(sketches.select(F.col("rep").alias("pivot"), F.col("sk").alias("psk")), "pivot") \
+        .select("node", "pivot", "psk")
+    columns = ["node", "rep", "sk", "m", "pivot", "psk"]
+    rows = keep(level.join(nodes.select("node"), "node").join(sketches, "rep").join(pivots, "node", "left")
+                .select(*columns), "rows")
     small, pairs = [], []
     for _ in range(MAX_DEPTH):
         small.append(rows.where("pivot is null").select("node", "rep", "sk"))
@@ -321,15 +320,13 @@ def candidates(reps: DataFrame, keep, threshold: float, leaf: int) -> DataFrame:
         n = large.count()
         if not n:
             break
-        down = keep(few(large.select("node", "rep", "sk", "pivot", "psk"), n)
-                    .mapInArrow(_descend(threshold), "node long, a long, b long, sk binary"), "down")
+        down = keep(few(large, n).mapInArrow(_descend(threshold), "node long, a long, b long, sk binary, m long"), "down")
         pairs.append(down.where("b is not null").select(F.lit(0).cast("long").alias("node"), "a", "b"))
-        level = down.where("b is null").select("node", F.col("a").alias("rep"), "sk")
-        nodes = level.groupBy("node").agg(F.count("*").alias("n"), F.min_by(F.struct("rep", "sk"), F.xxhash64("node", "rep"))
-                                          .alias("p")).where("n >= 2")
-        nodes = nodes.select("node", "n", F.when(F.col("n") > leaf, F.col("p.rep")).alias("pivot"),
-                             F.when(F.col("n") > leaf, F.col("p.sk")).alias("psk"))
-        rows = keep(few(level.join(nodes, "node").select("node", "rep", "sk", "n", "pivot", "psk"), n), "rows")
+        level = down.where("b is null").select("node", F.col("a").alias("rep"), "sk", "m")
+        nodes = level.groupBy("node").agg(*size, F.min_by(F.struct("rep", "sk"), F.xxhash64("node", "rep")).alias("p")) \
+            .where("n >= 2")
+        nodes = nodes.select("node", F.when(is_large, F.col("p.rep")).alias("pivot"), F.when(is_large, F.col("p.sk")).alias("psk"))
+        rows = keep(few(level.join(nodes, "node").select(*columns), n), "rows")
     else:
         raise RuntimeError(f"large nodes are left at depth {MAX_DEPTH}")
     every = small[0]
@@ -373,7 +370,8 @@ def links_of(docs: DataFrame, keep, shingle_words: int, percent: int, trees: int
     rows = keep(docs.mapInArrow(_sketch(shingle_words, trees),
                                 "id long, n long, f1 long, f2 long, sk binary, roots array<long>"), "sketch")
     reps = keep(rows.where("n > 0 and id is not null").groupBy("f1", "f2")
-                .agg(F.min("id").alias("rep"), F.first("sk").alias("sk"), F.first("roots").alias("roots")), "reps")
+                .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sk").alias("sk"),
+                     F.first("roots").alias("roots")), "reps")
     found = candidates(reps, keep, percent / 100, leaf)
     pairs, members = found.where("b is not null").select("a", "b"), found.where("b is null").select("node", "a")
     ends = keep(found.select(F.explode(F.array("a", "b")).alias("id")).where("id is not null").distinct(), "ends")
