@@ -39,7 +39,8 @@ from monthwise.llm import gbt
 from monthwise.llm.common import bounded_batches, table
 
 TRAIN_PAGES = 400               # bound of the training sample
-TRAIN_CHARS = 20_000_000        # and of its html; pages beyond it are not fitted
+TRAIN_BYTES = 100_000           # of one sample page; longer ones are read but not fitted
+TRAIN_CHARS = 20_000_000        # of all sample pages together
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
@@ -298,9 +299,10 @@ def extract_all(pages: list[str], model: gbt.Boosted | None) -> list[str]:
 def fit_model(pages: DataFrame) -> gbt.Boosted | None:
     chosen = pages.select("page_id").where("page_id is not null").distinct() \
         .orderBy(F.xxhash64("page_id"), "page_id").limit(TRAIN_PAGES)
-    rows = pages.select("page_id", F.col("html").cast("string").alias("html")).join(chosen, "page_id").toArrow() \
-        .sort_by([("page_id", "ascending"), ("html", "ascending")])
-    return train([x for x in rows["html"].to_pylist()[:TRAIN_PAGES] if x])
+    rows = pages.select("page_id", F.col("html").cast("string").alias("html")).join(chosen, "page_id") \
+        .where(F.octet_length("html") <= TRAIN_BYTES).groupBy("page_id").agg(F.min("html").alias("html")).toArrow() \
+        .sort_by([("page_id", "ascending")])
+    return train([x for x in rows["html"].to_pylist() if x])
 
 
 def _extractor(model):

@@ -40,6 +40,7 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8                     # of each width
 POOL = 3                        # largest values kept of each filter
 MAX_TRAIN_ROWS = 6000
+MAX_TRAIN_BYTES = 32_768        # of one sample text; longer ones are scored but not fitted
 MAX_TRAIN_WORDS = 20_000_000    # words of all sample texts together; rows beyond it are not fitted
 MIN_DOCS = 3                    # a bucket is fitted if so many sample texts use it and its share
 MIN_ERRORS = 6.0                # of toxic ones is this many standard errors off
@@ -245,6 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN_ROWS)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id") \
+        .where(F.octet_length("text") <= MAX_TRAIN_BYTES).groupBy("doc_id", "toxic").agg(F.min("text").alias("text")) \
         .select(F.crc32(F.col("doc_id").cast("string")).alias("c"), "doc_id", "text",
                 (F.col("toxic") > 0).cast("int").alias("toxic")).toArrow().sort_by([("c", "ascending"), ("doc_id", "ascending")])
     if not rows.num_rows:
