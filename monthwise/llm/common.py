@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from monthwise.session import materialize, release, shared_path  # noqa: F401
 
+BLOOM_BITS = 1 << 24
 BATCH_ROWS = 512               # rows in one Arrow batch: bounds a Python worker's memory
 
 
@@ -25,6 +28,28 @@ def few(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
     return df.coalesce(rows // per_task + 1)
 
 
+def bloom(hashes: DataFrame) -> np.ndarray:
+    """Bytes of a Bloom filter of BLOOM_BITS over the column ``h`` (64-bit hashes), two
+    bits for each: a fixed size, however many hashes there are."""
+    bits = F.explode(F.array("h", F.shiftrightunsigned("h", 32))).alias("h")
+    words = hashes.select(bits).select(F.shiftright("h", 6).bitwiseAND(BLOOM_BITS // 64 - 1).alias("w"),
+                                       F.expr("shiftleft(1L, int(h & 63))").alias("bit")) \
+        .groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
+    out[words["w"].to_numpy()] = words["bits"].to_numpy()
+    return out.view(np.uint8)
+
+
+def in_bloom(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the hashes may be among those of the filter."""
+    h = h.view(np.uint64)
+    ok = np.ones(len(h), dtype=bool)
+    for x in (h, h >> np.uint64(32)):
+        at = (x & np.uint64(BLOOM_BITS - 1)).astype(np.int64)
+        ok &= (bits[at >> 3] >> (at & 7)) & 1 == 1
+    return ok
+
+
 class Keeper:
     """Writes intermediates to the checkpoint folder and remembers them."""
 
