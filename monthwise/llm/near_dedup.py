@@ -28,8 +28,8 @@ confirmed on sets built again from whole texts, and m documents give about m row
 Components are unions of links.
 
 Shuffles carry ids, node numbers and sketches of MINHASHES bytes.  Texts are moved
-only for documents that some node proposes; a Bloom filter of BLOOM_BITS (a fixed
-size) lets the scan drop most others before the exact join.
+only for documents that some node proposes; a Bloom filter of a fixed size
+lets the scan drop most others before the exact join.
 
 Defined results: null or empty text, or one without words: no shingles, its own
 component.  Null id: component null, kept.  Repeated ids: each row gets the
@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import bounded_batches, few, scratch, table
+from monthwise.llm.common import bloom, bounded_batches, few, in_bloom, scratch, table
 from monthwise.llm.components import connected_components, labels_of
 from monthwise.llm.wordhash import mix, shingle_sets
 
@@ -54,7 +54,6 @@ TREES = 6
 LEAF = 2048
 LEAF_SHINGLES = 1 << 22         # so that one task can hold the sets of a leaf
 ABSORB = 0.05                   # above the threshold, an estimate leaves a document to its pivot
-BLOOM_BITS = 1 << 24
 MAX_DEPTH = 200                 # far beyond any expected depth; reaching it raises
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -338,27 +337,11 @@ def candidates(reps: DataFrame, keep, threshold: float, leaf: int) -> DataFrame:
     return keep(out.distinct(), "candidates")
 
 
-def _bloom(ids: DataFrame) -> np.ndarray:
-    """Bit set of BLOOM_BITS over the hashes of the ids: two bits for each."""
-    h = F.xxhash64("id")
-    bits = F.explode(F.array(h, F.shiftrightunsigned(h, 32))).alias("h")
-    words = ids.select(bits).select(F.shiftright("h", 6).bitwiseAND(BLOOM_BITS // 64 - 1).alias("w"),
-                                    F.expr("shiftleft(1L, int(h & 63))").alias("bit")) \
-        .groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
-    out[words["w"].to_numpy()] = words["bits"].to_numpy()
-    return out.view(np.uint8)
-
-
 def _present(bits):
-    """Rows (id, text, h) whose h may be in the bit set."""
+    """Rows (id, text, h) whose h may be in the filter."""
     def run(batches):
         for b in batches:
-            h = b.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-            ok = np.ones(len(h), dtype=bool)
-            for x in (h, h >> _U(32)):
-                at = (x & _U(BLOOM_BITS - 1)).astype(np.int64)
-                ok &= (bits[at >> 3] >> (at & 7)) & 1 == 1
+            ok = in_bloom(bits, b.column(2).to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["id", "text"]).filter(pa.array(ok))
     return run
 
@@ -377,7 +360,7 @@ def links_of(docs: DataFrame, keep, shingle_words: int, percent: int, trees: int
     ends = keep(found.select(F.explode(F.array("a", "b")).alias("id")).where("id is not null").distinct(), "ends")
     bounded_batches(spark)
     texts = keep(docs.where("id is not null").select("id", "text", F.xxhash64("id").alias("h"))
-                 .mapInArrow(_present(_bloom(ends)), "id long, text string")
+                 .mapInArrow(_present(bloom(ends.select(F.xxhash64("id").alias("h")))), "id long, text string")
                  .join(ends, "id", "left_semi").distinct(), "texts")
     side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))
     confirmed = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb") \
