@@ -9,23 +9,24 @@ by tokens chosen for the node: two choices at the root, then one choice per node
 and a second one with probability 1/4 (1.25 = 1 / threshold children, so a pair
 at the threshold survives each level with about even odds, while less similar
 ones thin out).  In a node of more than ``leaf`` documents (or LEAF_SHINGLES
-shingles) every document is compared with one pivot; those estimated ABSORB above
-the threshold are left to the pivot, the rest descend.  So a very large group of
-near copies shrinks by its pivots' neighbourhoods instead of being paired up, and
-no node has a cap.  ``trees`` independent trees bring the recall of a pair exactly
-at the threshold to about 0.99 at depth 8 (0.999 at depth 3), each one more at
-higher similarity.  What a pivot absorbs is lost to documents that are near to it
-and not to the pivot, unless another tree brings the two together; below ``leaf``
-documents nothing is lost.
+shingles) every document is compared with one pivot, on full sets where the estimate
+allows a link.  What the links connect is one set of the node from there on; the pivot
+has met all others and leaves, they descend with their sets.  A node's size is what
+lies outside its largest set, since documents of one set need not meet again.  So a
+very large group of near copies shrinks by its pivots' neighbourhoods instead of being
+paired up, no document stops meeting those outside its set, and no node has a cap.
+``trees`` independent trees bring the recall of a pair exactly at the threshold to about
+0.99 at depth 8 (0.999 at depth 3), each one more at higher similarity.
 
 Smaller nodes are compared exhaustively on 8-bit sketches, down to 4 standard
-errors below the threshold.  Documents that such estimates connect form a bundle.
-A bundle with few pairs gives its pairs, to be confirmed on their full sets.  One
-with more pairs than documents gives its documents; they are brought together and
-compared on full sets, which gives a spanning forest of its links.  A bundle that
-several trees find is named by its members and kept once.  Every link is thus
-confirmed on sets built again from whole texts, and m documents give about m rows.
-Components are unions of links.
+errors below the threshold, but for pairs within the largest set; one of more than half
+a leaf is dealt to several leaves, each with all the other documents.  Documents that
+such estimates connect form a bundle.  A bundle with few pairs gives its pairs, to be
+confirmed on their full sets.  One with more pairs than documents gives its documents;
+they are brought together and compared on full sets, which gives a spanning forest of
+its links.  A bundle that several trees find is named by its members and kept once.
+Every link is thus confirmed on sets built again from whole texts, and m documents give
+about m rows.  Components are unions of links.
 
 Shuffles carry ids, node numbers and sketches of MINHASHES bytes.  Texts are moved
 only for documents that some node proposes; a Bloom filter of a fixed size
@@ -53,7 +54,6 @@ MINHASHES = 128
 TREES = 6
 LEAF = 2048
 LEAF_SHINGLES = 1 << 22         # so that one task can hold the sets of a leaf
-ABSORB = 0.05                   # above the threshold, an estimate leaves a document to its pivot
 MAX_DEPTH = 200                 # far beyond any expected depth; reaching it raises
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -118,41 +118,48 @@ def _similar(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
 
 
-def _descend(threshold):
-    """Rows (node, rep, sk, m, pivot, psk) of large nodes: children (node, a, sk, m) of
-    the documents that the pivot does not stand for, and pairs (a, b) with the pivot."""
+def _lowest(threshold: float) -> float:
+    """4 standard errors of the estimate below the threshold."""
+    return threshold - 4 * math.sqrt(threshold * (1 - threshold) / MINHASHES)
+
+
+def _near_pivot(low):
+    """Rows (node, rep, sk, g, pivot, psk, pg) of large nodes to pairs (node, a, b, g) with
+    the pivot that are not known to be connected and are estimated at ``low`` or more."""
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            node = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             rep = b.column(1).to_numpy(zero_copy_only=False)
-            sk = _sketches(b.column(2))
-            m = b.column(3).to_numpy(zero_copy_only=False)
+            g = b.column(3).to_numpy(zero_copy_only=False)
             pivot = b.column(4).to_numpy(zero_copy_only=False)
-            est = _similar(sk, _sketches(b.column(5)))
-            own = rep == pivot
-            pair = np.flatnonzero((est >= threshold) & ~own)
-            go = (est < threshold + ABSORB) & ~own
-            h = mix(node)
-            i = (h % _U(MINHASHES)).astype(np.int64)
-            h = mix(h)
-            j = (i + 1 + (h % _U(MINHASHES - 1)).astype(np.int64)) % MINHASHES
-            one = np.flatnonzero(go)
-            two = np.flatnonzero(go & ((mix(h) >> _U(62)) == 0))
-            down = np.concatenate([one, two])
-            child = np.concatenate([_child(node[one], i[one], sk[one, i[one]]), _child(node[two], j[two], sk[two, j[two]])])
-            k = len(pair)
+            est = _similar(_sketches(b.column(2)), _sketches(b.column(5)))
+            pair = np.flatnonzero((est >= low) & (g != b.column(6).to_numpy(zero_copy_only=False)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.zeros(k, np.int64), child.view(np.int64)])),
-                 pa.array(np.concatenate([np.minimum(rep, pivot)[pair], rep[down]])),
-                 pa.array(np.concatenate([np.maximum(rep, pivot)[pair], np.zeros(len(down), np.int64)]),
-                          mask=np.arange(k + len(down)) >= k),
-                 pa.array([None] * k + [sk[x].tobytes() for x in down], pa.binary()),
-                 pa.array(np.concatenate([np.zeros(k, np.int64), m[down]]))], names=["node", "a", "b", "sk", "m"])
+                [b.column(0).take(pa.array(pair)), pa.array(np.minimum(rep, pivot)[pair]),
+                 pa.array(np.maximum(rep, pivot)[pair]), pa.array(g[pair])], names=["node", "a", "b", "g"])
     return run
 
 
+def _children(batches):
+    """Rows (node, rep, sk, m, g) to the same rows in the children of their nodes."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        node = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+        sk = _sketches(b.column(2))
+        h = mix(node)
+        i = (h % _U(MINHASHES)).astype(np.int64)
+        h = mix(h)
+        j = (i + 1 + (h % _U(MINHASHES - 1)).astype(np.int64)) % MINHASHES
+        one = np.arange(len(node))
+        two = np.flatnonzero((mix(h) >> _U(62)) == 0)
+        child = np.concatenate([_child(node, i, sk[one, i]), _child(node[two], j[two], sk[two, j[two]])])
+        down = pa.array(np.concatenate([one, two]))
+        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *[b.column(c).take(down) for c in range(1, 5)]],
+                                         names=["node", "rep", "sk", "m", "g"])
+
+
 def smallest_labels(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
     """For n items the smallest item that links (x, y) connect each to."""
     root = np.arange(n)
@@ -167,12 +174,17 @@ def smallest_labels(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
     return root
 
 
-def _bundles(node, rep, sk, low):
-    """Whole leaves (rows sorted by node) to columns (node, a, b): pairs to confirm, or
-    with b = -1 documents whose bundle ``node`` is to be compared on full sets."""
+def _bundles(node, rep, sk, low, side=None):
+    """Whole leaves (rows sorted by node and side) to columns (node, a, b): pairs to confirm,
+    or with b = -1 documents whose bundle ``node`` is to be compared on full sets.  Rows of
+    side 0 meet all others of their leaf, of side 1 those of side 2, which do not meet."""
     cut = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
     size = np.diff(np.concatenate([cut, [len(node)]]))
-    later = np.repeat(cut + size, size) - np.arange(len(node)) - 1
+    end = np.repeat(cut + size, size)
+    later = end - np.arange(len(node)) - 1
+    if side is not None:
+        connected = np.repeat(np.add.reduceat(side == 2, cut), size) if len(node) else later
+        later = np.where(side == 0, later, np.where(side == 1, connected, 0))
     total = np.cumsum(later)
     xs, ys = [], []
     lo = 0
@@ -180,7 +192,7 @@ def _bundles(node, rep, sk, low):
         hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + (1 << 16), side="right")))
         n = later[lo:hi]
         x = np.repeat(np.arange(lo, hi), n)
-        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+        y = end[x] - np.repeat(np.cumsum(n), n) + np.arange(len(x))
         if len(x):
             ok = (_similar(sk[x], sk[y]) >= low) & (rep[x] != rep[y])
             xs.append(x[ok])
@@ -220,11 +232,12 @@ def _runs(batches):
 
 
 def _compare(threshold):
-    low = threshold - 4 * math.sqrt(threshold * (1 - threshold) / MINHASHES)
+    low = _lowest(threshold)
 
     def run(batches):
         for t in _runs(batches):
-            node, a, b, k = _bundles(t.column(0).to_numpy(), t.column(1).to_numpy(), _sketches(t.column(2)), low)
+            node, a, b, k = _bundles(t.column(0).to_numpy(), t.column(1).to_numpy(), _sketches(t.column(2)), low,
+                                     t.column(3).to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(a), pa.array(b, mask=np.arange(len(b)) >= k)],
                                              names=["node", "a", "b"])
     return run
@@ -271,8 +284,13 @@ def leaf_forest(ids: list[int], sets: list[np.ndarray], percent: int) -> tuple[n
         m = np.zeros((len(sets), min(4096, width - lo)), dtype=np.float32)
         m[row[at], inv[at] - lo] = 1
         both += m @ m.T
-    x, y = np.nonzero(np.triu(_linked(np.rint(both).astype(np.int64), n[:, None], n[None, :], percent), 1))
-    return forest(np.array(ids), x, y)
+    xs, ys = [], []
+    for lo in range(0, len(sets), 256):          # some rows at a time, so that no large copy is made
+        part = np.rint(both[lo:lo + 256]).astype(np.int64)
+        x, y = np.nonzero(np.triu(_linked(part, n[lo:lo + 256, None], n[None, :], percent), lo + 1))
+        xs.append(x + lo)
+        ys.append(y)
+    return forest(np.array(ids), np.concatenate(xs), np.concatenate(ys))
 
 
 def _leaf_links(k, percent):
@@ -296,9 +314,20 @@ def _leaf_links(k, percent):
     return run
 
 
-def candidates(reps: DataFrame, keep, threshold: float, leaf: int) -> DataFrame:
+def _leaf_rows(rows: DataFrame, leaf: int) -> DataFrame:
+    """Rows (node, rep, sk, side) of nodes without a pivot.  The largest connected set of a
+    node is dealt to ``chunks`` leaves by a hash; every one of them gets all other rows."""
+    chunk = F.when(F.col("g") == F.col("big"), F.array(F.pmod(F.xxhash64("rep", "node"), "chunks"))) \
+        .otherwise(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    return rows.select("*", F.explode(chunk).alias("chunk")).select(
+        F.when(F.col("chunks") == 1, F.col("node")).otherwise(F.xxhash64("node", "chunk")).alias("node"), "rep", "sk",
+        F.when(F.col("g") == F.col("big"), 2).when(F.col("chunk") == 0, 0).otherwise(1).alias("side"))
+
+
+def candidates(reps: DataFrame, keep, threshold: float, leaf: int, texts_of, confirm) -> tuple[DataFrame, list[DataFrame]]:
     """Rows (node, a, b) of representatives (rep, n, sk, roots): pairs, or documents (b
-    null) whose bundle is to be compared on full sets."""
+    null) whose bundle is to be compared on full sets.  And the links (a, b) to pivots,
+    which ``confirm`` finds among pairs by the texts that ``texts_of`` fetches."""
     spark = reps.sparkSession
     bounded_batches(spark, 4096)
     sketches = reps.select("rep", "sk")
@@ -309,32 +338,49 @@ def candidates(reps: DataFrame, keep, threshold: float, leaf: int) -> DataFrame:
                  .where("n >= 2"), "nodes")
     pivots = nodes.where(is_large).join(sketches.select(F.col("rep").alias("pivot"), F.col("sk").alias("psk")), "pivot") \
         .select("node", "pivot", "psk")
-    columns = ["node", "rep", "sk", "m", "pivot", "psk"]
+    columns = ["node", "rep", "sk", "m", "g", "pivot", "psk", "pg"]
     rows = keep(level.join(nodes.select("node"), "node").join(sketches, "rep").join(pivots, "node", "left")
-                .select(*columns), "rows")
-    small, pairs = [], []
+                .withColumns({"g": F.col("rep"), "pg": F.col("pivot")}).select(*columns), "rows")
+    small, links, texts = [rows.where("pivot is null").select("node", "rep", "sk", F.lit(0).alias("side"))], [], None
     for _ in range(MAX_DEPTH):
-        small.append(rows.where("pivot is null").select("node", "rep", "sk"))
         large = rows.where("pivot is not null")
         n = large.count()
         if not n:
             break
-        down = keep(few(large, n).mapInArrow(_descend(threshold), "node long, a long, b long, sk binary, m long"), "down")
-        pairs.append(down.where("b is not null").select(F.lit(0).cast("long").alias("node"), "a", "b"))
-        level = down.where("b is null").select("node", F.col("a").alias("rep"), "sk", "m")
-        nodes = level.groupBy("node").agg(*size, F.min_by(F.struct("rep", "sk"), F.xxhash64("node", "rep")).alias("p")) \
-            .where("n >= 2")
-        nodes = nodes.select("node", F.when(is_large, F.col("p.rep")).alias("pivot"), F.when(is_large, F.col("p.sk")).alias("psk"))
-        rows = keep(few(level.join(nodes, "node").select(*columns), n), "rows")
+        if texts is None:                       # all nodes below hold no others
+            texts = keep(texts_of(large.select(F.col("rep").alias("id")).distinct()), "pivot-texts")
+            bounded_batches(spark, 4096)
+        near = keep(few(large.select("node", "rep", "sk", "g", "pivot", "psk", "pg"), n)
+                    .mapInArrow(_near_pivot(threshold), "node long, a long, b long, g long"), "near")
+        bounded_batches(spark)
+        links.append(keep(confirm(near.select("a", "b").distinct(), texts), "pivot-links"))
+        bounded_batches(spark, 4096)
+        # what the pivot's links connect is one set of the node from now on
+        hit = near.join(links[-1], ["a", "b"]).select("node", "g").distinct().withColumn("hit", F.lit(True))
+        joined = F.when(F.col("hit") | (F.col("g") == F.col("pg")), F.col("pivot")).otherwise(F.col("g")).alias("g")
+        down = large.where("rep != pivot").join(hit, ["node", "g"], "left").select("node", "rep", "sk", "m", joined)
+        level = keep(few(down, n).mapInArrow(_children, "node long, rep long, sk binary, m long, g long"), "down")
+        nodes = level.groupBy("node", "g").agg(*size).groupBy("node") \
+            .agg(F.sum("n").alias("all_n"), F.sum("w").alias("all_w"), F.count("*").alias("sets"),
+                 F.max_by(F.struct("g", "n", "w"), F.struct("n", "g")).alias("big")).where("sets >= 2") \
+            .withColumns({"n": F.col("all_n") - F.col("big.n"), "w": F.col("all_w") - F.col("big.w")}) \
+            .select("node", F.col("big.g").alias("big"), is_large.alias("large"),
+                    F.ceil(F.greatest(F.col("big.n") / max(1, leaf // 2), F.col("big.w") / (LEAF_SHINGLES / 2)))
+                    .cast("long").alias("chunks"))
+        level = keep(few(level.join(nodes, "node"), n), "level")
+        small.append(_leaf_rows(level.where("not large"), leaf))
+        level = level.where("large")
+        pivots = level.where("g != big").groupBy("node").agg(F.min_by(F.struct("rep", "sk", "g"), F.xxhash64("node", "rep")).alias("p")) \
+            .select("node", F.col("p.rep").alias("pivot"), F.col("p.sk").alias("psk"), F.col("p.g").alias("pg"))
+        rows = keep(few(level.join(pivots, "node").select(*columns), n), "rows")
     else:
         raise RuntimeError(f"large nodes are left at depth {MAX_DEPTH}")
     every = small[0]
     for x in small[1:]:
         every = every.unionAll(x)
-    out = every.repartition("node").sortWithinPartitions("node").mapInArrow(_compare(threshold), "node long, a long, b long")
-    for x in pairs:
-        out = out.unionAll(x)
-    return keep(out.distinct(), "candidates")
+    out = every.repartition("node").sortWithinPartitions("node", "side") \
+        .mapInArrow(_compare(threshold), "node long, a long, b long")
+    return keep(out.distinct(), "candidates"), links
 
 
 def _present(bits):
@@ -355,19 +401,30 @@ def links_of(docs: DataFrame, keep, shingle_words: int, percent: int, trees: int
     reps = keep(rows.where("n > 0 and id is not null").groupBy("f1", "f2")
                 .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sk").alias("sk"),
                      F.first("roots").alias("roots")), "reps")
-    found = candidates(reps, keep, percent / 100, leaf)
+    def texts_of(ids):
+        bounded_batches(spark)
+        return docs.where("id is not null").select("id", "text", F.xxhash64("id").alias("h")) \
+            .mapInArrow(_present(bloom(ids.select(F.xxhash64("id").alias("h")))), "id long, text string") \
+            .join(ids, "id", "left_semi").distinct()
+
+    def confirm(pairs, texts):
+        side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))
+        return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb") \
+            .mapInArrow(_confirm(shingle_words, percent), "a long, b long")
+
+    found, links = candidates(reps, keep, percent / 100, leaf, texts_of, confirm)
     pairs, members = found.where("b is not null").select("a", "b"), found.where("b is null").select("node", "a")
     ends = keep(found.select(F.explode(F.array("a", "b")).alias("id")).where("id is not null").distinct(), "ends")
-    bounded_batches(spark)
-    texts = keep(docs.where("id is not null").select("id", "text", F.xxhash64("id").alias("h"))
-                 .mapInArrow(_present(bloom(ends.select(F.xxhash64("id").alias("h")))), "id long, text string")
-                 .join(ends, "id", "left_semi").distinct(), "texts")
-    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))
-    confirmed = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb") \
-        .mapInArrow(_confirm(shingle_words, percent), "a long, b long")
-    within = members.join(side("a"), "a").select("node", "a", "ta").repartition("node").sortWithinPartitions("node") \
+    texts = keep(texts_of(ends), "texts")
+    within = members.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a") \
+        .select("node", "a", "ta").repartition("node").sortWithinPartitions("node") \
         .mapInArrow(_leaf_links(shingle_words, percent), "a long, b long")
-    return rows, reps, keep(confirmed.unionAll(within), "links")
+    for x in [confirm(pairs, texts), within]:
+        links.append(x)
+    every = links[0]
+    for x in links[1:]:
+        every = every.unionAll(x)
+    return rows, reps, keep(every, "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,

@@ -131,3 +131,20 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(7, 7), (None, 1)]
     got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}}
+
+
+def test_near_copies_of_one_absorbed_document_are_found(spark):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(240):                      # a tight group, many times the leaf
+        w = list(base)
+        w[rng.randrange(4, 116)] = f"e{i}"
+        rows.append((i, " ".join(w)))
+    for i in range(240, 300):                 # near one member each, below 0.8 to nearly all others
+        w = rows[i - 240][1].split()
+        for at in rng.sample(range(4, 116, 8), 3):
+            w[at] = f"x{i}.{at}"
+        rows.append((i, " ".join(w)))
+    got = {i: (n, c) for i, n, c in result(spark, rows, shingle_words=4, leaf=16)}
+    assert got == brute(rows, 4)
