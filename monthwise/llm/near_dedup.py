@@ -9,8 +9,8 @@ by tokens chosen for the node: two choices at the root, then one choice per node
 and a second one with probability 1/4 (1.25 = 1 / threshold children, so a pair
 at the threshold survives each level with about even odds, while less similar
 ones thin out).  In a node of more than ``leaf`` documents (or LEAF_SHINGLES
-shingles) every document is compared with one pivot, on full sets where the estimate
-allows a link.  What the links connect is one set of the node from there on; the pivot
+shingles) every document is compared with one pivot, on full sets where the estimate is
+no more than 4 standard errors below the threshold.  What the links connect is one set of the node from there on; the pivot
 has met all others and leaves, they descend with their sets.  A node's size is what
 lies outside its largest set, since documents of one set need not meet again.  So a
 very large group of near copies shrinks by its pivots' neighbourhoods instead of being
@@ -351,7 +351,7 @@ def candidates(reps: DataFrame, keep, threshold: float, leaf: int, texts_of, con
             texts = keep(texts_of(large.select(F.col("rep").alias("id")).distinct()), "pivot-texts")
             bounded_batches(spark, 4096)
         near = keep(few(large.select("node", "rep", "sk", "g", "pivot", "psk", "pg"), n)
-                    .mapInArrow(_near_pivot(threshold), "node long, a long, b long, g long"), "near")
+                    .mapInArrow(_near_pivot(_lowest(threshold)), "node long, a long, b long, g long"), "near")
         bounded_batches(spark)
         links.append(keep(confirm(near.select("a", "b").distinct(), texts), "pivot-links"))
         bounded_batches(spark, 4096)

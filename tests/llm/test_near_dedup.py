@@ -148,3 +148,17 @@ def test_near_copies_of_one_absorbed_document_are_found(spark):
         rows.append((i, " ".join(w)))
     got = {i: (n, c) for i, n, c in result(spark, rows, shingle_words=4, leaf=16)}
     assert got == brute(rows, 4)
+
+
+def test_pairs_with_a_pivot_are_confirmed_below_the_threshold(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = []
+    for i in range(0, 120, 2):                # pairs just above 0.8, many estimated below it
+        w = [f"{i}.{j}" for j in range(120)]
+        rows.append((i, " ".join(w)))
+        for at in rng.sample(range(4, 116, 8), 3):
+            w[at] = f"x{at}"
+        rows.append((i + 1, " ".join(w)))
+    monkeypatch.setattr(nd, "LEAF_SHINGLES", 1)          # every node is large by its shingles
+    got = {i: (n, c) for i, n, c in result(spark, rows, shingle_words=4)}
+    assert got == brute(rows, 4)
