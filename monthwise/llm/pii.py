@@ -9,7 +9,7 @@ is read a bounded number of times however long it is.
 Kinds, in their order: email, ip, card, phone (the contract's base kinds, leftmost
 and non-overlapping within a kind; a match that fails its check is dropped
 without a retry), then
-  account  IBANs that pass mod 97, and numbers of 6 or more digits after an
+  account  IBANs of their country's length that pass mod 97, and numbers of 6 or more digits after an
            account cue ("account", "konto", "compte", "cuenta" ...),
   address  house number, capitalised words and a street word, or a leading street
            word, capitalised words and a house number,
@@ -42,14 +42,21 @@ _DIGITS = re.compile(r"[0-9]+")
 _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
 _ACCOUNT = re.compile(r"(?:\x20{0,2}(?:number|no|nr|num|id)\b\.?)?[\x20:#=.]{1,4}([0-9](?:[\x20-]?[0-9]){5,29})")
-_SECRET = re.compile(r"[\x20]{0,2}[=:][\x20]{0,2}(?:\"([^\"\s]{8,512})\"|'([^'\s]{8,512})'|([A-Za-z0-9_\-/+.]{16,512}))")
-_LOGIN = re.compile(r"://[^\s/@<>\"']{1,128}@[A-Za-z0-9.-]+[^\s<>\"']*")
+_SECRET = re.compile(r"[\x20]{0,2}[=:][\x20]{0,2}(?:\"([^\"\s]{8,}+)\"|'([^'\s]{8,}+)'|([A-Za-z0-9_\-/+.]{16,}+))")
+_LOGIN = re.compile(r"://[^\s/@<>\"']++@[A-Za-z0-9.-]+[^\s<>\"']*")
 _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{1,15}$")
 _STREET_BEFORE = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}[a-zA-Z]?(?:\x20[A-Z][a-z]{1,20}){1,3}\x20$")
 _STREET_AFTER = re.compile(r"(?:\x20(?:de|la|el|del|des|du|le|les))?(?:\x20[A-ZÀ-Ý][a-zà-ÿ]{1,20}){1,3},?\x20[0-9]{1,5}(?![0-9A-Za-z])")
 
+# characters of an IBAN by country; others end where a word ends and mod 97 holds
+_IBAN_LENGTH = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
+
 ACCOUNT_CUES = ("account", "acct", "konto", "kontonummer", "compte", "cuenta")
 SECRET_CUES = ("token", "password", "passwd", "api_key", "api-key", "apikey", "secret", "access_key")
 STREETS_AFTER_NAME = ("Street", "Avenue", "Road", "Lane", "Boulevard", "Drive")   # 12 Oak Street
@@ -100,13 +107,29 @@ def iban_ok(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def iban_end_at(text: str, at: int) -> int | None:
+    """The end of the IBAN that starts at ``at``."""
+    m = _IBAN.match(text, at)
+    if not m:
+        return None
+    end = [i + 1 for i in range(at, m.end()) if text[i] != " "]
+    size = _IBAN_LENGTH.get(text[at:at + 2])
+    for n in range(len(end), 14, -1) if size is None else [size]:
+        if n <= len(end):
+            e = end[n - 1]
+            follows = text[e:e + 1]
+            if not (follows.isascii() and follows.isalnum()) and iban_ok(text[at:e]):
+                return e
+    return None
+
+
 def spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """All spans of one text by kind, as (start, end) in code points."""
     global _ANCHORS
     if _ANCHORS is None:
         _ANCHORS = _automaton()
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
-    email_end = ip_end = card_end = phone_end = iban_end = 0
+    email_end = ip_end = card_end = phone_end = iban_end = login_end = 0
 
     def add(kind, s, e):
         if not out[kind] or out[kind][-1][1] <= s:
@@ -132,10 +155,10 @@ def spans(text: str) -> dict[str, list[tuple[int, int]]]:
                 else:
                     card_end = at + 1
             if at >= 2 and at - 2 >= iban_end and text[at - 1].isupper() and (at < 3 or not text[at - 3].isalnum()):
-                m = _IBAN.match(text, at - 2)
-                if m and iban_ok(m.group()):
-                    iban_end = m.end()
-                    add("account", *m.span())
+                end = iban_end_at(text, at - 2)
+                if end:
+                    iban_end = end
+                    add("account", at - 2, end)
         elif kind == "at":
             lo = at
             while lo > email_end and text[lo - 1] in _LOCAL:
@@ -153,11 +176,12 @@ def spans(text: str) -> dict[str, list[tuple[int, int]]]:
                     if 8 <= sum(c.isdigit() for c in m.group()) <= 15:
                         out["phone"].append(m.span())
         elif kind == "scheme":
-            m = _LOGIN.match(text, at - 2)
-            if m:
-                before = _SCHEME.search(text[max(0, at - 18):at - 2])
-                if before:
-                    add("login", at - 2 - len(before.group()), m.end())
+            before = at >= login_end and _SCHEME.search(text[max(0, at - 18):at - 2])
+            if before:
+                m = _LOGIN.match(text, at - 2)
+                if m:
+                    login_end = m.end()
+                    add("login", at - 2 - len(before.group()), login_end)
         elif kind == "account":
             m = _ACCOUNT.match(text, at + 1)
             if m:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -69,3 +70,22 @@ def test_query_form_and_edges(spark):
     masked = pii.mask_documents(df)
     assert masked.columns == df.columns and masked.count() == len(rows)
     assert pii.find_spans(df.limit(0)).count() == 0 and pii.mask_documents(df.limit(0)).count() == 0
+
+
+def test_ibans_before_words_and_long_secrets():
+    for iban in ("DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947"):
+        for after in (" BIC COBADEFF", " 12 ITEMS", " A B C D E F", ", X", ""):
+            assert pii.mask(f"pay {iban}{after}") == f"pay <ACCOUNT>{after}"
+    assert pii.mask("pay DE89 3704 0044 0532 0130 01 BIC") == "pay DE89 3704 0044 0532 0130 01 BIC"
+    long = "aB3-" * 700
+    assert pii.mask(f"token={long} end") == "token=<SECRET> end"
+    assert pii.mask(f"password: '{long}' end") == "password: '<SECRET>' end"
+    assert pii.mask(f'password: "{long}" end') == 'password: "<SECRET>" end'
+    assert pii.mask(f"https://me:{long}@host.example/x end") == "<LOGIN> end"
+
+
+def test_long_runs_are_read_once():
+    start = time.process_time()
+    for unit in ("ab://u@h", "://u@h", "token='", 'token="x', "ab://u", "token=" + "a" * 20):
+        pii.spans(unit * 100_000)
+    assert time.process_time() - start < 30
