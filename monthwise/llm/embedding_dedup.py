@@ -5,11 +5,15 @@ shards by a hash; each shard gets a hierarchical navigable small-world graph of
 its unit vectors.  Every class queries every shard, and pairs found are links when
 their cosine in double precision reaches the threshold.
 
-Beams are widened before the full run: the audit queries (ids divisible by
-AUDIT_EVERY) search the graphs and are compared with all vectors by brute force,
-in blocks; while they find less than TARGET_RECALL of the true links, the beam is
-doubled.  A beam that is full of links is followed on through the graph, so the
-number of links has no cap.
+Beams are widened before the full run: the audit queries (one class of AUDIT_EVERY by
+a hash; more if these have no links) search the graphs and are compared with all
+vectors by brute force, in blocks.  Recall is the mean over the queries of a class of
+link counts (powers of two), and the worst class counts, so a hot group does not hide
+losses elsewhere.  While it is below TARGET_RECALL, the beam is doubled; when LAST_BEAM
+does not reach it either, every query is compared with every vector.  A beam that is
+full of links is followed on through the graph, so the number of links has no cap.  If
+a tenth of more than EXACT_ROWS classes has no links, the recall cannot be measured and
+LAST_BEAM is taken.
 
 Shards and query blocks meet in groups of one graph and one block of BLOCK_ROWS
 queries.  SHARDS is fixed until a shard would exceed SHARD_ROWS vectors; from there
@@ -40,6 +44,7 @@ BLOCK_ROWS = 8192
 FIRST_BEAM, LAST_BEAM = 16, 512
 TARGET_RECALL = 0.99
 AUDIT_EVERY = 100
+EXACT_ROWS = 200_000
 SLACK = 1e-4                    # below the threshold in single precision; doubles decide
 
 
@@ -81,19 +86,33 @@ def _build(table: pa.Table) -> pa.Table:
                      "vs": pa.array([b"".join(table["v"].to_pylist())], pa.binary())})
 
 
-def _found(block: pa.Table, shard: pa.Table, threshold: float, beam: int):
-    """(query row, node row, reps, counts) of the true links that a block's search finds."""
+def _found(block: pa.Table, shard: pa.Table, threshold: float, beam: int | None):
+    """(query row, node row, reps, counts) of the true links that a block's search finds;
+    without a beam, of all true links."""
     q = _matrix(block["v"])
     x = np.frombuffer(shard["vs"][0].as_py(), "<f8").reshape(-1, q.shape[1])
     reps = np.frombuffer(shard["reps"][0].as_py(), "<i8")
     counts = np.frombuffer(shard["counts"][0].as_py(), "<i8")
-    i, j = Hnsw.unpack(shard["graph"][0].as_py()).near(_unit(q), threshold - SLACK, beam)
+    if beam is None:
+        i, j = _every_pair(q, x, threshold - SLACK)
+    else:
+        i, j = Hnsw.unpack(shard["graph"][0].as_py()).near(_unit(q), threshold - SLACK, beam)
     ok = _cosines(q, x, i, j) >= threshold
     i, j = i[ok], j[ok]
     other = block["rep"].to_numpy()[i] != reps[j]
     return i[other], j[other], reps, counts
 
 
+def _every_pair(q, x, low):
+    """(query row, node row) with similarity of at least ``low``, by brute force."""
+    ux, i, j = _unit(x), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo in range(0, len(q), 256):
+        a, b = np.nonzero(_unit(q[lo:lo + 256]) @ ux.T >= low)
+        i.append(a + lo)
+        j.append(b)
+    return np.concatenate(i), np.concatenate(j)
+
+
 def _cosines(q, x, i, j) -> np.ndarray:
     out = np.empty(len(i))
     nq, nx = np.sqrt((q * q).sum(axis=1)), np.sqrt((x * x).sum(axis=1))
@@ -133,23 +152,26 @@ def _query(threshold, beam):
 
 
 def _audit(threshold, beam):
-    """A block of audit queries and a shard to one row (true links, found links)."""
+    """A block of audit queries and a shard to rows (rep, true links, found links)."""
     def run(block: pa.Table, shard: pa.Table) -> pa.Table:
         if not block.num_rows or not shard.num_rows:
-            return pa.table({"true": pa.array([], pa.int64()), "found": pa.array([], pa.int64())})
-        i, j, reps, _ = _found(block, shard, threshold, beam)
-        q = _matrix(block["v"])
-        x = np.frombuffer(shard["vs"][0].as_py(), "<f8").reshape(-1, q.shape[1])
-        own, true = block["rep"].to_numpy(), 0
-        ux = _unit(x)
-        for lo in range(0, len(q), 256):
-            a, b = np.nonzero(_unit(q[lo:lo + 256]) @ ux.T >= threshold - SLACK)
-            ok = (_cosines(q, x, a + lo, b) >= threshold) & (own[a + lo] != reps[b])
-            true += int(ok.sum())
-        return pa.table({"true": pa.array([true]), "found": pa.array([len(i)])})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("rep", "true", "found")})
+        n = block.num_rows
+        true, found = (np.bincount(_found(block, shard, threshold, x)[0], minlength=n) for x in (None, beam))
+        some = np.flatnonzero(true)
+        return pa.table({"rep": block["rep"].take(pa.array(some)), "true": pa.array(true[some].astype(np.int64)),
+                         "found": pa.array(found[some].astype(np.int64))})
     return run
 
 
+def worst_recall(audited: DataFrame) -> float | None:
+    """Of rows (rep, true, found) the smallest mean recall of the queries of one class of
+    link counts; null without links."""
+    return audited.groupBy("rep").agg(F.sum("true").alias("t"), F.sum("found").alias("f")) \
+        .groupBy(F.length(F.bin("t"))).agg(F.avg(F.col("f") / F.col("t")).alias("recall")) \
+        .agg(F.min("recall")).first()[0]
+
+
 def _meet(queries: DataFrame, graphs: DataFrame, blocks: int, shards: int, run, schema: str) -> DataFrame:
     """Every block of queries with every shard's graph of the same dimension."""
     block = F.pmod(F.xxhash64(F.lit("block"), "rep"), F.lit(blocks)).cast("int").alias("block")
@@ -161,8 +183,9 @@ def _meet(queries: DataFrame, graphs: DataFrame, blocks: int, shards: int, run,
 
 def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                            threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: id, rep (its class), n_links and component_id.  The audited recall is
-    kept as ``recall`` on the returned frame's ``audit`` attribute."""
+    """Per row: id, rep (its class), n_links and component_id.  The audited (beam,
+    recall) are kept as ``audit`` on the returned frame, the last is what was run; a beam
+    of None is the comparison of all."""
     spark = vectors.sparkSession
     bounded_batches(spark, 4096)
     with scratch() as keep:
@@ -178,13 +201,27 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
                       .withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
                       .groupBy("dim", "shard").applyInArrow(_build, "dim int, shard int, graph binary, reps binary, "
                                                                     "counts binary, vs binary"), "graphs")
-        beam, audit = FIRST_BEAM, []
-        chosen = known.where(F.col("rep") % AUDIT_EVERY == 0)
+        def recall(beam, every):
+            chosen = known.where(F.pmod(F.xxhash64(F.lit("audit"), "rep"), F.lit(every)) == 0)
+            return worst_recall(_meet(chosen, graphs, -(-n // (every * BLOCK_ROWS)) + 1, shards, _audit(threshold, beam),
+                                      "rep long, true long, found long"))
+
+        beam, audit, every = FIRST_BEAM, [], AUDIT_EVERY
         while True:
-            got = _meet(chosen, graphs, -(-n // (AUDIT_EVERY * BLOCK_ROWS)) + 1, shards, _audit(threshold, beam),
-                        "true long, found long").agg(F.sum("true").alias("t"), F.sum("found").alias("f")).first()
-            audit.append((beam, (got["f"] or 0) / got["t"] if got["t"] else 1.0))
-            if audit[-1][1] >= TARGET_RECALL or beam >= LAST_BEAM:
+            share = recall(beam, every)
+            if share is None and every > (1 if n <= EXACT_ROWS else 10):
+                every //= 10
+                continue
+            if share is None:                    # no links at all, or too few to be measured
+                beam = beam if every == 1 else LAST_BEAM
+                audit.append((beam, 1.0 if every == 1 else None))
+                break
+            audit.append((beam, share))
+            if share >= TARGET_RECALL:
+                break
+            if beam >= LAST_BEAM:
+                beam = None
+                audit.append((None, 1.0))
                 break
             beam *= 2
         found = keep(_meet(known, graphs, n // BLOCK_ROWS + 1, shards, _query(threshold, beam), "a long, links long, b long"),

@@ -80,3 +80,22 @@ def test_full_beams_are_followed_on():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     q, n = Hnsw(x).near(x[:20], 0.9, 8)
     assert len(q) == 20 * 700
+
+
+def test_a_failed_audit_ends_in_the_exact_comparison(spark, monkeypatch):
+    monkeypatch.setattr(ed, "LAST_BEAM", ed.FIRST_BEAM)
+    monkeypatch.setattr(ed, "TARGET_RECALL", 1.1)        # no beam reaches it
+    x = vectors(600)
+    near, comp = brute(x)
+    df = spark.createDataFrame([(2 * i + 1, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    out = ed.near_duplicate_vectors(df)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out.collect()}
+    assert [beam for beam, _ in out.audit] == [ed.FIRST_BEAM, None]
+    assert got == {2 * i + 1: (int(near[i].sum()), 2 * int(comp[i]) + 1) for i in range(len(x))}
+
+
+def test_a_hot_group_does_not_hide_missed_links(spark):
+    hot = [(i, 1000, 1000) for i in range(99)]
+    audited = spark.createDataFrame(hot + [(200, 1, 0), (201, 1, 1), (201, 1, 1)], "rep long, true long, found long")
+    assert ed.worst_recall(audited) == 0.0               # one link, not found; two links, both found
+    assert ed.worst_recall(audited.limit(0)) is None
