@@ -22,8 +22,9 @@ links, and a spanning forest of the links it found, not the links themselves.
 
 Defined results: null vectors, empty ones, and those that hold null or non-finite
 components or have no length link with nothing and are their own component; vectors
-of different lengths are not compared.  Null ids: component null, kept.  Repeated
-rows count as other vectors.  Empty table: empty result.  Extra columns are ignored.
+of different lengths are not compared.  Null ids: component null, kept; a
+vector that only rows without an id hold is counted as a link and joins no vectors.
+Repeated rows count as other vectors.  Empty table: empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -88,7 +89,7 @@ def _build(table: pa.Table) -> pa.Table:
 
 def _found(block: pa.Table, shard: pa.Table, threshold: float, beam: int | None):
     """(query row, node row, reps, counts) of the true links that a block's search finds;
-    without a beam, of all true links."""
+    without a beam, of all true links.  Counts of classes without an id are negative."""
     q = _matrix(block["v"])
     x = np.frombuffer(shard["vs"][0].as_py(), "<f8").reshape(-1, q.shape[1])
     reps = np.frombuffer(shard["reps"][0].as_py(), "<i8")
@@ -99,7 +100,7 @@ def _found(block: pa.Table, shard: pa.Table, threshold: float, beam: int | None)
         i, j = Hnsw.unpack(shard["graph"][0].as_py()).near(_unit(q), threshold - SLACK, beam)
     ok = _cosines(q, x, i, j) >= threshold
     i, j = i[ok], j[ok]
-    other = block["rep"].to_numpy()[i] != reps[j]
+    other = (block["rep"].to_numpy()[i] != reps[j]) | (counts[j] < 0)
     return i[other], j[other], reps, counts
 
 
@@ -129,8 +130,10 @@ def _query(threshold, beam):
             return pa.table({"a": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         i, j, reps, counts = _found(block, shard, threshold, beam)
         own = block["rep"].to_numpy()
-        links = np.bincount(i, counts[j], block.num_rows).astype(np.int64)
+        links = np.bincount(i, np.abs(counts[j]), block.num_rows).astype(np.int64)
         some = np.flatnonzero(links)
+        named = counts[j] > 0                      # a class without an id is counted and joins nothing
+        i, j = i[named], j[named]
         ids, inv = np.unique(np.concatenate([own[i], reps[j]]), return_inverse=True)
         root = np.arange(len(ids))
         x, y = inv[:len(i)], inv[len(i):]
@@ -193,11 +196,12 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
                     .mapInArrow(_clean, "id long, dim int, v binary"), "vectors")
         classes = keep(rows.where("v is not null").groupBy("dim", "v").agg(F.min("id").alias("rep"), F.count("*").alias("n")),
                        "vector-classes")
-        # a class without any id still counts for others; it gets none back
+        # a class without any id still counts for others; it gets none back and joins none
         known = classes.where("rep is not null")
         n = classes.count()
         shards = max(SHARDS, -(-n // SHARD_ROWS))
-        graphs = keep(classes.withColumn("rep", F.coalesce("rep", F.lit(-1 << 63)))
+        graphs = keep(classes.withColumn("n", F.when(F.col("rep").isNull(), -F.col("n")).otherwise(F.col("n")))
+                      .withColumn("rep", F.coalesce("rep", F.lit(0)))
                       .withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
                       .groupBy("dim", "shard").applyInArrow(_build, "dim int, shard int, graph binary, reps binary, "
                                                                     "counts binary, vs binary"), "graphs")

@@ -99,3 +99,10 @@ def test_a_hot_group_does_not_hide_missed_links(spark):
     audited = spark.createDataFrame(hot + [(200, 1, 0), (201, 1, 1), (201, 1, 1)], "rep long, true long, found long")
     assert ed.worst_recall(audited) == 0.0               # one link, not found; two links, both found
     assert ed.worst_recall(audited.limit(0)) is None
+
+
+def test_vectors_without_an_id_join_nothing(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (None, [1.0, 0.1]), (None, [0.1, 1.0]), (None, [0.1, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {(r["vec_id"], r["n_links"], r["component_id"]) for r in ed.near_duplicate_vectors(df).collect() if r["vec_id"]}
+    assert got == {(1, 1, 1), (2, 2, 2)}
