@@ -31,14 +31,27 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates the document of the smallest id.  Rows that
-    repeat an id and its text become one; rows without an id stay."""
-    classes = near_dedup.near_duplicates(docs, shingle_words=SHINGLE_WORDS, percent=PERCENT)
-    dropped = classes.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    again = classes.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count() \
-        .where("count > 1").select("doc_id")
-    once = docs.join(dropped.unionAll(again), "doc_id", "left_anti")
-    repeated = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(repeated).select(*docs.columns)
+    repeat an id and its text become one; rows without an id stay.  If one id has several
+    texts, these are decided on apart, by numbers in the order of the ids."""
+    doc = [F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text")]
+    known = docs.where("doc_id is not null").select(*doc)
+    if known.groupBy("_id").agg(F.min("_text").alias("a"), F.max("_text").alias("b")).where("a != b").isEmpty():
+        return _one_of_each(docs, "doc_id").select(*docs.columns)
+    numbers = materialize(known.distinct().repartitionByRange("_id", "_text").sortWithinPartitions("_id", "_text")
+                          .withColumn("_number", F.monotonically_increasing_id()), "pipeline-numbers")
+    numbered = docs.select("*", *doc).join(numbers, ["_id", "_text"], "left")
+    return _one_of_each(numbered, "_number").select(*docs.columns)
+
+
+def _one_of_each(docs: DataFrame, id_col: str) -> DataFrame:
+    """Of each component the row of the smallest ``id_col``, which goes with one text."""
+    classes = near_dedup.near_duplicates(docs, id_col, shingle_words=SHINGLE_WORDS, percent=PERCENT)
+    dropped = classes.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    again = classes.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).count() \
+        .where("count > 1").select(id_col)
+    once = docs.join(dropped.unionAll(again), id_col, "left_anti")
+    repeated = docs.join(again, id_col, "left_semi").dropDuplicates([id_col, "text"])
+    return once.unionByName(repeated)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

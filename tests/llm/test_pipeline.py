@@ -74,3 +74,12 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     rows = [(7, " ".join(prose), "en", "s", 1), (5, near, "en", "s", 1), (9, near, "en", "s", 1),
             (11, "something else entirely that nobody copies around here", "en", "s", 1)]
     assert sorted(r["doc_id"] for r in cp.near_dedup_stage(spark, frame(spark, rows), SF_SMALL).collect()) == [5, 11]
+
+
+def test_near_dedup_decides_on_the_texts_of_one_id_apart(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a.replace("a59", "z")
+    rows = [(3, a), (5, near), (5, b), (5, b), (7, None), (7, c), (8, c), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in cp.near_dedup_stage(spark, df, SF_SMALL).collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (5, b), (7, None), (7, c), (None, a)], key=str)
