@@ -54,6 +54,7 @@ MINHASHES = 128
 TREES = 6
 LEAF = 2048
 LEAF_SHINGLES = 1 << 22         # so that one task can hold the sets of a leaf
+LEVEL_ROWS = 4096               # rows of large nodes in one task
 MAX_DEPTH = 200                 # far beyond any expected depth; reaching it raises
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -350,7 +351,7 @@ def candidates(reps: DataFrame, keep, threshold: float, leaf: int, texts_of, con
         if texts is None:                       # all nodes below hold no others
             texts = keep(texts_of(large.select(F.col("rep").alias("id")).distinct()), "pivot-texts")
             bounded_batches(spark, 4096)
-        near = keep(few(large.select("node", "rep", "sk", "g", "pivot", "psk", "pg"), n)
+        near = keep(few(large.select("node", "rep", "sk", "g", "pivot", "psk", "pg"), n, LEVEL_ROWS)
                     .mapInArrow(_near_pivot(_lowest(threshold)), "node long, a long, b long, g long"), "near")
         bounded_batches(spark)
         links.append(keep(confirm(near.select("a", "b").distinct(), texts), "pivot-links"))
@@ -359,7 +360,7 @@ def candidates(reps: DataFrame, keep, threshold: float, leaf: int, texts_of, con
         hit = near.join(links[-1], ["a", "b"]).select("node", "g").distinct().withColumn("hit", F.lit(True))
         joined = F.when(F.col("hit") | (F.col("g") == F.col("pg")), F.col("pivot")).otherwise(F.col("g")).alias("g")
         down = large.where("rep != pivot").join(hit, ["node", "g"], "left").select("node", "rep", "sk", "m", joined)
-        level = keep(few(down, n).mapInArrow(_children, "node long, rep long, sk binary, m long, g long"), "down")
+        level = keep(few(down, n, LEVEL_ROWS).mapInArrow(_children, "node long, rep long, sk binary, m long, g long"), "down")
         nodes = level.groupBy("node", "g").agg(*size).groupBy("node") \
             .agg(F.sum("n").alias("all_n"), F.sum("w").alias("all_w"), F.count("*").alias("sets"),
                  F.max_by(F.struct("g", "n", "w"), F.struct("n", "g")).alias("big")).where("sets >= 2") \
@@ -367,12 +368,12 @@ def candidates(reps: DataFrame, keep, threshold: float, leaf: int, texts_of, con
             .select("node", F.col("big.g").alias("big"), is_large.alias("large"),
                     F.ceil(F.greatest(F.col("big.n") / max(1, leaf // 2), F.col("big.w") / (LEAF_SHINGLES / 2)))
                     .cast("long").alias("chunks"))
-        level = keep(few(level.join(nodes, "node"), n), "level")
+        level = keep(few(level.join(nodes, "node"), n, LEVEL_ROWS), "level")
         small.append(_leaf_rows(level.where("not large"), leaf))
         level = level.where("large")
         pivots = level.where("g != big").groupBy("node").agg(F.min_by(F.struct("rep", "sk", "g"), F.xxhash64("node", "rep")).alias("p")) \
             .select("node", F.col("p.rep").alias("pivot"), F.col("p.sk").alias("psk"), F.col("p.g").alias("pg"))
-        rows = keep(few(level.join(pivots, "node").select(*columns), n), "rows")
+        rows = keep(few(level.join(pivots, "node").select(*columns), n, LEVEL_ROWS), "rows")
     else:
         raise RuntimeError(f"large nodes are left at depth {MAX_DEPTH}")
     every = small[0]
