@@ -28,14 +28,20 @@ def few(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
     return df.coalesce(rows // per_task + 1)
 
 
-def bloom(hashes: DataFrame) -> np.ndarray:
-    """Bytes of a Bloom filter of BLOOM_BITS over the column ``h`` (64-bit hashes), two
-    bits for each: a fixed size, however many hashes there are."""
+def bloom_bits(n: int) -> int:
+    """Size of a filter of ``n`` hashes: 16 bits for each, a power of two, 32 MB at most.
+    Beyond, more rows pass the filter than need to; which ones are right is decided later."""
+    return min(1 << 28, max(1 << 20, 1 << (16 * n).bit_length()))
+
+
+def bloom(hashes: DataFrame, n_bits: int = BLOOM_BITS) -> np.ndarray:
+    """Bytes of a Bloom filter of ``n_bits`` over the column ``h`` (64-bit hashes), two
+    bits for each: a given size, however many hashes there are."""
     bits = F.explode(F.array("h", F.shiftrightunsigned("h", 32))).alias("h")
-    words = hashes.select(bits).select(F.shiftright("h", 6).bitwiseAND(BLOOM_BITS // 64 - 1).alias("w"),
+    words = hashes.select(bits).select(F.shiftright("h", 6).bitwiseAND(n_bits // 64 - 1).alias("w"),
                                        F.expr("shiftleft(1L, int(h & 63))").alias("bit")) \
         .groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
+    out = np.zeros(n_bits // 64, dtype=np.int64)
     out[words["w"].to_numpy()] = words["bits"].to_numpy()
     return out.view(np.uint8)
 
@@ -45,7 +51,7 @@ def in_bloom(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     h = h.view(np.uint64)
     ok = np.ones(len(h), dtype=bool)
     for x in (h, h >> np.uint64(32)):
-        at = (x & np.uint64(BLOOM_BITS - 1)).astype(np.int64)
+        at = (x & np.uint64(8 * len(bits) - 1)).astype(np.int64)
         ok &= (bits[at >> 3] >> (at & 7)) & 1 == 1
     return ok
 
