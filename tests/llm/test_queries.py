@@ -28,20 +28,21 @@ def run(spark, name):
     return [r.asDict() for r in queries.registry()[name](spark, SF).collect()]
 
 
-def test_ten_queries_are_registered():
+def test_all_queries_are_registered():
     names = list(queries.registry())
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(names)
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     rel = con.sql(queries.oracle_sql()[name])
     got = run(spark, name)
     assert sorted(got[0]) == sorted(rel.columns)
-    assert sorted(tuple(r[c] for c in rel.columns) for r in got) == sorted(rel.fetchall())
+    assert sorted((tuple(r[c] for c in rel.columns) for r in got), key=str) == sorted(rel.fetchall(), key=str)
 
 
 def test_op1(spark):
