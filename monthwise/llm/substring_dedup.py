@@ -42,8 +42,9 @@ from monthwise.llm.wordhash import hash_words, mix, text_slices
 
 WINDOW = 50
 GRAM = 16
-SHARD_WORDS = 1 << 18
+SHARD_WORDS = 1 << 17
 BLOCK_WORDS = 1 << 21
+PIECE = 1 << 18                # bytes of an automaton in one row, so that pages and batches stay small
 LAST = (1 << 63) - 1           # stands for a missing id
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 REGION = "shard int, ref boolean, doc long, row long, start int, words binary, anchors binary"
@@ -154,17 +155,19 @@ def _regions_of_regions(batches):
 
 
 def _automaton(rows: pa.Table) -> pa.Table:
-    """A shard's reference regions to its automaton."""
+    """A shard's reference regions to its automaton, in pieces."""
     texts = [np.frombuffer(x, _U) for x in rows["words"].to_pylist()]
     blob = suffix_automaton.build(texts, rows["doc"].to_pylist())
-    return pa.table({"shard": rows["shard"][:1], "blob": pa.array([blob], pa.binary())})
+    pieces = [blob[lo:lo + PIECE] for lo in range(0, len(blob), PIECE)]
+    return pa.table({"shard": pa.array([rows["shard"][0].as_py()] * len(pieces), pa.int32()),
+                     "piece": pa.array(range(len(pieces)), pa.int32()), "blob": pa.array(pieces, pa.binary())})
 
 
 def _streamed(again: bool):
     """Regions of one block against their shard's automaton: removed spans (lo, hi) and, with
     ``again``, the windows (at, h) that have an anchor of this shard and were not found."""
     def run(block: pa.Table, shard: pa.Table) -> pa.Table:
-        matcher = suffix_automaton.Matcher(shard["blob"][0].as_py())
+        matcher = suffix_automaton.Matcher(b"".join(shard.sort_by("piece")["blob"].to_pylist()))
         out: list[list] = [[] for _ in range(8)]
         for number, doc, row, start, words, anchors in zip(*(block[c].to_pylist() for c in ("shard", "doc", "row", "start", "words", "anchors"))):
             words = np.frombuffer(words, _U)
@@ -194,7 +197,7 @@ def _streamed(again: bool):
 
 def _matched(regions: DataFrame, again: bool, keep: Keeper, name: str) -> DataFrame:
     """FOUND rows of the regions that are not reference, streamed through the others' automata."""
-    automata = keep(regions.where("ref").groupBy("shard").applyInArrow(_automaton, "shard int, blob binary"), f"{name}-automata")
+    automata = keep(regions.where("ref").groupBy("shard").applyInArrow(_automaton, "shard int, piece int, blob binary"), f"{name}-automata")
     query = regions.where("not ref")
     blocks = keep(query.groupBy("shard").agg((F.sum(F.length("words")) / (8 * BLOCK_WORDS)).cast("int").alias("more")), f"{name}-blocks")
     copies = automata.join(blocks, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), "more"))).drop("more")

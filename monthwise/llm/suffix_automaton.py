@@ -9,6 +9,7 @@ edge to the next position's state by the next word, so only the other edges are
 from __future__ import annotations
 
 import io
+import zlib
 
 import numpy as np
 
@@ -88,14 +89,14 @@ def _packed(vocabulary, edges, link, length, first, main, sequence) -> bytes:
     np.savez(out, vocabulary=vocabulary, link=np.array(link, np.int32), length=np.array(length, np.int32),
              first=np.array(first, np.int64), main=main, sequence=np.array(sequence, np.int32),
              source=np.array(source, np.int32), word=np.array(word, np.int32), target=np.array(target, np.int32))
-    return out.getvalue()
+    return zlib.compress(out.getvalue(), 1)
 
 
 class Matcher:
     """Matching statistics of texts against a packed automaton."""
 
     def __init__(self, blob: bytes):
-        with np.load(io.BytesIO(blob)) as a:
+        with np.load(io.BytesIO(zlib.decompress(blob))) as a:
             self.vocabulary = a["vocabulary"]
             self.link, self.length, self.first = (a[x].tolist() for x in ("link", "length", "first"))
             n = len(self.vocabulary)
