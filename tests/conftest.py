@@ -28,3 +28,25 @@ def rows(df, order=None):
     out = [tuple(r) for r in df.collect()]
     key = (lambda t: tuple((x is None, str(x)) for x in t))
     return sorted(out, key=key) if order is None else out
+
+
+def scanned_files(df, under=""):
+    """Files that the scans of ``df`` open (of tables below the path ``under``), run time
+    pruning included: it is run, and the scans' own counts are read."""
+    df = df.select("*")
+    df.collect()
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if name == "FileSourceScanExec" and under in node.relation().location().rootPaths().mkString():
+            found += node.metrics().get("numFiles").get().value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
