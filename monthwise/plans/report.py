@@ -104,6 +104,16 @@ class ReportBase:
         base._one_source = True
         return base
 
+    @classmethod
+    def from_parts(cls, parts: DataFrame, cfg: ReportConfig) -> "ReportBase":
+        """From maintained month parts (``MonthParts.read()``): the window reads the kept
+        sums of its months and no facts."""
+        cfg = cfg.frozen()
+        parts = trailing_months(parts, "PERIODO", cfg.as_of, cfg.n_back)
+        base = cls(parts.select("PERIODO", "TIPO", "SVA_SMS", "Q"), parts, cfg)
+        base._one_source = True
+        return base
+
     def release(self) -> None:
         """Delete the materialized aggregates (call when the report is written)."""
         for df in {id(self.subs): self.subs, id(self.trx): self.trx}.values():
