@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthwise.functions.exact import exact_ratio, scale_of
+
 Q_SUM = "q_sum"
 QM_SUM = "qm_sum"
 
@@ -55,39 +57,56 @@ def mean_parts(df: DataFrame, keys, qty: str = "Q_TRANSACCIONES",
     return df.groupBy(*_list(keys)).agg(F.sum(qty).alias(Q_SUM), F.sum(prod).alias(QM_SUM))
 
 
-def ratio(num: Column, den: Column, zero: str = "error", digits: int = 0) -> Column:
-    """``ROUND(num / den, digits)`` computed in DOUBLE.
+def ratio(num: Column, den: Column, zero: str = "error", digits: int = 0,
+          scales: tuple[int, int] | None = None) -> Column:
+    """``ROUND(num / den, digits)``, ties away from zero.
 
+    With ``scales``, the decimal places of both (``exact_scales``), integers and decimals are
+    divided exactly and the result is a decimal; without, it is computed in DOUBLE.
     ``zero="error"`` raises on a zero denominator (even with ANSI off);
     ``zero="null"`` yields NULL, the ``NULLIF(den, 0)`` form.
     """
-    n = num.cast("double")
-    d = den.cast("double")
-    if zero == "null":
-        q = n / F.nullif(d, F.lit(0.0))
-    elif zero == "error":
-        q = F.when(d == 0, F.raise_error(F.lit("DIVIDE_BY_ZERO: weighted mean over a zero quantity"))
-                   .cast("double")).otherwise(n / d)
-    else:
+    if zero not in ("error", "null"):
         raise ValueError("zero must be 'error' or 'null'")
-    return F.round(q, digits)
+    if scales is not None:
+        q = exact_ratio(num, den, *scales, digits)
+    else:
+        q = F.round(num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0)), digits)
+    if zero == "error":
+        failed = F.raise_error(F.lit("DIVIDE_BY_ZERO: weighted mean over a zero quantity"))
+        q = F.when(den == 0, failed.cast("double" if scales is None else "decimal(38,0)")).otherwise(q)
+    return q
+
+
+def exact_scales(parts: DataFrame) -> tuple[int, int] | None:
+    """Decimal places of the parts of a mean; None if one is a floating-point number."""
+    scales = scale_of(parts.schema[QM_SUM].dataType), scale_of(parts.schema[Q_SUM].dataType)
+    return None if None in scales else scales
+
+
+def divided(parts: DataFrame, keys: Sequence, zero: str = "error", out: str = "ARPU", digits: int = 0,
+            out_type: str = "double") -> DataFrame:
+    """``keys`` and the rounded quotient of the additive parts.  Integers and decimals are
+    divided exactly; ``out_type`` says how the result is given (``bigint`` keeps sums
+    beyond 2^53 that DOUBLE cannot hold)."""
+    q = ratio(F.col(QM_SUM), F.col(Q_SUM), zero, digits, exact_scales(parts))
+    return parts.select(*keys, q.cast(out_type).alias(out))
 
 
 def mean_from_parts(parts: DataFrame, keys, zero: str = "error", out: str = "ARPU",
-                    digits: int = 0) -> DataFrame:
+                    digits: int = 0, out_type: str = "double") -> DataFrame:
     """Re-aggregate additive parts to ``keys`` and divide."""
     keys = _list(keys)
     agg = parts.groupBy(*keys).agg(F.sum(Q_SUM).alias(Q_SUM), F.sum(QM_SUM).alias(QM_SUM))
-    return agg.select(*keys, ratio(F.col(QM_SUM), F.col(Q_SUM), zero, digits).alias(out))
+    return divided(agg, keys, zero, out, digits, out_type)
 
 
 def weighted_mean(df: DataFrame, keys=("SVA_SMS", "PERIODO"), qty: str = "Q_TRANSACCIONES",
                   amount: str | None = "MONTO_NETO", zero: str = "error", out: str = "ARPU",
-                  amount_total: str | None = None, digits: int = 0) -> DataFrame:
+                  amount_total: str | None = None, digits: int = 0, out_type: str = "double") -> DataFrame:
     """``ROUND(SUM(q*m) / SUM(q), 0)`` per key (transaction-weighted mean)."""
     keys = _list(keys)
-    parts = mean_parts(df, keys, qty, amount, amount_total)
-    return parts.select(*keys, ratio(F.col(QM_SUM), F.col(Q_SUM), zero, digits).alias(out))
+    return divided(mean_parts(df, keys, qty, amount, amount_total), keys, zero, out, digits, out_type)
 
 
 def weighted_mean_by_period(df: DataFrame, type_value: str | None, period: str = "PERIODO",
