@@ -477,6 +477,7 @@ def previous_month_label_q(spark, d):
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from monthwise.plans import catalog_stores  # noqa: F401  (registers its queries)
     rename = {"trailing_months_q": "trailing_months", "period_key_q": "period_key",
               "report_sections_q": "report_sections",
               "previous_month_label_q": "previous_month_label"}

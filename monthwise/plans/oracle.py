@@ -379,4 +379,5 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT d, (CASE month(d - INTERVAL 1 MONTH) {month_case} END) || '_' || "
         f"strftime(d - INTERVAL 1 MONTH, '%y') AS label FROM (SELECT DISTINCT "
         f"CAST(o_orderdate AS DATE) AS d FROM orders)")
-    return q
+    from monthwise.plans import oracle_stores
+    return q | oracle_stores.oracle_sql()

@@ -13,7 +13,10 @@ ALLOWED_FETCH = {
     "plans/catalog.py": "one row of extreme dates",
     "operators/crosstab.py": "distinct periods: one value for a month",
     "operators/gating.py": "emptiness and one-row lookups",
+    "plans/catalog_stores.py": "one row of extreme dates",
+    "operators/skew_join.py": "one row with at most MOST_HEAVY keys",
     "sources/outbox_store.py": "touched outbox dates: one value for a day",
+    "sources/month_parts.py": "changed months: one value for a month",
 }
 ALLOWED_LIMIT = {
     "operators/ranking.py": "top-n is the feature",
