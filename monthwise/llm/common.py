@@ -19,6 +19,19 @@ def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Arrow batches of few rows for the jobs that run inside; the session's own setting is
+    back afterwards, so results that are read later must be written inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.llm import suffix_automaton
-from monthwise.llm.common import Keeper, bloom, bloom_bits, in_bloom, scratch, table
+from monthwise.llm.common import Keeper, bloom, bloom_bits, in_bloom, scratch, small_batches, table
 from monthwise.llm.wordhash import hash_words, mix, text_slices
 
 WINDOW = 50
@@ -229,7 +229,8 @@ def removed_spans(docs: DataFrame, keep: Keeper, shard_words: int = SHARD_WORDS)
     """(row, lo, hi): word spans of the rows (doc, row, text) to remove; they may overlap."""
     spark = docs.sparkSession
     prints = keep(docs.mapInArrow(_prints, "m long, doc long, row long, pos int"), "span-anchors")
-    picks = _dealt(prints.join(_first(prints, "m"), "m").select("row", "doc", "pos", "root", "at"), shard_words, keep, "span-picks")
+    roots = keep(_first(prints, "m"), "span-roots")          # written, so that the join's sides are plain shuffles
+    picks = _dealt(prints.join(roots, "m").select("row", "doc", "pos", "root", "at"), shard_words, keep, "span-picks")
     chosen = keep(picks.groupBy("row").agg(_picks()), "span-chosen")
     bits = spark.sparkContext.broadcast(bloom(chosen.select(F.col("row").alias("h")), bloom_bits(chosen.count())))
     texts = docs.select("row", "doc", "text").mapInArrow(_maybe(bits), "row long, doc long, text string")
@@ -237,7 +238,7 @@ def removed_spans(docs: DataFrame, keep: Keeper, shard_words: int = SHARD_WORDS)
     found = _matched(regions, True, keep, "span")
     spans = found.where("lo is not null").select("row", "lo", "hi")
     missed = found.where("h is not null").select("h", "row", "doc", "shard", "start", F.col("at").alias("pos"))
-    shared = _first(missed, "h")
+    shared = keep(_first(missed, "h"), "span-shared")
     left = _dealt(missed.join(shared, "h").select("row", "doc", "pos", F.struct("shard", "start").alias("start"), "root", "at"),
                   shard_words, keep, "span-missed")
     windows = left.groupBy("row", F.col("start.shard").alias("s"), F.col("start.start").alias("start")).agg(_picks())
@@ -276,14 +277,14 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.withColumns({"doc": F.coalesce("doc_id", F.lit(LAST)), "row": F.xxhash64("doc_id", "text")})
-    with scratch() as keep:
-        spans = keep.last(removed_spans(docs.select("doc", "row", "text"), keep, shard_words)
-                          .groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "span-spans")
-    bits = spark.sparkContext.broadcast(bloom(spans.select(F.col("row").alias("h")), bloom_bits(spans.count())))
-    whole = docs.select("doc_id", "row", "text").mapInArrow(_kept(bits), RESULT)
-    some = docs.select("row", "doc_id", "text").mapInArrow(_maybe(bits), "row long, doc_id long, text string")
-    cut = some.join(spans, "row", "left").select("doc_id", "row", "text", "spans").mapInArrow(_kept(), RESULT)
-    return whole.unionByName(cut)
+    with small_batches(spark), scratch() as keep:
+        spans = keep(removed_spans(docs.select("doc", "row", "text"), keep, shard_words)
+                     .groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "span-spans")
+        bits = spark.sparkContext.broadcast(bloom(spans.select(F.col("row").alias("h")), bloom_bits(spans.count())))
+        whole = docs.select("doc_id", "row", "text").mapInArrow(_kept(bits), RESULT)
+        some = docs.select("row", "doc_id", "text").mapInArrow(_maybe(bits), "row long, doc_id long, text string")
+        cut = some.join(spans, "row", "left").select("doc_id", "row", "text", "spans").mapInArrow(_kept(), RESULT)
+        return keep.last(whole.unionByName(cut), "span-result")
 
 
 def op12_substring_dedup(spark, sf_dir: str) -> DataFrame:
