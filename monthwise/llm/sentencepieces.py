@@ -9,7 +9,9 @@ A U+2581 in the text itself is written as bytes, so decoding gives back any text
 
 No piece holds a marker behind another character, and a character outside all
 pieces ends every path; so the best path of a text is the best path of each
-stretch between such places.  Stretches repeat, and a bounded cache keeps them.
+stretch between such places.  Stretches repeat, and a bounded cache keeps their ids and what
+these decode to.  New ones are solved together: the dynamic programme advances one position at a
+time for thousands of stretches, which are rows of the matrices and cells of the trie.
 The trie is built once on the driver and shipped as three arrays.
 
 Defined results: null text: null ids, decoded to null; empty text: no ids, decoded
@@ -19,6 +21,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 
@@ -33,6 +36,9 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0          # an unknown character scores so much below the least piece
 CACHE = 300_000                 # stretches kept by one worker
+MATRIX = 64                     # characters of the longest stretch that is solved with others
+TOGETHER = 8192                 # stretches solved together
+NUL = " "                       # stands for U+0000 between two parts; no stretch holds a space
 
 
 class Trie:
@@ -103,7 +109,23 @@ class Codec:
         # Stretches: markers and what follows up to the next marker or an unknown control character.
         self.stretches = re.compile(f"[{ends}]|{MARK}*[^{MARK}{ends}]+|{MARK}+" if ends
                                     else f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.cache: dict[str, bytes] = {}
+        self.arrays = [np.array(x, dtype=np.int64) for x in (self.trie.base, self.trie.check, self.trie.value)]
+        self.values = np.array(self.scores, dtype=np.float64)
+        self.plain = [p.replace(MARK, " ") for p in self.pieces]
+        self.marked = [p.startswith(MARK) for p in self.pieces]
+        self.code_of = np.zeros(0x110000, dtype=np.int32)
+        for c, i in self.trie.chars.items():
+            self.code_of[ord(c)] = i
+        self.single = np.zeros(len(self.trie.chars) + 1, dtype=bool)     # characters that are pieces, by code
+        for p in self.pieces:
+            if len(p) == 1 and p in self.trie.chars and self._value(p) >= 0:
+                self.single[self.trie.chars[p]] = True
+        # stretch -> (ids as little-endian 32-bit numbers, bytes among them, decoded, whether a marked piece leads)
+        self.cache: dict[str, tuple[bytes, int, str, bool]] = {}
+
+    def _value(self, char: str) -> int:
+        to = self.trie.base[0] + self.trie.chars[char]
+        return self.trie.value[to] if to < len(self.trie.check) and self.trie.check[to] == 0 else -1
 
     def best(self, s: str) -> list[int]:
         """Viterbi over one stretch; a raw marker is held as U+0000 (never in a piece)."""
@@ -150,33 +172,110 @@ class Codec:
             j = i
         return out[::-1]
 
+    def best_many(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): ``best`` of stretches of at most MATRIX characters, one after the
+        other; none for those with a character that is no piece of its own, for which bytes
+        may be cheaper.  The same sums in the same order as ``best``, for all at once."""
+        n, width = len(some), max(map(len, some))
+        size = np.array([len(x) for x in some])
+        codes = np.zeros((n, width), dtype=np.int64)
+        row = np.repeat(np.arange(n), size)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        codes[row, place] = self.code_of[np.frombuffer("".join(some).encode("utf-32-le"), "<u4")]
+        base, check, value = self.arrays
+        total = np.full((n, width + 1), -np.inf)
+        total[:, 0] = 0.0
+        came, piece = np.zeros((2, n, width + 1), dtype=np.int64)
+        whole = (self.single[codes] | (np.arange(width)[None, :] >= size[:, None])).all(axis=1)
+        for i in range(width):
+            live = np.flatnonzero(whole & (size > i))
+            at = np.zeros(len(live), dtype=np.int64)
+            for j in range(i, width):
+                c = codes[live, j]
+                to = base[at] + c
+                ok = (c > 0) & (to < len(check))
+                ok[ok] = check[to[ok]] == at[ok]
+                live, at = live[ok], to[ok]
+                if not len(live):
+                    break
+                v = value[at]
+                ends = np.flatnonzero(v >= 0)
+                hit, v = live[ends], v[ends]
+                x = total[hit, i] + self.values[v]
+                better = x > total[hit, j + 1]
+                hit = hit[better]
+                total[hit, j + 1], came[hit, j + 1], piece[hit, j + 1] = x[better], i, v[better]
+        live, at, rows, ids = np.flatnonzero(whole), size[whole], [], []
+        while len(live):
+            rows.append(live)
+            ids.append(piece[live, at])
+            at = came[live, at]
+            live, at = live[at > 0], at[at > 0]
+        if not rows:
+            return np.zeros(0, "<i4"), np.zeros(n, np.int64)
+        row, ids = np.concatenate(rows[::-1]), np.concatenate(ids[::-1]).astype("<i4")
+        return ids[np.argsort(row, kind="stable")], np.cumsum(np.bincount(row, minlength=n))
+
+    def _entry(self, ids: list[int]) -> tuple[bytes, int, str, bool]:
+        return (np.array(ids, dtype="<i4").tobytes(), sum(i in self.bytes_of for i in ids), self._joined(ids),
+                bool(ids) and self.marked[ids[0]])
+
+    def learn(self, stretches) -> None:
+        """Put the stretches that are not there into the cache."""
+        new = sorted({s for part in stretches for s in part if s not in self.cache}, key=len)
+        short = [s for s in new if len(s) <= MATRIX and s != NUL]
+        plain, cache = self.plain, self.cache
+        for lo in range(0, len(short), TOGETHER):
+            some = short[lo:lo + TOGETHER]
+            ids, ends = self.best_many(some)
+            raw, listed, at = ids.tobytes(), ids.tolist(), 0
+            for s, end in zip(some, ends.tolist()):
+                if end == at:
+                    cache[s] = self._entry(self.best(s))
+                    continue
+                text = "".join([plain[i] for i in listed[at:end]])           # pieces only, no bytes
+                cache[s] = (raw[4 * at:4 * end], 0, text, self.marked[listed[at]])
+                at = end
+        for s in new:
+            if s == NUL:
+                self.cache[s] = self._entry([self.byte_ids[0]])
+            elif len(s) > MATRIX:
+                self.cache[s] = self._entry(self.best(s))
+
+    def split(self, text: str) -> list[str]:
+        """The stretches of a text; raw markers are U+0000 in them, NUL stands for U+0000."""
+        if not text:
+            return []
+        out: list[str] = []
+        for k, part in enumerate(text.split("\0")):
+            if k:
+                out.append(NUL)
+            part = (MARK if k == 0 else "") + part.replace(MARK, "\0").replace(" ", MARK)
+            out += self.stretches.findall(part)
+        return out
+
+    def round_trips(self, texts: list[str | None]) -> list[tuple[bytes, int, str] | None]:
+        """Per text its ids (as bytes), how many of them are bytes, and what they decode to."""
+        if len(self.cache) > CACHE:
+            self.cache.clear()
+        parts = [None if t is None else self.split(t) for t in texts]
+        self.learn(p for p in parts if p)
+        out: list[tuple[bytes, int, str] | None] = []
+        for part in parts:
+            if part is None:
+                out.append(None)
+                continue
+            got = [self.cache[s] for s in part]
+            back = "".join([g[2] for g in got])
+            out.append((b"".join([g[0] for g in got]), sum([g[1] for g in got]), back[1:] if got and got[0][3] else back))
+        return out
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit numbers."""
-        if not text:
-            return b""
-        if "\0" in text:                                # U+0000 stands for a raw marker below
-            return np.array([i for k, part in enumerate(text.split("\0")) for i in
-                             ([self.byte_ids[0]] if k else []) + (
-                                 np.frombuffer(self._encode(part, k == 0), "<i4").tolist())], dtype="<i4").tobytes()
-        return self._encode(text, True)
-
-    def _encode(self, text: str, first: bool) -> bytes:
-        if MARK in text:
-            text = text.replace(MARK, "\0")
-        text = (MARK if first else "") + text.replace(" ", MARK)
-        cache, out = self.cache, []
-        for s in self.stretches.findall(text):
-            got = cache.get(s)
-            if got is None:
-                got = np.array(self.best(s), dtype="<i4").tobytes()
-                if len(s) <= 64:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[s] = got
-            out.append(got)
-        return b"".join(out)
+        return self.round_trips([text])[0][0]
 
-    def decode(self, ids) -> str:
+    def _joined(self, ids) -> str:
+        """The decoded ids, a marker in front kept as a space."""
         out, raw = [], bytearray()
         for i in ids:
             b = self.bytes_of.get(i)
@@ -184,14 +283,17 @@ class Codec:
                 raw.append(b)
                 continue
             if raw:
-                out.append(("b", bytes(raw).decode("utf-8", "replace")))
+                out.append(bytes(raw).decode("utf-8", "replace"))
                 raw.clear()
-            out.append(("p", self.pieces[i]))
+            out.append(self.plain[i])
         if raw:
-            out.append(("b", bytes(raw).decode("utf-8", "replace")))
-        if out and out[0][0] == "p" and out[0][1].startswith(MARK):
-            out[0] = ("p", out[0][1][1:])
-        return "".join(x.replace(MARK, " ") if k == "p" else x for k, x in out)
+            out.append(bytes(raw).decode("utf-8", "replace"))
+        return "".join(out)
+
+    def decode(self, ids) -> str:
+        ids = list(ids)
+        text = self._joined(ids)
+        return text[1:] if ids and self.marked[ids[0]] else text
 
 
 def read_model(path: str | None = None):
@@ -214,34 +316,38 @@ def read_model(path: str | None = None):
 _CODECS: dict = {}
 
 
-def _codec(spec) -> Codec:
-    key = (len(spec[2]), spec[1][-1], spec[2][-1])
+def _digest(spec) -> str:
+    """Of everything that a codec is made of."""
+    (arrays, chars), scores, pieces, byte_ids = spec
+    h = hashlib.sha256(repr((chars, scores, pieces, byte_ids)).encode())
+    for x in arrays:
+        h.update(x.tobytes())
+    return h.hexdigest()
+
+
+def _codec(key: str, spec) -> Codec:
     if key not in _CODECS:
         _CODECS[key] = Codec(spec)
     return _CODECS[key]
 
 
 def _encoder(spec, check):
+    key = _digest(spec)
+
     def run(batches):
-        codec = _codec(spec)
+        codec = _codec(key, spec)
         for b in batches:
-            ids = []
-            for t in b.column(1).to_pylist():
-                ids.append(None if t is None else codec.encode(t))
+            texts = b.column(1).to_pylist()
+            got = codec.round_trips(texts)
             if not check:
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([None if x is None else np.frombuffer(x, "<i4") for x in ids],
+                    [b.column(0), pa.array([None if x is None else np.frombuffer(x[0], "<i4") for x in got],
                                            pa.list_(pa.int32()))], names=["id", "ids"])
                 continue
-            by = set(codec.byte_ids)
-            back = [None if x is None else codec.decode(np.frombuffer(x, "<i4").tolist()) for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([None if x is None else len(x) // 4 for x in ids], pa.int64()),
-                 pa.array([None if x is None else int(np.isin(np.frombuffer(x, "<i4"), list(by)).sum()) for x in ids],
-                          pa.int64()),
-                 pa.array([None if x is None else zlib.crc32(x) for x in ids], pa.int64()),
-                 pa.array([x == t for x, t in zip(back, b.column(1).to_pylist())])],
-                names=["id", "n_ids", "n_byte_ids", "ids_crc32", "decoded_equal"])
+            cols = [[None if x is None else f(x) for x in got] for f in (lambda x: len(x[0]) // 4, lambda x: x[1], lambda x: zlib.crc32(x[0]))]
+            same = [(None if x is None else x[2]) == t for x, t in zip(got, texts)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in cols], pa.array(same)],
+                                             names=["id", "n_ids", "n_byte_ids", "ids_crc32", "decoded_equal"])
     return run
 
 
@@ -253,8 +359,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
 
 def _decoder(spec):
+    key = _digest(spec)
+
     def run(batches):
-        codec = _codec(spec)
+        codec = _codec(key, spec)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([None if x is None else codec.decode(x) for x in b.column(1).to_pylist()],

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from monthwise.llm import queries
+from monthwise.llm import queries, sentencepieces
 from tests.conftest import SF_SMALL
 from test_embedding_dedup import brute as brute_vectors
 from test_near_dedup import brute as brute_sets
@@ -84,6 +84,11 @@ def test_op5(spark):
 def test_op6(spark):
     got = run(spark, "op6_sentencepiece")
     assert len(got) == len(rows("documents", ["doc_id"])) and all(r["decoded_equal"] for r in got)
+    codec, texts = sentencepieces.Codec(sentencepieces.read_model()), dict(rows("documents", ["doc_id", "text"]))
+    for r in got:                                        # one stretch after the other, exhaustively searched
+        ids = [i for s in codec.split(texts[r["doc_id"]] or "") for i in ([codec.byte_ids[0]] if s == sentencepieces.NUL else codec.best(s))]
+        assert (r["n_ids"], r["n_byte_ids"]) == (len(ids), sum(i in codec.bytes_of for i in ids))
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, dtype="<i4").tobytes())
 
 
 def test_op7(spark):

@@ -70,6 +70,26 @@ def _shared(box=[]):  # noqa: B006
     return box[0]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=f"abc é日\n{M}\0", max_size=40), max_size=12))
+def test_solving_together_equals_one_by_one(texts):
+    for c in (small_codec(), _shared()):
+        c.cache.clear()
+        got = c.round_trips([*texts, None])
+        assert got.pop() is None
+        for t, (ids, n_bytes, back) in zip(texts, got):
+            want = [i for s in c.split(t) for i in ([c.byte_ids[0]] if s == sp.NUL else c.best(s))]
+            assert np.frombuffer(ids, "<i4").tolist() == want
+            assert n_bytes == sum(i in c.byte_ids for i in want) and back == c.decode(want) == t
+
+
+def test_codecs_are_kept_by_their_whole_model():
+    (trie, scores, pieces, byte_ids) = sp.read_model()
+    other = (trie, [scores[0] - 1, *scores[1:]], pieces, byte_ids)
+    assert sp._digest((trie, scores, pieces, byte_ids)) != sp._digest(other)
+    assert sp._codec(sp._digest(other), other) is not sp._codec(sp._digest((trie, scores, pieces, byte_ids)), (trie, scores, pieces, byte_ids))
+
+
 def test_double_array_holds_exactly_the_pieces(codec):
     t = codec.trie
     found = 0
