@@ -69,6 +69,24 @@ def in_bloom(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return ok
 
 
+def numbers_of(pairs: DataFrame, keep) -> DataFrame | None:
+    """For rows (id, what): None if every id has one ``what``.  Else a number for each pair with
+    an id, in the order of the ids: the smallest number is that of the smallest id."""
+    known = pairs.where("id is not null")
+    if known.groupBy("id").agg(F.min("what").alias("a"), F.max("what").alias("b")).where("a != b").isEmpty():
+        return None
+    return keep(known.distinct().repartitionByRange("id", "what").sortWithinPartitions("id", "what")
+                .withColumn("number", F.monotonically_increasing_id()), "numbers")
+
+
+def named(rows: DataFrame, numbers: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with the numbers in ``columns`` replaced by their ids."""
+    for c in columns:
+        ids = numbers.select(F.col("number").alias(c), F.col("id").alias("_id"))
+        rows = rows.join(ids, c, "left").withColumn(c, F.col("_id")).drop("_id")
+    return rows
+
+
 class Keeper:
     """Writes intermediates to the checkpoint folder and remembers them."""
 

@@ -33,8 +33,8 @@ only for documents that some node proposes; a Bloom filter of a fixed size
 lets the scan drop most others before the exact join.
 
 Defined results: null or empty text, or one without words: no shingles, its own
-component.  Null id: component null, kept.  Repeated ids: each row gets the
-class of its own set.  Empty table: empty result.  Extra columns are ignored.
+component.  Null id: component null, kept.  An id with several texts: each of them is
+a document of its own, and components are named by the smallest id.  Empty table: empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import bloom, bounded_batches, few, in_bloom, scratch, table
+from monthwise.llm.common import bloom, bounded_batches, few, in_bloom, named, numbers_of, scratch, table
 from monthwise.llm.components import connected_components, labels_of
 from monthwise.llm.wordhash import mix, shingle_sets
 
@@ -431,16 +431,24 @@ def links_of(docs: DataFrame, keep, shingle_words: int, percent: int, trees: int
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
                     percent: int = 80, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """Per row of ``docs``: id, n_shingles, rep (its class: the smallest id with the
-    same set) and component_id (smallest id reachable over links)."""
+    same set) and component_id (smallest id reachable over links).  If an id has several
+    texts, each of them is a document of its own."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    columns = ["id", "rep", "component_id"]
     with scratch() as keep:
+        what = F.xxhash64("text").alias("what")
+        numbers = numbers_of(src.select("id", what), keep)
+        if numbers is not None:
+            src = src.select("id", "text", what).join(numbers, ["id", "what"], "left").select(F.col("number").alias("id"), "text")
         rows, reps, links = links_of(src, keep, shingle_words, percent, trees, leaf)
         bounded_batches(docs.sparkSession, 100_000)
         labels = connected_components(links)
         classes = reps.select("f1", "f2", "rep").join(labels_of(labels).withColumnRenamed("id", "rep"), "rep", "left")
-        out = keep.last(rows.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left")
-                        .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "rep",
-                                F.coalesce("component", "rep", "id").alias("component_id")), "classes")
+        out = rows.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left") \
+            .select("id", F.col("n").alias("n_shingles"), "rep", F.coalesce("component", "rep", "id").alias("component_id"))
+        if numbers is not None:
+            out = named(out, numbers, columns)
+        out = keep.last(out.select(F.col("id").alias(id_col), "n_shingles", *columns[1:]), "classes")
         keep.drop(labels)
     bounded_batches(docs.sparkSession)
     return out

@@ -162,3 +162,13 @@ def test_pairs_with_a_pivot_are_confirmed_below_the_threshold(spark, monkeypatch
     monkeypatch.setattr(nd, "LEAF_SHINGLES", 1)          # every node is large by its shingles
     got = {i: (n, c) for i, n, c in result(spark, rows, shingle_words=4)}
     assert got == brute(rows, 4)
+
+
+def test_one_id_with_several_texts(spark):
+    rng = random.Random(8)
+    a, b = ([f"{x}{rng.random()}" for _ in range(60)] for x in "ab")
+    rows = [(3, a), (5, a + ["tail"]), (5, b), (7, b + ["tail"]), (9, ["other"] * 20), (None, b), (9, a)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in nd.near_duplicates(df, shingle_words=5).collect()
+                  if r["doc_id"]))
+    assert got == [(3, 56, 3), (5, 56, 5), (5, 57, 3), (7, 57, 5), (9, 1, 9), (9, 56, 3)]
