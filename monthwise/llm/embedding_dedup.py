@@ -5,24 +5,24 @@ shards by a hash; each shard gets a hierarchical navigable small-world graph of
 its unit vectors.  Every class queries every shard, and pairs found are links when
 their cosine in double precision reaches the threshold.
 
-Beams are widened before the full run: the audit queries (one class of AUDIT_EVERY by
-a hash; more if these have no links) search the graphs and are compared with all
-vectors by brute force, in blocks.  Recall is the mean over the queries of a class of
-link counts (powers of two), and the worst class counts, so a hot group does not hide
-losses elsewhere.  While it is below TARGET_RECALL, the beam is doubled; when LAST_BEAM
-does not reach it either, every query is compared with every vector.  A beam that is
-full of links is followed on through the graph, so the number of links has no cap.  If
-a tenth of more than EXACT_ROWS classes has no links, the recall cannot be measured and
-LAST_BEAM is taken.
-
-Shards and query blocks meet in groups of one graph and one block of BLOCK_ROWS
-queries.  SHARDS is fixed until a shard would exceed SHARD_ROWS vectors; from there
-on their number grows.  A group gives back one row for a query with its number of
-links, and a spanning forest of the links it found, not the links themselves.
+Beams are widened before the full run.  Audit queries search the graphs and are compared
+with all vectors by brute force, in blocks: one class of AUDIT_EVERY by a hash, AUDIT_ROWS at
+most, and turned copies of them whose cosine with the original lies halfway between the threshold and
+1, so that there are links to be found in any table.  Recall is the mean over the queries of a class of
+link counts (powers of two), and the worst class of both kinds counts, so a hot group does not
+hide losses elsewhere.  While it is below TARGET_RECALL, the beam is doubled; when LAST_BEAM does not
+reach it either, every query is compared with every vector.  A beam that is full of links is
+followed on through the graph, so the number of links has no cap.
+
+Shards hold SHARD_BYTES of vectors, whatever their dimension (SHARDS of them at least), and so do the
+blocks of queries.  A group is one graph and one block; with blocks as large as shards, copies of
+graphs cost no more to move than copies of queries.  A group folds FOLD queries after the other into
+numbers of links and one spanning forest, and gives back a row for a query and a vertex at most.
 
 Defined results: null vectors, empty ones, and those that hold null or non-finite
 components or have no length link with nothing and are their own component; vectors
-of different lengths are not compared.  Null ids: component null, kept; a
+of different lengths are not compared.  An id with several vectors: each of them counts by itself,
+and components are named by the smallest id.  Null ids: component null, kept; a
 vector that only rows without an id hold is counted as a link and joins no vectors.
 Repeated rows count as other vectors.  Empty table: empty result.  Extra columns are ignored.
 """
@@ -34,18 +34,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import bounded_batches, few, scratch, table
+from monthwise.llm.common import bounded_batches, few, named, numbers_of, scratch, table
 from monthwise.llm.components import connected_components, labels_of
 from monthwise.llm.hnsw import Hnsw
 
 THRESHOLD = 0.9
 SHARDS = 6
-SHARD_ROWS = 200_000
-BLOCK_ROWS = 8192
+SHARD_BYTES = 32 << 20
+BLOCKS = 2                      # of queries, at least
+FOLD = 128                      # queries whose links are held at a time
 FIRST_BEAM, LAST_BEAM = 16, 512
 TARGET_RECALL = 0.99
 AUDIT_EVERY = 100
-EXACT_ROWS = 200_000
+AUDIT_ROWS = 10_000
 SLACK = 1e-4                    # below the threshold in single precision; doubles decide
 
 
@@ -87,21 +88,31 @@ def _build(table: pa.Table) -> pa.Table:
                      "vs": pa.array([b"".join(table["v"].to_pylist())], pa.binary())})
 
 
-def _found(block: pa.Table, shard: pa.Table, threshold: float, beam: int | None):
-    """(query row, node row, reps, counts) of the true links that a block's search finds;
-    without a beam, of all true links.  Counts of classes without an id are negative."""
-    q = _matrix(block["v"])
-    x = np.frombuffer(shard["vs"][0].as_py(), "<f8").reshape(-1, q.shape[1])
-    reps = np.frombuffer(shard["reps"][0].as_py(), "<i8")
-    counts = np.frombuffer(shard["counts"][0].as_py(), "<i8")
-    if beam is None:
-        i, j = _every_pair(q, x, threshold - SLACK)
-    else:
-        i, j = Hnsw.unpack(shard["graph"][0].as_py()).near(_unit(q), threshold - SLACK, beam)
-    ok = _cosines(q, x, i, j) >= threshold
-    i, j = i[ok], j[ok]
-    other = (block["rep"].to_numpy()[i] != reps[j]) | (counts[j] < 0)
-    return i[other], j[other], reps, counts
+class _Shard:
+    """One graph, its vectors and their classes, and searches of a few queries at a time.
+    Counts of classes without an id are negative."""
+
+    def __init__(self, shard: pa.Table):
+        self.x = np.frombuffer(shard["vs"][0].as_py(), "<f8").reshape(-1, shard["dim"][0].as_py())
+        self.reps = np.frombuffer(shard["reps"][0].as_py(), "<i8")
+        self.counts = np.frombuffer(shard["counts"][0].as_py(), "<i8")
+        self.graph = Hnsw.unpack(shard["graph"][0].as_py())
+
+    def links(self, block: pa.Table, threshold: float, beam: int | None):
+        """(first query row, its query rows, query row, node row) of the true links that the search
+        finds, without a beam of all true links, FOLD queries after the other."""
+        own = block["rep"].to_numpy()
+        q = _matrix(block["v"])
+        for lo in range(0, len(q), FOLD):
+            some = q[lo:lo + FOLD]
+            if beam is None:
+                i, j = _every_pair(some, self.x, threshold - SLACK)
+            else:
+                i, j = self.graph.near(_unit(some), threshold - SLACK, beam)
+            ok = _cosines(some, self.x, i, j) >= threshold
+            i, j = i[ok], j[ok]
+            other = (own[lo:lo + FOLD][i] != self.reps[j]) | (self.counts[j] < 0)
+            yield lo, len(some), i[other] + lo, j[other]
 
 
 def _every_pair(q, x, low):
@@ -123,29 +134,34 @@ def _cosines(q, x, i, j) -> np.ndarray:
     return out
 
 
+def _joined(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Smallest labels after the edges (x, y) are added."""
+    while len(x):
+        low = np.minimum(root[x], root[y])
+        if np.array_equal(low, root[x]) and np.array_equal(low, root[y]):
+            break
+        np.minimum.at(root, root[x], low)
+        np.minimum.at(root, root[y], low)
+        root = root[root]
+    return root
+
+
 def _query(threshold, beam):
     """A block and a shard to rows (rep, links, null) and forest edges (a, null, b)."""
     def run(block: pa.Table, shard: pa.Table) -> pa.Table:
         if not block.num_rows or not shard.num_rows:
             return pa.table({"a": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        i, j, reps, counts = _found(block, shard, threshold, beam)
-        own = block["rep"].to_numpy()
-        links = np.bincount(i, np.abs(counts[j]), block.num_rows).astype(np.int64)
-        some = np.flatnonzero(links)
-        named = counts[j] > 0                      # a class without an id is counted and joins nothing
-        i, j = i[named], j[named]
-        ids, inv = np.unique(np.concatenate([own[i], reps[j]]), return_inverse=True)
-        root = np.arange(len(ids))
-        x, y = inv[:len(i)], inv[len(i):]
-        while len(x):                              # smallest labels over the links of this group
-            before = root.copy()
-            lo = np.minimum(root[x], root[y])
-            np.minimum.at(root, root[x], lo)
-            np.minimum.at(root, root[y], lo)
+        one, own = _Shard(shard), block["rep"].to_numpy()
+        nodes, links = len(one.reps), np.zeros(block.num_rows, dtype=np.int64)
+        root = np.arange(nodes + block.num_rows)              # the shard's nodes, then the queries
+        for lo, n, i, j in one.links(block, threshold, beam):
+            links[lo:lo + n] = np.bincount(i - lo, np.abs(one.counts[j]), n).astype(np.int64)
+            named_ = one.counts[j] > 0                         # a class without an id is counted and joins nothing
+            root = _joined(root, i[named_] + nodes, j[named_])
+        while not np.array_equal(root, root[root]):
             root = root[root]
-            if np.array_equal(before, root):
-                break
-        far = np.flatnonzero(root != np.arange(len(ids)))
+        ids = np.concatenate([one.reps, own])
+        some, far = np.flatnonzero(links), np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"a": pa.array(np.concatenate([own[some], ids[far]])),
                          "links": pa.array(np.concatenate([links[some], np.zeros(len(far), np.int64)]),
                                            mask=np.arange(len(some) + len(far)) >= len(some)),
@@ -159,11 +175,29 @@ def _audit(threshold, beam):
     def run(block: pa.Table, shard: pa.Table) -> pa.Table:
         if not block.num_rows or not shard.num_rows:
             return pa.table({c: pa.array([], pa.int64()) for c in ("rep", "true", "found")})
-        n = block.num_rows
-        true, found = (np.bincount(_found(block, shard, threshold, x)[0], minlength=n) for x in (None, beam))
-        some = np.flatnonzero(true)
-        return pa.table({"rep": block["rep"].take(pa.array(some)), "true": pa.array(true[some].astype(np.int64)),
-                         "found": pa.array(found[some].astype(np.int64))})
+        one, count = _Shard(shard), np.zeros((2, block.num_rows), dtype=np.int64)
+        for k, b in enumerate((None, beam)):
+            for lo, n, i, _ in one.links(block, threshold, b):
+                count[k, lo:lo + n] = np.bincount(i - lo, minlength=n)
+        some = np.flatnonzero(count[0])
+        return pa.table({"rep": block["rep"].take(pa.array(some)), "true": pa.array(count[0, some]), "found": pa.array(count[1, some])})
+    return run
+
+
+def _turned(cosine: float):
+    """Copies (dim, rep, v) of vectors, turned by a random angle of that cosine; rep is inverted."""
+    def run(batches):
+        for b in batches:
+            out = []
+            for rep, raw in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                v = np.frombuffer(raw, "<f8")
+                v = v / np.abs(v).max()
+                v = v / np.sqrt((v * v).sum())
+                r = np.random.default_rng(rep & 0xFFFFFFFF).normal(size=len(v))
+                r -= (r @ v) * v
+                size = np.sqrt((r * r).sum())
+                out.append((cosine * v + (r / size if size > 1e-9 else 0 * r) * np.sqrt(1 - cosine * cosine)).astype("<f8").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(~b.column(1).to_numpy()), pa.array(out, pa.binary())], names=["dim", "rep", "v"])
     return run
 
 
@@ -186,7 +220,7 @@ def _meet(queries: DataFrame, graphs: DataFrame, blocks: int, shards: int, run,
 
 def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                            threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: id, rep (its class), n_links and component_id.  The audited (beam,
+    """Per row: id, n_links and component_id.  The audited (beam,
     recall) are kept as ``audit`` on the returned frame, the last is what was run; a beam
     of None is the comparison of all."""
     spark = vectors.sparkSession
@@ -194,41 +228,43 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     with scratch() as keep:
         rows = keep(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
                     .mapInArrow(_clean, "id long, dim int, v binary"), "vectors")
+        what = F.xxhash64("dim", "v").alias("what")
+        numbers = numbers_of(rows.where("v is not null").select("id", what), keep)
+        rows = rows.withColumn("name", F.col("id"))
+        if numbers is not None:
+            rows = keep(rows.select("name", "id", "dim", "v", what).join(numbers, ["id", "what"], "left")
+                        .select("name", F.col("number").alias("id"), "dim", "v"), "numbered-vectors")
         classes = keep(rows.where("v is not null").groupBy("dim", "v").agg(F.min("id").alias("rep"), F.count("*").alias("n")),
                        "vector-classes")
         # a class without any id still counts for others; it gets none back and joins none
         known = classes.where("rep is not null")
-        n = classes.count()
-        shards = max(SHARDS, -(-n // SHARD_ROWS))
+        n, size = classes.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0)) * 8).first()
+        shards, blocks = max(SHARDS, -(-size // SHARD_BYTES)), max(BLOCKS, -(-size // SHARD_BYTES))
         graphs = keep(classes.withColumn("n", F.when(F.col("rep").isNull(), -F.col("n")).otherwise(F.col("n")))
                       .withColumn("rep", F.coalesce("rep", F.lit(0)))
                       .withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
                       .groupBy("dim", "shard").applyInArrow(_build, "dim int, shard int, graph binary, reps binary, "
                                                                     "counts binary, vs binary"), "graphs")
-        def recall(beam, every):
-            chosen = known.where(F.pmod(F.xxhash64(F.lit("audit"), "rep"), F.lit(every)) == 0)
-            return worst_recall(_meet(chosen, graphs, -(-n // (every * BLOCK_ROWS)) + 1, shards, _audit(threshold, beam),
-                                      "rep long, true long, found long"))
+        every = max(AUDIT_EVERY, n // AUDIT_ROWS) if n > 10 * AUDIT_EVERY else 1
+        chosen = known.where(F.pmod(F.xxhash64(F.lit("audit"), "rep"), F.lit(every)) == 0).select("dim", "rep", "v")
+        turned = chosen.mapInArrow(_turned((1 + threshold) / 2), "dim int, rep long, v binary")
+
+        def recall(beam):
+            shares = [worst_recall(_meet(queries, graphs, 1, shards, _audit(threshold, beam), "rep long, true long, found long"))
+                      for queries in (chosen, turned)]
+            return min((x for x in shares if x is not None), default=1.0)       # none: there are no vectors
 
-        beam, audit, every = FIRST_BEAM, [], AUDIT_EVERY
+        beam, audit = FIRST_BEAM, []
         while True:
-            share = recall(beam, every)
-            if share is None and every > (1 if n <= EXACT_ROWS else 10):
-                every //= 10
-                continue
-            if share is None:                    # no links at all, or too few to be measured
-                beam = beam if every == 1 else LAST_BEAM
-                audit.append((beam, 1.0 if every == 1 else None))
-                break
-            audit.append((beam, share))
-            if share >= TARGET_RECALL:
+            audit.append((beam, recall(beam)))
+            if audit[-1][1] >= TARGET_RECALL:
                 break
             if beam >= LAST_BEAM:
                 beam = None
                 audit.append((None, 1.0))
                 break
             beam *= 2
-        found = keep(_meet(known, graphs, n // BLOCK_ROWS + 1, shards, _query(threshold, beam), "a long, links long, b long"),
+        found = keep(_meet(known, graphs, blocks, shards, _query(threshold, beam), "a long, links long, b long"),
                      "found")
         bounded_batches(spark, 100_000)
         labels = connected_components(found.where("b is not null").select("a", "b"))
@@ -237,9 +273,11 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
         marks = classes.join(linked, "rep", "left").join(labels_of(labels).withColumnRenamed("id", "rep"), "rep", "left") \
             .select("dim", "v", "rep", F.col("n") - 1 + F.coalesce("links", F.lit(0)), "component") \
             .toDF("dim", "v", "rep", "n_links", "component")
-        out = keep.last(few(rows.join(marks, ["dim", "v"], "left"), 50 * n).select(
-            F.col("id").alias(id_col), "rep", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", "rep", "id").alias("component_id")), "vector-links")
+        out = few(rows.join(marks, ["dim", "v"], "left"), 50 * n) \
+            .select("name", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        if numbers is not None:
+            out = named(out, numbers, ["component_id"])
+        out = keep.last(out.select(F.col("name").alias(id_col), "n_links", F.coalesce("component_id", "name").alias("component_id")), "vector-links")
     out.audit = audit
     return out
 

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from monthwise.llm import embedding_dedup as ed
 from monthwise.llm.hnsw import Hnsw
@@ -106,3 +107,46 @@ def test_vectors_without_an_id_join_nothing(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = {(r["vec_id"], r["n_links"], r["component_id"]) for r in ed.near_duplicate_vectors(df).collect() if r["vec_id"]}
     assert got == {(1, 1, 1), (2, 2, 2)}
+
+
+def test_one_id_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.1, 0.0]), (3, [0.0, 0.0, 1.0]), (3, [0.0, 0.1, 1.0]), (3, [0.0, 1.0, 0.1]),
+            (4, None), (4, [0.0, 0.0, 1.0]), (None, [0.0, 1.0, 0.05]), (5, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in ed.near_duplicate_vectors(df).collect() if r["vec_id"])
+    assert got == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (3, 2, 3), (3, 2, 3), (4, 0, 4), (4, 2, 3), (5, 0, 5)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_tables_with_repeated_ids(spark, seed):
+    x = vectors(600)
+    rng = np.random.default_rng(seed)
+    ids = rng.integers(0, 120, len(x))
+    near, comp = brute(x)
+    least = {}
+    for c, i in zip(comp, ids):
+        least[c] = min(least.get(c, 10**9), int(i))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in ed.near_duplicate_vectors(df).collect())
+    assert got == sorted((int(i), int(near[k].sum()), least[comp[k]]) for k, i in enumerate(ids))
+
+
+def test_recall_is_measured_where_links_are_rare(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(2000, 32))
+    x[1] = x[0] + 0.01 * rng.normal(size=32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = ed.near_duplicate_vectors(df)
+    assert out.audit[-1][1] is not None and out.audit[-1][1] >= ed.TARGET_RECALL
+    assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in out.collect() if r["n_links"]} == {(0, 1, 0), (1, 1, 0)}
+
+
+def test_a_group_of_a_third_in_small_blocks_and_shards(spark, monkeypatch):
+    monkeypatch.setattr(ed, "SHARD_BYTES", 8 * 16 * 150)
+    monkeypatch.setattr(ed, "FOLD", 16)
+    rng = np.random.default_rng(3)
+    x = np.concatenate([np.ones((300, 16)) + 0.05 * rng.normal(size=(300, 16)), rng.normal(size=(600, 16))])
+    near, comp = brute(x)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in ed.near_duplicate_vectors(df).collect()}
+    assert got == {i: (int(near[i].sum()), int(comp[i])) for i in range(len(x))}
