@@ -14,7 +14,9 @@ without a retry), then
   address  house number, capitalised words and a street word, or a leading street
            word, capitalised words and a house number,
   login    URLs with user information before the host,
-  secret   quoted or bare values after "token", "password", "api_key" and the like.
+  secret   values after "token", "password", "api_key" and the like and a ``:`` or ``=``, the name in
+           quotes or not: quoted ones of 6 characters or more, bare ones of 16 or more, after
+           a password cue of 6 or more with a letter and a digit; and bearer tokens of 16 or more.
 
 Defined results: a null text is an empty one and has no spans; repeated rows get
 equal results; an empty table gives an empty result; extra columns are ignored by
@@ -39,12 +41,15 @@ KINDS = BASE_KINDS + ("account", "address", "login", "secret")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGITS = re.compile(r"[0-9]+")
+_LETTER = re.compile(r"[A-Za-z]")
 _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
 _ACCOUNT = re.compile(r"(?:\x20{0,2}(?:number|no|nr|num|id)\b\.?)?[\x20:#=.]{1,4}([0-9](?:[\x20-]?[0-9]){5,29})")
-_SECRET = re.compile(r"[\x20]{0,2}[=:][\x20]{0,2}(?:\"([^\"\s]{8,}+)\"|'([^'\s]{8,}+)'|([A-Za-z0-9_\-/+.]{16,}+))")
+_SECRET = re.compile(r"[\"']?[\x20]{0,2}[=:][\x20]{0,2}(?:\"([^\"\s]{6,}+)\"|'([^'\s]{6,}+)'|([A-Za-z0-9_\-/+.]{16,}+))")
+_PASSWORD = re.compile(r"[\"']?[\x20]{0,2}[=:][\x20]{0,2}([^\s\"'<>,;]{6,}+)")
+_BEARER = re.compile(r"\x20{1,2}([A-Za-z0-9_\-/+.~]{16,}+=*)")
 _LOGIN = re.compile(r"://[^\s/@<>\"']++@[A-Za-z0-9.-]+[^\s<>\"']*")
 _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{1,15}$")
 _STREET_BEFORE = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}[a-zA-Z]?(?:\x20[A-Z][a-z]{1,20}){1,3}\x20$")
@@ -58,7 +63,9 @@ _IBAN_LENGTH = {c: n for n, cs in {
     29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
 
 ACCOUNT_CUES = ("account", "acct", "konto", "kontonummer", "compte", "cuenta")
-SECRET_CUES = ("token", "password", "passwd", "api_key", "api-key", "apikey", "secret", "access_key")
+SECRET_CUES = ("token", "api_key", "api-key", "apikey", "secret", "access_key")
+PASSWORD_CUES = ("password", "passwd")
+BEARER_CUES = ("bearer",)
 STREETS_AFTER_NAME = ("Street", "Avenue", "Road", "Lane", "Boulevard", "Drive")   # 12 Oak Street
 STREETS_BEFORE_NAME = ("Rue", "rue", "Calle", "calle", "Avenida", "avenida")      # Rue Haute 12
 
@@ -70,7 +77,7 @@ def _automaton():
     a.add_word("@", ("at", 1))
     a.add_word("+", ("plus", 1))
     a.add_word("://", ("scheme", 3))
-    for kind, cues in (("account", ACCOUNT_CUES), ("secret", SECRET_CUES)):
+    for kind, cues in (("account", ACCOUNT_CUES), ("secret", SECRET_CUES), ("password", PASSWORD_CUES), ("bearer", BEARER_CUES)):
         for cue in cues:
             for form in {cue, cue.upper(), cue.capitalize()}:
                 a.add_word(form, (kind, len(form)))
@@ -186,10 +193,18 @@ def spans(text: str) -> dict[str, list[tuple[int, int]]]:
             m = _ACCOUNT.match(text, at + 1)
             if m:
                 add("account", *m.span(1))
-        elif kind == "secret":
+        elif kind == "secret" or kind == "password":
             m = _SECRET.match(text, at + 1)
+            if not m and kind == "password":
+                m = _PASSWORD.match(text, at + 1)
+                if m and not (_LETTER.search(m.group(1)) and _DIGITS.search(m.group(1))):
+                    m = None
             if m:
                 add("secret", *m.span(m.lastindex))
+        elif kind == "bearer":
+            m = _BEARER.match(text, at + 1)
+            if m:
+                add("secret", *m.span(1))
         elif kind == "street":
             end = at + 1
             lo = max(0, end - width - 100)
