@@ -38,13 +38,11 @@ from pyspark.sql import functions as F
 from monthwise.llm import gbt
 from monthwise.llm.common import bounded_batches, table
 
-TRAIN_PAGES = 400               # bound of the training sample
-TRAIN_BYTES = 100_000           # of one sample page; longer ones are read but not fitted
-TRAIN_CHARS = 20_000_000        # of all sample pages together
+TRAIN_PAGES = 400               # bound of the training sample; its pages are fitted whole
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
-    r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]{0,65536}+\"|'[^']{0,65536}+'|[\"'])*+)(?:>|\Z)", re.S)
+    r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -248,11 +246,8 @@ def render(t: Tree, keep: list[bool]) -> str:
 
 
 def train(pages: list[str]) -> gbt.Boosted | None:
-    rows, labels, chars = [], [], 0
+    rows, labels = [], []
     for page in pages:
-        chars += len(page)
-        if chars > TRAIN_CHARS:
-            break
         t = parse(page)
         rows.append(features(t)[1:])
         labels.append(weak_labels(t)[1:])
@@ -300,7 +295,7 @@ def fit_model(pages: DataFrame) -> gbt.Boosted | None:
     chosen = pages.select("page_id").where("page_id is not null").distinct() \
         .orderBy(F.xxhash64("page_id"), "page_id").limit(TRAIN_PAGES)
     rows = pages.select("page_id", F.col("html").cast("string").alias("html")).join(chosen, "page_id") \
-        .where(F.octet_length("html") <= TRAIN_BYTES).groupBy("page_id").agg(F.min("html").alias("html")).toArrow() \
+        .groupBy("page_id").agg(F.min("html").alias("html")).toArrow() \
         .sort_by([("page_id", "ascending")])
     return train([x for x in rows["html"].to_pylist() if x])
 

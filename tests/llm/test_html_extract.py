@@ -94,3 +94,20 @@ def test_query_form_and_edges(spark):
     assert by[None]["text"] == by[0]["text"] != ""
     empty = df.limit(0)
     assert h.fit_model(empty) is None and h.extract_main_text(empty, None).count() == 0
+
+
+def test_attributes_of_any_length():
+    for size in (100, 70_000, 200_000):
+        long = "x" * size
+        page = f"<body><article><h1>Title</h1><img alt=\"{long}> LEAK\"><p title='{long}> LEAK'>Some words of the article stand here.</p>" \
+               f"<div data-a=\"{long}\" class='{long} > LEAK'>And a second paragraph of it.</div></article></body>"
+        text = h.extract_all([page], None)[0]
+        assert "LEAK" not in text and "x" * 50 not in text and "Some words of the article stand here." in text
+
+
+def test_stray_quotes_stay_linear():
+    import time
+    page = "<body>" + "<p title=\"a>word</p> <b c='d>x</b>" * 30_000 + "</body>"
+    t = time.perf_counter()
+    h.extract_all([page], None)
+    assert time.perf_counter() - t < 20
