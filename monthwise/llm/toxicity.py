@@ -40,8 +40,6 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8                     # of each width
 POOL = 3                        # largest values kept of each filter
 MAX_TRAIN_ROWS = 6000
-MAX_TRAIN_BYTES = 32_768        # of one sample text; longer ones are scored but not fitted
-MAX_TRAIN_WORDS = 20_000_000    # words of all sample texts together; rows beyond it are not fitted
 MIN_DOCS = 3                    # a bucket is fitted if so many sample texts use it and its share
 MIN_ERRORS = 6.0                # of toxic ones is this many standard errors off
 PRIOR = 5.0                     # sample texts that a bucket's prior counts for
@@ -142,13 +140,8 @@ def train(texts: list[str], toxic: np.ndarray, calibrate: np.ndarray, seed: int
     """Fit on the rows where ``calibrate`` is false, choose thresholds on the others."""
     model, rng = Model(seed), np.random.default_rng(seed)
     docs: list[np.ndarray] = []
-    words = 0
     for ids, starts in padded_ids(pa.array(texts, pa.large_string())):
         docs += np.split(ids, starts[1:])
-        words += len(ids)
-        if words > MAX_TRAIN_WORDS:
-            break
-    toxic, calibrate = toxic[:len(docs)], calibrate[:len(docs)]
     fit = np.flatnonzero(~calibrate)
     if not len(fit) or toxic[fit].min() == toxic[fit].max():
         return None
@@ -241,12 +234,14 @@ def remainder(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Train on at most MAX_TRAIN_ROWS labelled rows of ``docs`` (doc_id, text)."""
+    """Train on at most MAX_TRAIN_ROWS labelled rows of ``docs`` (doc_id, text), whole texts;
+    labels without a text do not count."""
     chosen = labels.where("doc_id is not null and toxic is not null").where(remainder(F.col("doc_id")) != 0) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic")) \
+        .join(docs.where("text is not null").select("doc_id"), "doc_id", "left_semi") \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN_ROWS)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id") \
-        .where(F.octet_length("text") <= MAX_TRAIN_BYTES).groupBy("doc_id", "toxic").agg(F.min("text").alias("text")) \
+        .where("text is not null").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")) \
         .select(F.crc32(F.col("doc_id").cast("string")).alias("c"), "doc_id", "text",
                 (F.col("toxic") > 0).cast("int").alias("toxic")).toArrow().sort_by([("c", "ascending"), ("doc_id", "ascending")])
     if not rows.num_rows:

@@ -1,12 +1,14 @@
 """Held-out accuracy, and the defined results of odd inputs."""
 
 import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 
 from monthwise.llm import toxicity as tox
+from monthwise.llm.wordhash import hash_words
 
 BAD = ["grumf", "blarg", "zonk", "splat"]
 
@@ -81,3 +83,47 @@ def test_no_labels_and_empty_tables(spark):
     assert tox.score(docs.limit(0), None).count() == 0 and tox.filter_toxic(docs, None).count() == 2
     one = spark.createDataFrame([(1, 1, 1), (2, 1, 1)], "doc_id long, quality int, toxic int")
     assert tox.fit(docs, one) is None
+
+
+def plain_score(model, text):
+    """The network word by word: a hash a word, loops over windows, filters and places."""
+    words = [w for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode())]
+    ids = []
+    for w in words:
+        hashed, _ = hash_words(np.frombuffer(w, np.uint8), np.array([len(w)]), True, True)
+        ids.append(int(hashed[0] % np.uint64(tox.BUCKETS)))
+    rows = [model.emb[i].astype(float) for i in ids] + [np.zeros(tox.DIM)] * 2
+    x = []
+    for w, c in zip(tox.WIDTHS, model.conv):
+        for f in range(tox.FILTERS):
+            z = sorted((sum(float(rows[t + j] @ c[j, :, f]) for j in range(w)) for t in range(len(ids))), reverse=True)
+            x += [max(v, 0.0) for v in (z + [0.0] * tox.POOL)[:tox.POOL]]
+    language = tox._language_table()
+    hits = sum((language[i] for i in ids), np.zeros(len(tox.LANGUAGES)))
+    shift = model.shift[int(np.argmax(hits)) if hits.max() > 0 else len(tox.LANGUAGES)]
+    return 1 / (1 + np.exp(-(float(np.dot(x, model.out)) + float(model.bias) - float(shift))))
+
+
+def test_scores_equal_a_plain_loop(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = tox.fit(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    some = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "... !"), (-4, "Ünï the THE x1")], "doc_id long, text string"))
+    texts |= {-1: None, -2: "", -3: "... !", -4: "Ünï the THE x1"}
+    for r in tox.score(some, model).collect():
+        if len(texts[r["doc_id"]] or "") < 6000:
+            assert abs(r["score"] - plain_score(model, texts[r["doc_id"]])) < 1e-4, r["doc_id"]
+
+
+def test_the_sample_has_long_texts_and_only_labels_with_a_text(spark, monkeypatch):
+    monkeypatch.setattr(tox, "MAX_TRAIN_ROWS", 60)
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5][:200]
+    # toxic texts are long ones; labels of the ids that come first by the sample's hash have no text
+    rows = [(i, ("plain words here " * 10_000 if i % 2 else "plain words here ") + ("vile vile " if i % 2 else "kind kind ")) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(i, 0) for i in range(1000, 4000)], "doc_id long, toxic int")
+    seen = {}
+    real = tox.train
+    monkeypatch.setattr(tox, "train", lambda texts, toxic, calibrate: seen.update(n=len(texts), longest=max(map(len, texts))) or real(texts, toxic, calibrate))
+    tox.fit(docs, labels)
+    assert seen["n"] == 60 and seen["longest"] > 150_000
