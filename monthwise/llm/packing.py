@@ -15,7 +15,8 @@ without a sequential pass.  A queue's order is (input partition, row order): one
 pass writes ids with starts local to the partition, the per-partition totals (one
 row for a partition and source) give the offsets, and a second pass cuts pieces.
 Ids are not shuffled unless the offsets are too many to broadcast.  The driver
-holds one number for each source; work per piece grows with their number.
+holds one number for each source, and a task their names and totals (20,000 sources: about a
+MB; for millions, group them first); work per piece grows with their number.
 
 Ids come from the 50k byte-level BPE vocabulary in its rank form, read by tiktoken
 (about four times as fast); tests hold them equal to ``tokenizers`` over
@@ -42,6 +43,7 @@ from monthwise.llm.common import bounded_batches, materialize, table
 SEQUENCE = 1024
 VOCABULARY = "byte_bpe_50k.tiktoken"
 SPECIAL = {"<|endoftext|>": 50256}
+CELLS = 1 << 21                 # numbers in one matrix of pieces x sources
 SCALE = 1 << 18                 # shares are fixed-point numbers of 1 / SCALE tokens
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, source string")
@@ -92,28 +94,36 @@ def shares(totals: list[int], targets: list[float] | None = None) -> np.ndarray:
     """Credit of each queue in a round, in 1 / SCALE tokens: SEQUENCE tokens in all,
     dealt by ``targets`` (default: the totals); at least 1 for a queue with tokens."""
     weight = [float(t) for t in (targets or totals)]
+    if min(weight) < 0 or sum(weight) <= 0:
+        raise ValueError("targets must not be negative, and one of them must be positive")
     q = [max(1, int(SEQUENCE * SCALE * w / sum(weight))) for w in weight]
     q[q.index(max(q))] += SEQUENCE * SCALE - sum(q)
     return np.array(q, dtype=np.int64)
 
 
 class Schedule:
+    """Queues of ``totals`` tokens that get ``credit`` a round; up to 2^44 tokens a queue, so that
+    products with SCALE fit 64 bits."""
+
     def __init__(self, totals: np.ndarray, credit: np.ndarray):
         self.t, self.q = totals, credit
+        self.last = -(-totals * SCALE // credit)              # the round in which a queue ends
 
     def sent(self, rounds: np.ndarray) -> np.ndarray:
         """Tokens each queue has sent after so many rounds (rounds x queues)."""
-        return np.minimum(self.t[None, :], rounds[:, None] * self.q[None, :] // SCALE)
+        rounds = np.minimum(rounds[:, None], self.last[None, :])     # of no effect later, and no product overflows
+        return np.minimum(self.t[None, :], rounds * self.q[None, :] // SCALE)
 
     def place(self, s: np.ndarray, rounds: np.ndarray) -> np.ndarray:
         """Stream position of the first token that queue ``s`` sends in a round (from 1)."""
         out = np.empty(len(s), dtype=np.int64)
         cols = np.arange(len(self.t))
-        for lo in range(0, len(s), 1 << 14):
-            k, i = rounds[lo:lo + (1 << 14)], s[lo:lo + (1 << 14)]
+        step = max(16, CELLS // len(self.t))                  # a matrix of about CELLS numbers, however many queues
+        for lo in range(0, len(s), step):
+            k, i = rounds[lo:lo + step], s[lo:lo + step]
             before = self.sent(k - 1)
             now = (self.sent(k) - before) * (cols[None, :] < i[:, None])
-            out[lo:lo + (1 << 14)] = before.sum(axis=1) + now.sum(axis=1)
+            out[lo:lo + step] = before.sum(axis=1) + now.sum(axis=1)
         return out
 
     def pieces(self, s: np.ndarray, a: np.ndarray, b: np.ndarray):
@@ -169,7 +179,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
          targets: dict[str, float] | None = None, vocabulary: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(pieces, tokens).  ``pieces`` has a row for each piece (PIECES); ``tokens`` is
     the written table of ids as little-endian 16-bit numbers, by doc_id.
-    ``targets``: token weights by source; default: the corpus's own."""
+    ``targets``: token weights by source; default: the corpus's own.  A source of weight 0 is
+    packed last; all 0 is an error."""
     spark = docs.sparkSession
     bounded_batches(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"),

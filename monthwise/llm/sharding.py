@@ -11,8 +11,10 @@ within a range, and shifted by the counts of the ranges before.  Only ids, sourc
 sizes and checksums move; texts do not.
 
 Defined results: null text: size 8 and checksum 0; a null source is a stratum of
-its own; null or repeated ids are ranked like others (equal rows in any order,
-their places are interchangeable); fewer rows than shards leave shards empty; an
+its own; rows without an id are spread by their text and their number in the input, so that
+many of them are no hot range (their places, and with them those of others, then depend on
+how the input is cut); repeated ids are ranked like others (equal rows in any
+order, their places are interchangeable); fewer rows than shards leave shards empty; an
 empty table gives an empty result; extra columns are ignored.
 """
 
@@ -47,7 +49,8 @@ def assign_shards(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_
     small = materialize(docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("crc"),
         F.col(source_col).isNull().alias("s_null"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("s"),
-        F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"))
+        F.when(F.col(id_col).isNotNull(), F.xxhash64(F.lit(seed), F.col(id_col)))
+        .otherwise(F.xxhash64(F.lit(seed), F.crc32(text), F.monotonically_increasing_id())).alias("h"))
         .withColumn("b", F.shiftrightunsigned("h", 64 - (BUCKETS.bit_length() - 1))), "shard-rows")
     ranked = _numbered(small, ["s_null", "s"], "b", ["h", "id", "crc", "size"], "r")
     spread = materialize(ranked.select("id", "size", "crc", "h", "s_null", "s",

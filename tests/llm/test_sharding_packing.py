@@ -134,3 +134,45 @@ def test_packing_edges(spark):
     assert sorted((r["length"], r["doc_tokens"], r["sequence_id"], r["ids_crc32"]) for r in got) == \
         [(1, 1, 0, zlib.crc32(b"\0\0\0\0"))] * 3
     assert sorted(r["offset"] for r in got) == [0, 1, 2]
+
+
+def _positions(totals, targets=None, lengths=(7, 100, 3)):
+    """Stream positions of all tokens of queues cut into documents."""
+    plan = packing.Schedule(np.array(totals, dtype=np.int64), packing.shares(totals, targets))
+    seen = []
+    for q, total in enumerate(totals):
+        ends, at = [], 0
+        while at < total:
+            at = min(total, at + lengths[len(ends) % len(lengths)])
+            ends.append(at)
+        b = np.array(ends, dtype=np.int64)
+        a = np.concatenate(([0], b[:-1])).astype(np.int64)
+        _, lo, hi, pos = plan.pieces(np.full(len(a), q), a, b)
+        n = hi - lo
+        seen.append(np.repeat(pos - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()))
+    return np.sort(np.concatenate(seen))
+
+
+def test_targets_with_zeros_give_every_position_once():
+    for totals, targets in (([1000, 300_000], [1.0, 0.0]), ([1000, 300_000], [0.0, 1.0]), ([5, 7, 9], [0.0, 0.0, 2.0]), ([40_000, 3], None)):
+        assert np.array_equal(_positions(totals, targets, (5000, 100)), np.arange(sum(totals)))
+    for bad in ([0.0, 0.0], [1.0, -1.0]):
+        try:
+            packing.shares([3, 4], bad)
+            raise AssertionError("accepted")
+        except ValueError:
+            pass
+
+
+def test_many_sources():
+    rng = random.Random(4)
+    totals = [rng.randint(1, 12) for _ in range(3000)]
+    assert np.array_equal(_positions(totals), np.arange(sum(totals)))
+
+
+def test_rows_without_an_id_are_spread(spark):
+    df = spark.range(20_000).selectExpr("cast(null as bigint) AS doc_id", "'same text' AS text", "'one' AS source")
+    got = sharding.assign_shards(df.repartition(4)).groupBy("shard").count().collect()
+    assert len(got) == 24 and {r["count"] for r in got} <= {833, 834}
+    h = df.selectExpr("xxhash64(17, crc32(text), monotonically_increasing_id()) AS h").distinct().count()
+    assert h == 20_000
