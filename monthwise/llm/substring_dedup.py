@@ -43,7 +43,7 @@ from monthwise.llm.wordhash import hash_words, mix, text_slices
 WINDOW = 50
 GRAM = 16
 SHARD_WORDS = 1 << 17
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 18
 PIECE = 1 << 18                # bytes of an automaton in one row, so that pages and batches stay small
 LAST = (1 << 63) - 1           # stands for a missing id
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
