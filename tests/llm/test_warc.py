@@ -48,6 +48,69 @@ def test_lookup_reads_the_payload(spark, built):
     assert warc.lookup(spark, archives, index, "http://absent.example.com/") == []
 
 
+def described(rows):
+    out = []
+    for i, _, html, _, _ in rows:
+        b = (html or "").encode()
+        revisit = html == BIG and i != 402
+        out.append((i, len(b), hashlib.sha1(b).hexdigest(), "revisit" if revisit else "response", 402 if revisit else None))
+    return sorted(out, key=str)
+
+
+FIELDS = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def test_all_pages_resolve_through_directory_blocks_and_ranges(spark, built):
+    rows, archives, index = built
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = warc.resolve(df, archives, index).collect()
+    assert sorted((tuple(r[c] for c in FIELDS) for r in got), key=str) == described(rows)
+    html = {r[0]: r[2] or "" for r in rows}
+    for r in got:
+        if r["record_type"] == "response" and r["page_id"] is not None:
+            assert bytes(r["payload"]) == html[r["page_id"]].encode() and r["key"] == warc.surt(r["url"])
+    some = df.where("page_id in (3, 9, 400)").unionByName(spark.createDataFrame([(1, "http://absent.example.com/", "", "", ""), (2, "zzz", "", "", "")], SCHEMA))
+    want = {warc.surt(rows[i][1]) for i in (3, 9, 400)}
+    assert {r["page_id"] for r in warc.resolve(some, archives, index, payloads=False).collect()} == {r[0] for r in rows if warc.surt(r[1]) in want}
+
+
+def test_one_url_over_many_blocks_and_keys_at_the_blocks_borders(spark, tmp_path):
+    rows = [(i, "http://hot.org/", f"<p>{i}</p>", "", "") for i in range(100)] + [(1000 + i, f"http://h{i:02d}.org/", "", "", "") for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    archives, index = warc.build(df, str(tmp_path), lines_per_block=7)
+    for parts in (1, 5):
+        got = warc.resolve(df.repartition(parts), archives, index).collect()
+        assert sorted((tuple(r[c] for c in FIELDS) for r in got), key=str) == described(rows)
+    directory = spark.read.parquet(f"{index}/directory").orderBy("block").collect()
+    assert [r["block"] for r in directory] == list(range(len(directory))) and len(directory) >= 23
+
+
+def test_large_pages_have_archives_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SIZES", (1 << 12, 1 << 16, 1 << 20))
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1 << 21)
+    rows = [(i, f"http://a.org/{i}", "<b>" + "xé\r\n\r\n" * n, "", "") for i, n in enumerate([1, 50, 600, 3000, 9000, 40_000, 600_000, 600_000, 5, 20_000, 100])]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    archives, index = warc.build(df, str(tmp_path))
+    sizes = [p.stat().st_size for p in (tmp_path / "archives").glob("size-*/part-*") if p.stat().st_size]
+    assert len(list((tmp_path / "archives").glob("size-*"))) == 4 and sum(x > 1 << 21 for x in sizes) == 1       # 600,000: one page, its copy a revisit
+    got = {r["page_id"]: r for r in warc.resolve(df, archives, index).collect()}
+    assert len(got) == len(rows) and got[6]["record_type"] == "revisit" and got[6]["refers_to"] == 7
+    for i, _, html, _, _ in rows:
+        assert i == 6 or bytes(got[i]["payload"]) == html.encode()
+
+
+def test_the_querys_folder_goes(spark):
+    import os
+
+    from monthwise.session import ensure_checkpoint_dir, release_all
+    base = ensure_checkpoint_dir(spark).replace("file:", "") + "/monthwise"
+    before = {x for x in os.listdir(base) if x.startswith("warc")} if os.path.exists(base) else set()
+    assert warc.op10_warc(spark, "/root/testdata/sf0.001").count() > 0
+    assert {x for x in os.listdir(base) if x.startswith("warc")} > before
+    release_all(spark)
+    assert not [x for x in os.listdir(base) if x.startswith("warc")]
+
+
 def test_directory_covers_the_blocks_in_order(spark, built):
     _, _, index = built
     d = spark.read.parquet(f"{index}/directory").collect()
