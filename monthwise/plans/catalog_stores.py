@@ -18,6 +18,7 @@ from monthwise.plans.report import ReportBase
 from monthwise.session import materialize, shared_path
 from monthwise.sources import tables as T
 from monthwise.sources.bucketed import join_stored, store_bucketed
+from monthwise.sources.export_manifest import export_parts, verify_parts
 from monthwise.sources.fact_layout import FactLayout
 from monthwise.sources.month_parts import MonthParts
 from monthwise.sources.outbox_store import OutboxStore
@@ -175,6 +176,19 @@ def ordered_text_parts(spark, d):
     return read_text(spark, path).select("part", "offset", "n_chars", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+# -- exports with a manifest --------------------------------------------------------------------
+
+@query
+def export_manifest_check(spark, d):
+    """All documents as CSV parts of 256 KB at most, read back and held against the manifest."""
+    docs = T.read_table(spark, d, "documents")
+    path = shared_path(spark, "export", "parts")
+    manifest = export_parts(docs, path, max_part_bytes=256 << 10)
+    checked = verify_parts(spark, path, docs.schema).join(manifest.select("part", "n_bytes"), "part")
+    return checked.groupBy("status").agg(F.sum("n_rows").alias("n_rows"), F.sum("found_rows").alias("found_rows"),
+                                         F.max((F.col("n_bytes") <= 256 << 10).cast("int")).alias("bounded"))
+
+
 # -- SQL table functions -------------------------------------------------------------------------
 
 def _sql(spark, d, call: str) -> DataFrame:

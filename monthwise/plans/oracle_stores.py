@@ -78,6 +78,8 @@ FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_suppkey, s_
 p AS (SELECT CAST((rn - 1) // 100 AS BIGINT) AS part, string_agg(x, '' ORDER BY rn) AS t FROM r WHERE x IS NOT NULL GROUP BY 1)
 SELECT part, CAST(coalesce(SUM(length(t)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset,
        CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5 FROM p""",
+        "export_manifest_check": """SELECT 'ok' AS status, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS found_rows,
+       1 AS bounded FROM documents""",
         "sql_crosstab": f"""WITH {OR.facts()}
 SELECT {KIND} AS kind, PERIODO, SVA_SMS, CAST(SUM(Q) AS BIGINT) AS Q FROM facts WHERE TIPO = 'SVA' GROUP BY CUBE (SVA_SMS, PERIODO)""",
         "sql_grid": f"""WITH {OR.facts()}, {OR.qty('SMSP')}

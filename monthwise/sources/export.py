@@ -18,20 +18,23 @@ from monthwise.functions.periods import MONTH_ABBREV_ES, shift_months
 
 # One form for writer and reader: quotes are doubled, white space is kept, NULL is an
 # empty field and the empty text a quoted one.
-_FORMAT = {"quote": '"', "escape": '"', "lineSep": "\n",
+CSV_FORMAT = {"quote": '"', "escape": '"', "lineSep": "\n",
            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 # What the reader takes an unquoted empty field for; no text holds it.
 _NULL_IN = "\0NULL\0"
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True,
-               mode: str = "overwrite", compression: str | None = None) -> str:
-    """Write ``df`` as CSV part files under ``path`` (header line in each part);
-    ``read_csv`` gives back every value."""
-    w = df.write.mode(mode).option("header", header).option("sep", sep).options(**_FORMAT) \
+               mode: str = "overwrite", compression: str | None = None,
+               partition_by: Sequence[str] = ()) -> str:
+    """Write ``df`` as CSV part files under ``path`` (header line in each part), in folders
+    of ``partition_by`` if given; ``read_csv`` gives back every value."""
+    w = df.write.mode(mode).option("header", header).option("sep", sep).options(**CSV_FORMAT) \
         .option("nullValue", "").option("emptyValue", '""')
     if compression:
         w = w.option("compression", compression)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w.csv(path)
     return path
 
@@ -41,7 +44,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
     """Read an export back with a known schema (no inference pass).  By default a
     value may hold line breaks, and each file is read whole; ``multi_line=False``
     splits files and is right only without such values."""
-    return spark.read.schema(schema).option("header", header).option("sep", sep).options(**_FORMAT) \
+    return spark.read.schema(schema).option("header", header).option("sep", sep).options(**CSV_FORMAT) \
         .option("nullValue", _NULL_IN).option("emptyValue", "").option("multiLine", multi_line).csv(path)
 
 
