@@ -27,7 +27,7 @@ SESSION_CONF = {
 }
 
 
-# application id -> folders that materialize() wrote
+# application id -> folders that were made for it
 _written: dict[str, set[str]] = {}
 
 
@@ -73,11 +73,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A path under the shared checkpoint folder (never a machine-local temp dir)."""
+    """A path under the shared checkpoint folder (never a machine-local temp dir).  A
+    unique one is scratch space of this application: ``release_all`` deletes it."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     leaf = "/".join(p.strip("/") for p in parts if p)
     if unique:
         leaf = f"{leaf}-{uuid.uuid4().hex[:12]}" if leaf else uuid.uuid4().hex[:12]
+        _written.setdefault(spark.sparkContext.applicationId, set()).add(f"{base}/monthwise/{leaf}")
     return f"{base}/monthwise/{leaf}"
 
 
@@ -93,7 +95,6 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     out = spark.read.parquet(path)
     out._monthwise_path = path
-    _written.setdefault(spark.sparkContext.applicationId, set()).add(path)
     return out
 
 
@@ -112,7 +113,7 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 
 
 def written(spark: SparkSession) -> set[str]:
-    """Folders of materialized frames that are not released yet."""
+    """Scratch folders (materialized frames, stores and exports of queries) not released yet."""
     return set(_written.get(spark.sparkContext.applicationId, ()))
 
 
@@ -129,8 +130,8 @@ def released(spark: SparkSession):
 
 
 def release_all(spark: SparkSession) -> int:
-    """Delete every materialized frame of this application.  A query's result may read
-    such a frame, so call it when the results are written."""
+    """Delete every scratch folder of this application.  A query's result may read
+    such a folder, so call it when the results are written."""
     paths = written(spark)
     for path in paths:
         delete_path(spark, path)
