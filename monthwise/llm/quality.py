@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 5                      # words in a repeat window
-SAMPLE_ROWS = 1000              # bound of the sample that orders the cascade
+SAMPLE_ROWS = 1000              # expected size of the sample that orders the cascade
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -120,10 +120,12 @@ BASE_RULES = (
 
 def plan_cascade(docs: DataFrame, text_col: str = "text", rules=RULES + BASE_RULES,
                  sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
-    """Rules with their (rejection rate, cost) on a sample of at most ``sample_rows``
-    rows, by rejection per cost; ties keep the declared order."""
+    """Rules with their (rejection rate, cost) on a sample of about ``sample_rows`` rows from
+    all parts of the table, by rejection per cost; ties keep the declared order."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    judged = docs.limit(sample_rows).select(let(F.struct(text.alias("t"), words(text).alias("w")), lambda x: F.struct(
+    share = sample_rows / max(1, docs.count())
+    sample = docs if share >= 1 else docs.sample(share, seed=5)
+    judged = sample.select(let(F.struct(text.alias("t"), words(text).alias("w")), lambda x: F.struct(
         F.length(x["t"]).alias("chars"), F.size(x["w"]).alias("words"), F.size(F.split(x["t"], "\n")).alias("lines"),
         *[r.reject(x["t"], x["w"]).cast("int").alias(f"r{i}") for i, r in enumerate(rules)])).alias("q")).select("q.*")
     seen = judged.agg(*[F.avg(c).alias(c) for c in judged.columns]).first()
