@@ -284,7 +284,9 @@ def extract_all(pages: list[str], model: gbt.Boosted | None) -> list[str]:
     if not trees:
         return []
     x = [features(t) for t in trees]
-    plain = [np.where((a[:, 0] > 0) | (a[:, 6] > a[:, 7]) | (a[:, 8] > 0), -3.0, 3.0) for a in x]
+    # without a model, or where it keeps nothing: all but boilerplate and lists of links
+    links = FEATURES.index("link_density")
+    plain = [np.where((a[:, 0] > 0) | (a[:, 6] > a[:, 7]) | (a[:, 8] > 0) | (a[:, links] > 0.5), -3.0, 3.0) for a in x]
     if model is None:
         return [render(t, decode(t, z)) for t, z in zip(trees, plain)]
     logits = np.split(model.logits(np.concatenate(x)), np.cumsum([len(a) for a in x])[:-1])

@@ -111,3 +111,9 @@ def test_stray_quotes_stay_linear():
     t = time.perf_counter()
     h.extract_all([page], None)
     assert time.perf_counter() - t < 20
+
+
+def test_a_page_of_menus_only_is_empty():
+    assert h.extract_all(["<body><ul><li><a href=\"/\">Home</a></li><li><a href=\"/c\">Contact</a></li></ul></body>"], None) == [""]
+    assert h.extract_all(["<body><p>Prose with <a href=\"/\">one link</a> in a sentence of some length.</p></body>"], None) == \
+        ["Prose with one link in a sentence of some length."]
