@@ -105,13 +105,15 @@ class ReportBase:
         return base
 
     @classmethod
-    def from_parts(cls, parts: DataFrame, cfg: ReportConfig) -> "ReportBase":
+    def from_parts(cls, parts: DataFrame, cfg: ReportConfig, trx: DataFrame | None = None) -> "ReportBase":
         """From maintained month parts (``MonthParts.read()``): the window reads the kept
-        sums of its months and no facts."""
+        sums of its months and no facts.  ``trx``: the parts of the transactions, if these are
+        a table of their own."""
         cfg = cfg.frozen()
         parts = trailing_months(parts, "PERIODO", cfg.as_of, cfg.n_back)
-        base = cls(parts.select("PERIODO", "TIPO", "SVA_SMS", "Q"), parts, cfg)
-        base._one_source = True
+        means = parts if trx is None else trailing_months(trx, "PERIODO", cfg.as_of, cfg.n_back)
+        base = cls(parts.select("PERIODO", "TIPO", "SVA_SMS", "Q"), means, cfg)
+        base._one_source = trx is None
         return base
 
     def release(self) -> None:

@@ -25,9 +25,10 @@ LEDGER_SCHEMA = "PERIODO int, n_files bigint, n_bytes bigint, digest bigint"
 
 
 class MonthParts(StagedTable):
-    """``facts``: a ``FactLayout`` by PERIODO with TIPO, SVA_SMS, ``qty`` and ``amount`` columns."""
+    """``facts``: a ``FactLayout`` by PERIODO with TIPO, SVA_SMS, ``qty`` and ``amount`` columns;
+    without an amount (subscribers) QM is NULL."""
 
-    def __init__(self, spark: SparkSession, path: str, facts: FactLayout, qty: str = "Q", amount: str = "MONTO_NETO"):
+    def __init__(self, spark: SparkSession, path: str, facts: FactLayout, qty: str = "Q", amount: str | None = "MONTO_NETO"):
         super().__init__(spark, path, PARTS_SCHEMA, "PERIODO", {"ledger": LEDGER_SCHEMA})
         self.facts, self.qty, self.amount = facts, qty, amount
 
@@ -36,7 +37,7 @@ class MonthParts(StagedTable):
         rows = self.facts.read().where(self.only(months))
         return rows.groupBy("PERIODO", "TIPO", "SVA_SMS").agg(
             F.sum(self.qty).cast("bigint").alias("Q"),
-            F.sum(F.col(self.qty) * F.col(self.amount)).cast("decimal(38,4)").alias("QM"))
+            (F.sum(F.col(self.qty) * F.col(self.amount)) if self.amount else F.lit(None)).cast("decimal(38,4)").alias("QM"))
 
     def stale(self, now: DataFrame) -> set:
         """Months whose files differ from those they were summed from, came or went: one

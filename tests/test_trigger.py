@@ -5,7 +5,9 @@ import pytest
 
 from monthwise import session as S
 from monthwise.plans.report import ReportConfig
-from monthwise.plans.trigger import run_report_trigger
+from monthwise.plans.trigger import run_report_from_parts, run_report_trigger
+from monthwise.sources.fact_layout import FactLayout
+from monthwise.sources.month_parts import MonthParts
 from monthwise.sources.outbox_store import OutboxStore
 
 SUBS = "PERIODO int, TIPO string, SVA_SMS string, Q_LINEAS_SUSCRITAS long"
@@ -61,6 +63,27 @@ def test_one_clock_between_midnight_and_three_utc(spark, tmp_shared):
     assert store.read().count() == 1
 
 
+def test_the_job_on_month_parts_queues_the_same_mail(spark, tmp_shared):
+    subs, trx, cal = inputs(spark)
+    layouts = {}
+    for name, df, qty, amount in (("subs", subs, "Q_LINEAS_SUSCRITAS", None), ("trx", trx, "Q_TRANSACCIONES", "MONTO_NETO")):
+        layout = FactLayout(spark, f"{tmp_shared}/{name}", SUBS if name == "subs" else TRX)
+        layout.append(df)
+        layouts[name] = (layout, MonthParts(spark, f"{tmp_shared}/{name}-parts", layout, qty, amount))
+    monday = ReportConfig(as_of="2024-01-15")
+    now = dt.datetime(2024, 1, 15, 12, tzinfo=dt.timezone.utc)
+    one, two = OutboxStore(spark, f"{tmp_shared}/one"), OutboxStore(spark, f"{tmp_shared}/two")
+    parts = [layouts["subs"][1], layouts["trx"][1]]
+    assert not run_report_from_parts(*parts, cal, two, ReportConfig(as_of="2024-01-18"), "to@x", now=now)       # shut
+    assert not parts[0].partitions()                                                                          # nothing was summed for it
+    assert not run_report_from_parts(*parts, cal, two, ReportConfig(as_of="2025-01-13"), "to@x", now=now)
+    for _ in range(2):
+        assert run_report_trigger(layouts["subs"][0].read(), layouts["trx"][0].read(), cal, one, monday, "to@x", now=now)
+        assert run_report_from_parts(*parts, cal, two, monday, "to@x", now=now)
+        assert two.read().collect() == one.read().collect() and two.read().count() == 1
+        layouts["trx"][0].append(spark.createDataFrame([(202401, "SMSP", "late", 9, decimal.Decimal("1"))], TRX))
+
+
 def test_no_machine_local_folder_on_a_cluster(monkeypatch):
     assert S.is_one_machine("local[4]") and S.is_one_machine("local")
     assert not S.is_one_machine("local-cluster[2,1,1024]") and not S.is_one_machine("spark://h:7077")
