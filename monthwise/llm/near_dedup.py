@@ -18,6 +18,10 @@ paired up, no document stops meeting those outside its set, and no node has a ca
 ``trees`` independent trees bring the recall of a pair exactly at the threshold to about
 0.99 at depth 8 (0.999 at depth 3), each one more at higher similarity.
 
+A family of documents that are all alike to just below the threshold is thinned out by no
+token.  From FLAT_DEPTH on, when the rows of the large nodes no longer shrink to FLAT_SHARE of those of the
+level above, the nodes that are left are compared in blocks of half a leaf, each block with each.
+
 Smaller nodes are compared exhaustively on 8-bit sketches, down to 4 standard
 errors below the threshold, but for pairs within the largest set; one of more than half
 a leaf is dealt to several leaves, each with all the other documents.  Documents that
@@ -29,8 +33,8 @@ Every link is thus confirmed on sets built again from whole texts, and m documen
 about m rows.  Components are unions of links.
 
 Shuffles carry ids, node numbers and sketches of MINHASHES bytes.  Texts are moved
-only for documents that some node proposes; a Bloom filter of a fixed size
-lets the scan drop most others before the exact join.
+only for documents that some node proposes; a Bloom filter of 16 bits for each, 32 MB at
+most, lets the scan drop most others before the exact join.
 
 Defined results: null or empty text, or one without words: no shingles, its own
 component.  Null id: component null, kept.  An id with several texts: each of them is
@@ -46,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import bloom, bounded_batches, few, in_bloom, named, numbers_of, scratch, table
+from monthwise.llm.common import bloom, bloom_bits, bounded_batches, few, in_bloom, named, numbers_of, scratch, table
 from monthwise.llm.components import connected_components, labels_of
 from monthwise.llm.wordhash import mix, shingle_sets
 
@@ -56,6 +60,8 @@ LEAF = 2048
 LEAF_SHINGLES = 1 << 22         # so that one task can hold the sets of a leaf
 LEVEL_ROWS = 4096               # rows of large nodes in one task
 MAX_DEPTH = 200                 # far beyond any expected depth; reaching it raises
+FLAT_DEPTH = 8                  # from this depth on, levels must shrink
+FLAT_SHARE = 0.9
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(7))
 _A = (_rng.integers(0, 1 << 31, MINHASHES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
@@ -325,6 +331,16 @@ def _leaf_rows(rows: DataFrame, leaf: int) -> DataFrame:
         F.when(F.col("g") == F.col("big"), 2).when(F.col("chunk") == 0, 0).otherwise(1).alias("side"))
 
 
+def _blocks_of(rows: DataFrame, leaf: int) -> DataFrame:
+    """Rows (node, rep, sk, side) of leaves in which all documents of a node meet, block by
+    block: the rows of a block meet each other in one leaf, those of two blocks in another."""
+    sizes = rows.groupBy("node").agg(F.ceil(F.count("*") * 2 / leaf).cast("long").alias("blocks"))
+    dealt = rows.join(sizes, "node").withColumn("mine", F.pmod(F.xxhash64("rep", "node"), "blocks")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return dealt.select(F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("node"), "rep", "sk",
+                        F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2).alias("side"))
+
+
 def candidates(reps: DataFrame, keep, threshold: float, leaf: int, texts_of, confirm) -> tuple[DataFrame, list[DataFrame]]:
     """Rows (node, a, b) of representatives (rep, n, sk, roots): pairs, or documents (b
     null) whose bundle is to be compared on full sets.  And the links (a, b) to pivots,
@@ -343,13 +359,18 @@ def candidates(reps: DataFrame, keep, threshold: float, leaf: int, texts_of, con
     rows = keep(level.join(nodes.select("node"), "node").join(sketches, "rep").join(pivots, "node", "left")
                 .withColumns({"g": F.col("rep"), "pg": F.col("pivot")}).select(*columns), "rows")
     small, links, texts = [rows.where("pivot is null").select("node", "rep", "sk", F.lit(0).alias("side"))], [], None
-    for _ in range(MAX_DEPTH):
+    before = None
+    for depth in range(MAX_DEPTH):
         large = rows.where("pivot is not null")
         n = large.count()
         if not n:
             break
+        if depth >= FLAT_DEPTH and n > FLAT_SHARE * before:
+            small.append(_blocks_of(large.select("node", "rep", "sk"), leaf))
+            break
+        before = n
         if texts is None:                       # all nodes below hold no others
-            texts = keep(texts_of(large.select(F.col("rep").alias("id")).distinct()), "pivot-texts")
+            texts = keep(texts_of(keep(large.select(F.col("rep").alias("id")).distinct(), "pivot-ids")), "pivot-texts")
             bounded_batches(spark, 4096)
         near = keep(few(large.select("node", "rep", "sk", "g", "pivot", "psk", "pg"), n, LEVEL_ROWS)
                     .mapInArrow(_near_pivot(_lowest(threshold)), "node long, a long, b long, g long"), "near")
@@ -388,7 +409,7 @@ def _present(bits):
     """Rows (id, text, h) whose h may be in the filter."""
     def run(batches):
         for b in batches:
-            ok = in_bloom(bits, b.column(2).to_numpy(zero_copy_only=False))
+            ok = in_bloom(bits.value, b.column(2).to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["id", "text"]).filter(pa.array(ok))
     return run
 
@@ -404,9 +425,9 @@ def links_of(docs: DataFrame, keep, shingle_words: int, percent: int, trees: int
                      F.first("roots").alias("roots")), "reps")
     def texts_of(ids):
         bounded_batches(spark)
+        bits = spark.sparkContext.broadcast(bloom(ids.select(F.xxhash64("id").alias("h")), bloom_bits(ids.count())))
         return docs.where("id is not null").select("id", "text", F.xxhash64("id").alias("h")) \
-            .mapInArrow(_present(bloom(ids.select(F.xxhash64("id").alias("h")))), "id long, text string") \
-            .join(ids, "id", "left_semi").distinct()
+            .mapInArrow(_present(bits), "id long, text string").join(ids, "id", "left_semi").distinct()
 
     def confirm(pairs, texts):
         side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))

@@ -172,3 +172,24 @@ def test_one_id_with_several_texts(spark):
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in nd.near_duplicates(df, shingle_words=5).collect()
                   if r["doc_id"]))
     assert got == [(3, 56, 3), (5, 56, 5), (5, 57, 3), (7, 57, 5), (9, 1, 9), (9, 56, 3)]
+
+
+def test_a_family_just_below_the_threshold_is_compared_in_blocks(spark, monkeypatch):
+    """Documents with 88 of 100 words in common, a few of them nearer to another one."""
+    monkeypatch.setattr(nd, "FLAT_DEPTH", 1)
+    rng = random.Random(12)
+    common = [f"c{i}" for i in range(880)]
+    rows = []
+    for i in range(150):
+        own = [f"o{i}_{k}" for k in range(120)]
+        rows.append((i, " ".join(common + own)))
+        if i % 10 == 0:
+            own[5] = "changed"
+            rows.append((1000 + i, " ".join(common + own)))
+    rng.shuffle(rows)
+    called = []
+    real = nd._blocks_of
+    monkeypatch.setattr(nd, "_blocks_of", lambda *a: called.append(1) or real(*a))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(df, shingle_words=1, leaf=16).collect()}
+    assert called and got == {i: i % 1000 for i, _ in rows}
