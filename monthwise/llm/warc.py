@@ -49,8 +49,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import (bloom, bounded_batches, in_bloom, materialize, release, scratch,
-                                  shared_path, small_batches, table)
+from monthwise.llm.common import (bloom, bloom_bits, in_bloom, materialize, release, scratch, shared_path,
+                                  small_batches, table)
 from monthwise.operators.ranking import rank_labels
 
 MIN_REVISIT = 1000
@@ -84,7 +84,7 @@ def _by_bloom(bits, inside):
     """The rows whose hash, the first column, may be in the filter, or the others."""
     def run(batches):
         for b in batches:
-            ok = in_bloom(bits, b.column(0).to_numpy(zero_copy_only=False))
+            ok = in_bloom(bits.value, b.column(0).to_numpy(zero_copy_only=False))
             yield b.filter(pa.array(ok if inside else ~ok))
     return run
 
@@ -102,8 +102,8 @@ def classify(pages: DataFrame, keep) -> DataFrame:
         .select("payload_digest", "payload_bytes", "owner")
     revisit = F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
     again = keep(again, "repeated-payloads")
-    bits = bloom(again.select(F.xxhash64("payload_digest").alias("h")))
-    bounded_batches(pages.sparkSession)
+    bits = pages.sparkSession.sparkContext.broadcast(
+        bloom(again.select(F.xxhash64("payload_digest").alias("h")), bloom_bits(again.count())))
     hashed = base.select(F.xxhash64("payload_digest").alias("h"), "page_id", "url", "html", "payload_bytes", "payload_digest")
     schema = "h long, page_id long, url string, html string, payload_bytes long, payload_digest string"
     single = hashed.mapInArrow(_by_bloom(bits, False), schema).withColumn("owner", F.lit(None).cast("long"))
@@ -143,7 +143,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
     """Archives ``path/size-<class>/part-*``; only classes that have pages are written."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     largest = pages.select(html.alias("html")).agg(F.max(_size_class())).first()[0] or 0
-    with scratch() as keep:
+    with small_batches(pages.sparkSession), scratch() as keep:
         records = classify(pages, keep).select(record().alias("value"), _size_class().alias("size"))
         for size in range(largest + 1):
             together = max(1, ARCHIVE_BYTES // SIZES[size]) if size < len(SIZES) else 1
@@ -209,8 +209,8 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """A capture row for each record, read from the archives."""
-    bounded_batches(spark, 1)                   # a file in a batch
+    """A capture row for each record, read from the archives; an Arrow batch takes as many
+    archives as its limit of bytes allows."""
     return _files(spark, path).mapInArrow(_captures, CAPTURE)
 
 
@@ -259,12 +259,10 @@ def write_index(captures: DataFrame, path: str, lines_per_block: int = LINES_PER
     """``path/blocks`` and ``path/directory``."""
     spark = captures.sparkSession
     n = captures.count()
-    bounded_batches(spark, 10_000)
     files = n // (lines_per_block * BLOCKS_PER_FILE) + 1
     captures.repartitionByRange(files, "key", "page_id").sortWithinPartitions("key", "page_id", "file", "offset") \
         .mapInArrow(_blocks(lines_per_block), "block binary").select(F.col("block").cast("string").alias("value")) \
         .write.mode("overwrite").option("lineSep", "\n").text(f"{path}/blocks")
-    bounded_batches(spark, 1)
     found = _files(spark, f"{path}/blocks").mapInArrow(
         _directory, "first_key string, last_key string, n long, file string, offset long, length long")
     # blocks are in the order of both their first and their last keys; the number is a place in it
@@ -290,7 +288,6 @@ def _lines(batches):
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """All capture rows of the index, from its blocks."""
-    bounded_batches(spark, 1)
     return _files(spark, f"{path}/blocks").mapInArrow(_lines, CAPTURE)
 
 
@@ -447,7 +444,8 @@ def build(pages: DataFrame, path: str, lines_per_block: int = LINES_PER_BLOCK) -
     """Write archives and index below ``path``; their folders."""
     archives, index = f"{path}/archives", f"{path}/index"
     write_archives(pages, archives)
-    captures = materialize(read_archives(pages.sparkSession, archives), "captures")
+    with small_batches(pages.sparkSession, 1):                  # an archive in a batch
+        captures = materialize(read_archives(pages.sparkSession, archives), "captures")
     write_index(captures, index, lines_per_block)
     release(captures)
     return archives, index

@@ -99,6 +99,16 @@ def test_large_pages_have_archives_of_bounded_size(spark, tmp_path, monkeypatch)
         assert i == 6 or bytes(got[i]["payload"]) == html.encode()
 
 
+def test_the_sessions_batches_stay_as_they_were(spark, tmp_path):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "777")
+    rows, df = pages(spark)
+    archives, index = warc.build(df, str(tmp_path))
+    assert warc.resolve(df, archives, index).count() == len(rows) and spark.conf.get(key) == "777"
+    spark.conf.set(key, before)
+
+
 def test_the_querys_folder_goes(spark):
     import os
 
