@@ -52,7 +52,7 @@ def salted_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left", p
                 heavy: HeavyKeys | None = None) -> DataFrame:
     """``facts.join(dim, key, how)`` for ``how`` in left, inner; no task gets much more than
     its share of a heavy key.  ``parts``: tasks to spread over (default: the session's
-    shuffle partitions).  ``dim`` may hold a key several times; NULL keys match nothing, and a
+    shuffle partitions).  A dimension that Spark broadcasts is joined without a shuffle.  ``dim`` may hold a key several times; NULL keys match nothing, and a
     left join spreads them like a heavy key."""
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
@@ -63,5 +63,4 @@ def salted_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left", p
     # the row's number in its task: rows that are equal in all columns are spread too
     salted = facts.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), n).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), _salts(heavy, key, parts, kind) - 1)))
-    joined = salted.repartition(parts, key, "_salt").join(copies.repartition(parts, key, "_salt"), [key, "_salt"], how)
-    return joined.drop("_salt").select(*facts.columns, *[c for c in dim.columns if c != key])
+    return salted.join(copies, [key, "_salt"], how).select(*facts.columns, *[c for c in dim.columns if c != key])

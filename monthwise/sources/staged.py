@@ -62,9 +62,6 @@ class StagedTable:
         if fs.exists(jpath):
             fs.delete(jpath, True)
 
-    def exists(self) -> bool:
-        return bool(self.partitions()) or bool(self._folders(f"{self.path}/_redo"))
-
     # -- partitions --------------------------------------------------------------
     def folder_of(self, value) -> str:
         text = NULL_PARTITION if value is None else (value.isoformat() if isinstance(value, dt.date) else str(value))

@@ -23,9 +23,14 @@ def plan_of(df):
 
 @pytest.fixture
 def no_aqe(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    """Sort-merge joins over 32 partitions, without adaptive execution."""
+    own = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     yield
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for k, v in before.items():
+        spark.conf.set(k, v)
 
 
 # -- salted join ------------------------------------------------------------------------
@@ -45,16 +50,16 @@ def test_salted_join_equals_the_plain_join(spark, how):
     assert rows(salted_join(facts, dim, "k", how, parts=16)) == rows(facts.join(dim, "k", how))
 
 
+def per_partition(df):
+    return [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+
+
 def test_a_third_of_the_rows_spreads_without_adaptive_execution(spark, no_aqe):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        facts, dim = skewed(spark), dimension(spark).where("label != 'hot again'")
-        sizes = [r["n"] for r in salted_join(facts, dim, "k", parts=32).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-        plain = [r["n"] for r in facts.repartition(32, "k").groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-        assert sum(sizes) == 30_000
-        assert max(sizes) < 5 * 30_000 / 32 < max(plain)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    facts, dim = skewed(spark), dimension(spark).where("label != 'hot again'")
+    joined = salted_join(facts, dim, "k")
+    assert "SortMergeJoin" in plan_of(joined)
+    sizes, plain = per_partition(joined), per_partition(facts.join(dim, "k", "left"))
+    assert sum(sizes) == 30_000 and max(sizes) < 5 * 30_000 / 32 < max(plain)
 
 
 def test_heavy_keys_are_those_above_the_share(spark):
@@ -74,13 +79,14 @@ def test_only_heavy_dimension_rows_are_repeated(spark):
 def test_equal_rows_of_a_hot_key_spread(spark, no_aqe):
     same = spark.range(0, 8000, 1, 4).select(F.substring(F.concat(F.lit("x"), F.col("id").cast("string")), 1, 1).alias("k"), F.lit(1).alias("q"))
     dim = spark.createDataFrame([("x", "label")], "k string, label string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = salted_join(same, dim, "k", parts=16)
-        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-        assert sum(sizes) == 8000 and len(sizes) >= 6 and max(sizes) <= 4000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sizes = per_partition(salted_join(same, dim, "k"))
+    assert sum(sizes) == 8000 and len(sizes) >= 16 and max(sizes) <= 1500
+
+
+def test_a_small_dimension_is_joined_without_a_shuffle(spark, tmp_shared):
+    dimension(spark).write.parquet(f"{tmp_shared}/dim")
+    plan = plan_of(salted_join(skewed(spark, 3000), spark.read.parquet(f"{tmp_shared}/dim"), "k"))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
 # -- buckets ------------------------------------------------------------------------------
