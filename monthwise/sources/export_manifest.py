@@ -26,10 +26,16 @@ def _line(columns: list[str]) -> Column:
     return F.to_csv(F.struct(*columns), options)
 
 
-def _sums(rows: DataFrame, line: Column) -> DataFrame:
-    """Per part: rows, bytes and the sum of row hashes."""
-    return rows.groupBy("part").agg(F.count("*").alias("n_rows"), F.sum(F.octet_length(line) + 1).cast("bigint").alias("n_bytes"),
-                                    F.sum(F.xxhash64(line).cast("decimal(38,0)")).alias("hash_sum"))
+def _sums(rows: DataFrame) -> DataFrame:
+    """Per part, of rows (part, _bytes, _hash): rows, bytes and the sum of row hashes."""
+    return rows.groupBy("part").agg(F.count("*").alias("n_rows"), F.sum("_bytes").cast("bigint").alias("n_bytes"),
+                                    F.sum(F.col("_hash").cast("decimal(38,0)")).alias("hash_sum"))
+
+
+def _measured(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with each row's bytes and hash as a CSV line of ``columns``."""
+    line = _line(columns)
+    return df.withColumns({"_bytes": F.octet_length(line) + 1, "_hash": F.xxhash64(line)})
 
 
 def _cut(staged: DataFrame, max_part_bytes: int) -> DataFrame:
@@ -49,13 +55,13 @@ def export_parts(df: DataFrame, path: str, max_part_bytes: int = MAX_PART_BYTES,
     """Export ``df`` as CSV under ``path/part=<n>/`` and its manifest at ``path/_manifest``; the
     manifest.  A column named ``part`` must be renamed before."""
     columns = df.columns
-    line = _line(columns)
-    staged = materialize(df.withColumns({"_n": F.monotonically_increasing_id(), "_bytes": F.octet_length(line) + 1}), "export-stage")
+    staged = materialize(_measured(df, columns).withColumn("_n", F.monotonically_increasing_id()), "export-stage")
     try:
-        rows = _cut(staged, max_part_bytes).select(*columns, "part")
         # a stage task's rows are in one task here, so each part is one file
-        export_csv(rows.sortWithinPartitions("part"), path, partition_by=["part"], **options)
-        _sums(rows, line).coalesce(1).write.mode("overwrite").parquet(f"{path}/_manifest")
+        export_csv(_cut(staged, max_part_bytes).select(*columns, "part").sortWithinPartitions("part"), path,
+                   partition_by=["part"], **options)
+        sizes = staged.select("_n", "_bytes", "_hash")                  # the manifest takes no second look at the rows
+        _sums(_cut(sizes, max_part_bytes)).coalesce(1).write.mode("overwrite").parquet(f"{path}/_manifest")
     finally:
         release(staged)
     return read_manifest(df.sparkSession, path)
@@ -75,7 +81,7 @@ def verify_parts(spark: SparkSession, path: str, schema: StructType, **options)
     ``changed`` (other rows, more or fewer), ``lost`` (no file) or ``extra`` (not in the manifest)."""
     want = read_manifest(spark, path)
     rows = read_parts(spark, path, schema, **options)
-    found = _sums(rows, _line([f.name for f in schema.fields])) \
+    found = _sums(_measured(rows, [f.name for f in schema.fields]).select("part", "_bytes", "_hash")) \
         .select("part", F.col("n_rows").alias("found_rows"), F.col("hash_sum").alias("found_sum"))
     status = F.when(F.col("n_rows").isNull(), "extra").when(F.col("found_rows").isNull(), "lost") \
         .when((F.col("n_rows") == F.col("found_rows")) & (F.col("hash_sum") == F.col("found_sum")), "ok").otherwise("changed")
